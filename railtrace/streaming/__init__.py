@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming source, sink, watermark, window, state or
+trigger; every step is a batch job over files.  Nothing is built here (see
+README, "Not built").
+"""
