@@ -14,6 +14,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from railtrace.functions._memo import memo_column
+
 # Fixed values (must equal the reference's maps; order is significant).
 NIGHT_STATION_COUNTRIES = [
     ("basel", "CH"), ("zurich", "CH"), ("brig", "CH"), ("lausanne", "CH"),
@@ -64,6 +66,7 @@ def has_feed_country(feed_country) -> Column:
     return fc.isNotNull() & (fc != "")
 
 
+@memo_column
 def night_country(station, feed_country, mapping=NIGHT_STATION_COUNTRIES) -> Column:
     """SCL4: feed country if set; empty station -> UNKNOWN; else first key with
     key in station or station in key; else UNKNOWN."""
@@ -75,6 +78,7 @@ def night_country(station, feed_country, mapping=NIGHT_STATION_COUNTRIES) -> Col
     )
 
 
+@memo_column
 def day_country(station, feed_country, mapping=DAY_STATION_COUNTRIES) -> Column:
     """SCL5: feed country if set; else first key contained in the station;
     else null."""

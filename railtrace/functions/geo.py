@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from railtrace.functions._memo import memo_column
 from railtrace.schemas import DISTANCE
 
 # Fixed value: mean Earth radius used by the reference, in km.
@@ -16,7 +17,7 @@ _DEG = math.pi / 180.0
 
 def _num(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    d = c.cast("string").try_cast("double")
+    d = c.try_cast("double")  # text coordinates from CSV; a no-op for doubles
     # non-finite coordinates give no distance
     return F.when(~F.isnan(d) & (F.abs(d) != float("inf")), d)
 
@@ -32,6 +33,7 @@ def haversine_raw(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2.0) * F.asin(F.sqrt(F.least(a, F.lit(1.0)))) * F.lit(EARTH_RADIUS_KM)
 
 
+@memo_column
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     """SCL3: distance rounded to 2 decimals, as DECIMAL(12,2)."""
     return F.round(haversine_raw(lat1, lon1, lat2, lon2), 2).cast(DISTANCE)

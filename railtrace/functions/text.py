@@ -27,6 +27,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from railtrace.functions._memo import memo_column
+
 # Fixed values (must equal the reference's rules).
 SIMPLIFY_REMOVED_WORDS = ["bf", "hbf", "tief", "bad", "gare", "routiere"]
 SIMPLIFY_SMALL_WORDS = ["de", "du", "des", "la", "le", "les", "d'", "l'", "à"]
@@ -42,23 +44,38 @@ def py_strip(c) -> Column:
     return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
 
 
-def _class_for(chars) -> str:
-    """A Java regex character class matching exactly ``chars``."""
-    return "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in sorted(chars)) + "]"
-
-
 # Blocks whose multi-character foldings are expanded natively.
 _NATIVE_MULTI_BLOCKS = [(0x80, 0x24F), (0x1E00, 0x1EFF), (0x2150, 0x218F), (0xFB00, 0xFB4F)]
+# Characters below this code point that fold to nothing are deleted by the
+# same ``translate`` call (a one-off dictionary of ~12k entries per task);
+# rarer scripts above it are dropped by a regex that only runs when needed.
+_DELETE_BELOW = 0x3000
+
+
+def _ranges_class(chars) -> str:
+    """A Java regex character class for ``chars``, written as ranges."""
+    cps = sorted(ord(c) for c in chars)
+    parts, i = [], 0
+    while i < len(cps):
+        j = i
+        while j + 1 < len(cps) and cps[j + 1] == cps[j] + 1:
+            j += 1
+        lo, hi = cps[i], cps[j]
+        parts.append(f"\\x{{{lo:x}}}" if lo == hi else f"\\x{{{lo:x}}}-\\x{{{hi:x}}}")
+        i = j + 1
+    return "[" + "".join(parts) + "]"
 
 
 @functools.lru_cache(maxsize=1)
 def _fold_tables():
     """Per code point: ASCII residue of NFKD(lower(ch)) after the class rule.
 
-    Returns (translate_from, translate_to, multi_groups) where multi_groups is
-    a list of (regex class, replacement) for multi-character residues.
+    Returns (translate_from, translate_to, multi_groups, multi_class):
+    ``translate_from`` lists single-character foldings (mapped to
+    ``translate_to``) followed by characters to delete; ``multi_groups`` are
+    (regex class, replacement) pairs for multi-character foldings.
     """
-    src, dst = [], []
+    src, dst, delete = [], [], []
     multi: dict[str, list[str]] = {}
     for cp in range(0x110000):
         if 0xD800 <= cp <= 0xDFFF:
@@ -69,7 +86,9 @@ def _fold_tables():
         else:
             out = "".join(c for c in unicodedata.normalize("NFKD", ch.lower()) if c < "\x80")
             if not out:
-                continue  # dropped later with every other non-ASCII character
+                if cp < _DELETE_BELOW:
+                    delete.append(ch)
+                continue  # anything else non-ASCII is dropped by the regex step
         out = re.sub(r"[^a-z0-9 ]", " ", out)
         out = re.sub(r" +", " ", out)  # runs of spaces collapse later anyway
         if len(out) == 1:
@@ -78,21 +97,28 @@ def _fold_tables():
                 dst.append(out)
         elif any(lo <= cp <= hi for lo, hi in _NATIVE_MULTI_BLOCKS):
             multi.setdefault(out, []).append(ch)
-    groups = [(_class_for(chars), out) for out, chars in sorted(multi.items())]
-    return "".join(src), "".join(dst), groups
+    groups = [(_ranges_class(chars), out) for out, chars in sorted(multi.items())]
+    every_multi = _ranges_class([c for chars in multi.values() for c in chars])
+    return "".join(src + delete), "".join(dst), groups, every_multi
 
 
+@memo_column
 def normalize_text(c) -> Column:
     """SCL1.  null/blank -> ''.  Equal to
-    ``re.sub(' +',' ', re.sub('[^a-z0-9 ]',' ', ascii(NFKD(lower(s))))).strip()``."""
-    src, dst, groups = _fold_tables()
+    ``re.sub(' +',' ', re.sub('[^a-z0-9 ]',' ', ascii(NFKD(lower(s))))).strip()``.
+
+    One ``translate`` does the case folding, accent stripping, punctuation ->
+    space and the deletion of common non-ASCII characters; the multi-character
+    expansions and the final non-ASCII drop only run on strings that still
+    hold a non-ASCII character afterwards."""
+    src, dst, groups, every_multi = _fold_tables()
     s = F.translate(_col(c), src, dst)
-    any_multi = "[" + "".join(g[0][1:-1] for g in groups) + "]"
     expanded = s
     for cls, out in groups:
         expanded = F.regexp_replace(expanded, cls, out)
-    s = F.when(s.rlike(any_multi), expanded).otherwise(s)
-    s = F.regexp_replace(s, r"[^a-z0-9 ]", "")  # only non-ASCII is left to drop
+    rare = F.when(s.rlike(every_multi), expanded).otherwise(s)
+    rare = F.regexp_replace(rare, r"[^\x00-\x7F]+", "")
+    s = F.when(s.rlike(r"[^\x00-\x7F]"), rare).otherwise(s)
     s = F.trim(F.regexp_replace(s, r" {2,}", " "))
     return F.coalesce(s, F.lit(""))
 
@@ -119,6 +145,7 @@ def normalize_text_exact(c) -> Column:
     return _normalize(_col(c))
 
 
+@memo_column
 def simplify_station(c) -> Column:
     """SCL2: for display.  Input is normalized text."""
     s = F.lower(py_strip(c))
@@ -135,6 +162,7 @@ def simplify_station(c) -> Column:
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
 
 
+@memo_column
 def title_case_station(c) -> Column:
     """SCL6: ``'' if not s else s.strip().title()`` -- a letter is upper-cased
     when it follows a non-cased character (``2b`` -> ``2B``), unlike initcap."""
