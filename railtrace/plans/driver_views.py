@@ -50,6 +50,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for CPU-heavy row work.
+
+    A scan yields one task per file split; a small single-row-group file is
+    one task however many cores there are.  Only then is the input
+    round-robin repartitioned -- on a cluster, where the scan has far more
+    splits than cores, this is a no-op."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document texts (whole texts; SCL1/SCL2/SCL6 run over them)."""
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def feeds(spark: SparkSession, fallback: bool = False) -> DataFrame:
     rows = []
     for kind, countries in (("night", NIGHT_FEED_COUNTRIES), ("day", DAY_FEED_COUNTRIES)):

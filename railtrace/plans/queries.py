@@ -71,7 +71,7 @@ def route_distance(spark, sf):
 
 
 def _documents(spark, sf):
-    return V.read_table(spark, sf, "documents").select("doc_id", "text")
+    return V.documents(spark, sf)
 
 
 def normalize_names(spark, sf):
