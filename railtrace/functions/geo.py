@@ -29,8 +29,10 @@ def haversine_raw(lat1, lon1, lat2, lon2) -> Column:
     s_lat = F.sin((p2 - p1) / 2)
     s_lon = F.sin((l2 - l1) / 2)
     a = s_lat * s_lat + F.cos(p1) * F.cos(p2) * s_lon * s_lon
-    # rounding can push a a hair above 1 for antipodal points
-    return F.lit(2.0) * F.asin(F.sqrt(F.least(a, F.lit(1.0)))) * F.lit(EARTH_RADIUS_KM)
+    # rounding can push a a hair above 1 for antipodal points; clamp with a
+    # CASE, not least(), which would turn a null into 1
+    a = F.when(a > 1.0, F.lit(1.0)).otherwise(a)
+    return F.lit(2.0) * F.asin(F.sqrt(a)) * F.lit(EARTH_RADIUS_KM)
 
 
 @memo_column

@@ -24,6 +24,7 @@ import functools
 import re
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -136,8 +137,6 @@ def normalize_text_exact(c) -> Column:
 
     Slower than :func:`normalize_text` (Python workers); use it only when
     texts hold the rare multi-character foldings outside the native blocks."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def _normalize(s: pd.Series) -> pd.Series:
         return s.map(normalize_text_python)
