@@ -26,14 +26,17 @@ def environmental_impact(routes: DataFrame, factors: DataFrame, calculation_date
     if "distance_km" not in routes.columns:  # FLT8
         raise ValueError(f"routes have no 'distance_km' column: {routes.columns}")
     f = factors.select(F.struct("train_gco2_pkm", "plane_gco2_pkm").alias("f")).scalar()
-    train, plane = f.getField("train_gco2_pkm"), f.getField("plane_gco2_pkm")
+    with_f = routes.select(
+        "*",
+        f.getField("train_gco2_pkm").alias("train_gco2_pkm"),
+        f.getField("plane_gco2_pkm").alias("plane_gco2_pkm"),
+    )
+    train, plane = F.col("train_gco2_pkm"), F.col("plane_gco2_pkm")
     d = F.col("distance_km").cast("decimal(12,2)")
     t_raw, p_raw = kg_raw(d, train), kg_raw(d, plane)
     when = F.current_date() if calculation_date is None else F.lit(calculation_date)
-    return routes.select(
+    return with_f.select(
         "*",
-        train.alias("train_gco2_pkm"),
-        plane.alias("plane_gco2_pkm"),
         round_kg(t_raw).alias("train_co2_kg"),
         round_kg(p_raw).alias("plane_co2_kg"),
         round_kg(p_raw - t_raw).alias("co2_savings_kg"),
