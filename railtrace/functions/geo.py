@@ -25,14 +25,16 @@ def _num(c) -> Column:
 def haversine_raw(lat1, lon1, lat2, lon2) -> Column:
     """Haversine distance in km as double; null if any coordinate is null or
     not a number."""
-    p1, l1, p2, l2 = (_num(x) * F.lit(_DEG) for x in (lat1, lon1, lat2, lon2))
+    coords = [_num(x) for x in (lat1, lon1, lat2, lon2)]
+    p1, l1, p2, l2 = (c * F.lit(_DEG) for c in coords)
     s_lat = F.sin((p2 - p1) / 2)
     s_lon = F.sin((l2 - l1) / 2)
     a = s_lat * s_lat + F.cos(p1) * F.cos(p2) * s_lon * s_lon
-    # rounding can push a a hair above 1 for antipodal points; clamp with a
-    # CASE, not least(), which would turn a null into 1
-    a = F.when(a > 1.0, F.lit(1.0)).otherwise(a)
-    return F.lit(2.0) * F.asin(F.sqrt(a)) * F.lit(EARTH_RADIUS_KM)
+    # rounding can push a a hair above 1 for antipodal points; least() would
+    # turn a null into 1, so nulls are guarded on the (small) coordinates
+    dist = F.lit(2.0) * F.asin(F.sqrt(F.least(a, F.lit(1.0)))) * F.lit(EARTH_RADIUS_KM)
+    known = coords[0].isNotNull() & coords[1].isNotNull() & coords[2].isNotNull() & coords[3].isNotNull()
+    return F.when(known, dist)
 
 
 @memo_column

@@ -79,8 +79,14 @@ def trip_stop_ids(tables: GtfsTables, kind: str) -> DataFrame:
         if c not in trips.columns:
             trips = trips.withColumn(c, F.lit(None).cast("string"))
     trips = trips.select(*dict.fromkeys(["feed_id", *keys, "route_id", "start_stop_id", "end_stop_id"]))
-    t = trips.join(_feeds_of_kind(tables, kind), "feed_id")
-    t = t.join(trip_endpoints(tables.stop_times, scope), keys, "left")
+    feeds = _feeds_of_kind(tables, kind)
+    t = trips.join(feeds, "feed_id")
+    stop_times = tables.stop_times
+    if "feed_id" in scope:
+        # only this kind's feeds are aggregated (with feed-partitioned storage
+        # the filter prunes whole folders)
+        stop_times = stop_times.join(feeds.select("feed_id"), "feed_id", "left_semi")
+    t = t.join(trip_endpoints(stop_times, scope), keys, "left")
     if kind == "night":
         first, last = F.col("first_stop_id"), F.col("last_stop_id")
     else:

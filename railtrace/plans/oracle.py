@@ -69,8 +69,9 @@ def haversine(lat1, lon1, lat2, lon2) -> str:
     p1, l1, p2, l2 = (f"({c} * {r})" for c in (lat1, lon1, lat2, lon2))
     a = (f"(sin(({p2} - {p1}) / 2) * sin(({p2} - {p1}) / 2) + "
          f"cos({p1}) * cos({p2}) * sin(({l2} - {l1}) / 2) * sin(({l2} - {l1}) / 2))")
-    clamped = f"(CASE WHEN {a} > 1.0 THEN 1.0 ELSE {a} END)"
-    return f"CAST(round(2.0 * asin(sqrt({clamped})) * 6371.0, 2) AS DECIMAL(12,2))"
+    known = " AND ".join(f"{c} IS NOT NULL" for c in (lat1, lon1, lat2, lon2))
+    dist = f"round(2.0 * asin(sqrt(CASE WHEN {a} > 1.0 THEN 1.0 ELSE {a} END)) * 6371.0, 2)"
+    return f"CAST(CASE WHEN {known} THEN {dist} END AS DECIMAL(12,2))"
 
 
 def ratio(num: str, den: str, digits: int, scale: int = 6) -> str:
