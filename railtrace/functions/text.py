@@ -47,10 +47,11 @@ def py_strip(c) -> Column:
 
 # Blocks whose multi-character foldings are expanded natively.
 _NATIVE_MULTI_BLOCKS = [(0x80, 0x24F), (0x1E00, 0x1EFF), (0x2150, 0x218F), (0xFB00, 0xFB4F)]
-# Characters below this code point that fold to nothing are deleted by the
-# same ``translate`` call (a one-off dictionary of ~12k entries per task);
-# rarer scripts above it are dropped by a regex that only runs when needed.
-_DELETE_BELOW = 0x3000
+# Characters of these blocks that fold to nothing (``ß``, ``ø``, combining
+# marks, curly quotes, dashes) are deleted by the same ``translate`` call; any
+# other non-ASCII character is dropped by a regex that only runs on strings
+# still holding one.  Kept small: the table is a literal in every plan.
+_DELETE_BLOCKS = [(0x80, 0x36F), (0x1E00, 0x1EFF), (0x2000, 0x206F)]
 
 
 def _ranges_class(chars) -> str:
@@ -87,7 +88,7 @@ def _fold_tables():
         else:
             out = "".join(c for c in unicodedata.normalize("NFKD", ch.lower()) if c < "\x80")
             if not out:
-                if cp < _DELETE_BELOW:
+                if any(lo <= cp <= hi for lo, hi in _DELETE_BLOCKS):
                     delete.append(ch)
                 continue  # anything else non-ASCII is dropped by the regex step
         out = re.sub(r"[^a-z0-9 ]", " ", out)

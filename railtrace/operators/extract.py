@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from railtrace.functions.countries import country_rule, default_station_map
 from railtrace.functions.geo import haversine_km
-from railtrace.functions.text import is_blank, normalize_text, route_label, simplify_station
+from railtrace.functions.text import is_blank, route_label, simplify_station
 from railtrace.operators.dedup import dedupe_directed, dedupe_pairs
 from railtrace.schemas import ROUTE_COLUMNS
 from railtrace.sources.gtfs import GtfsTables
@@ -101,19 +101,19 @@ def trip_stop_ids(tables: GtfsTables, kind: str) -> DataFrame:
 def stop_role(tables: GtfsTables, role: str) -> DataFrame:
     """Stops dimension in one endpoint role, with its normalized name.
 
-    FLT1 (name non-null and non-blank) is applied here, on the dimension."""
+    FLT1 (name non-null and non-blank) is applied on the dimension."""
     scope = list(tables.scope)
     pre = "origin" if role == "origin" else "dest"
     name = "origin_name" if role == "origin" else "destination_name"
     norm = "origin" if role == "origin" else "destination"
     key = "first_stop_id" if role == "origin" else "last_stop_id"
-    return tables.stops.filter(~is_blank("stop_name")).select(
+    return tables.stop_names.select(
         *scope,
-        F.col("stop_id").cast("string").alias(key),
+        F.col("stop_id").alias(key),
         F.col("stop_name").alias(name),
         F.col("stop_lat").alias(f"{pre}_lat"),
         F.col("stop_lon").alias(f"{pre}_lon"),
-        normalize_text("stop_name").alias(norm),
+        F.col("norm_name").alias(norm),
     )
 
 

@@ -46,8 +46,17 @@ MODE_OF_ITEM = [
 ]
 
 
+_SCANS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet scan of a test table; one DataFrame per session and path
+    (a plan, not cached data), so views over the same table share it."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), id(spark._jsparkSession), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def spread(df: DataFrame) -> DataFrame:

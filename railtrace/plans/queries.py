@@ -107,12 +107,30 @@ def dedupe_pairs_feed(spark, sf):
     return X.feed_routes(_gtfs(spark, sf), "night", V.DRIVER_STATION_MAP)
 
 
+# One GtfsTables per query: night and day share its normalized stops.
+
+def _extract(t, kind):
+    return X.extract_routes(t, kind, V.DRIVER_STATION_MAP)
+
+
+def _clean_night(t):
+    return C.clean_night(_extract(t, "night"))
+
+
+def _clean_day(t):
+    return C.clean_routes(_extract(t, "day"), "day")
+
+
+def _combined(t):
+    return C.combine_types(_clean_night(t), _clean_day(t))
+
+
 def extract_night(spark, sf):
-    return X.extract_routes(_gtfs(spark, sf), "night", V.DRIVER_STATION_MAP)
+    return _extract(_gtfs(spark, sf), "night")
 
 
 def extract_day(spark, sf):
-    return X.extract_routes(_gtfs(spark, sf), "day", V.DRIVER_STATION_MAP)
+    return _extract(_gtfs(spark, sf), "day")
 
 
 def unresolved_day(spark, sf):
@@ -120,15 +138,15 @@ def unresolved_day(spark, sf):
 
 
 def clean_night(spark, sf):
-    return C.clean_night(extract_night(spark, sf))
+    return _clean_night(_gtfs(spark, sf))
 
 
 def clean_day(spark, sf):
-    return C.clean_routes(extract_day(spark, sf), "day")
+    return _clean_day(_gtfs(spark, sf))
 
 
 def combined_routes(spark, sf):
-    return C.combine_types(clean_night(spark, sf), clean_day(spark, sf))
+    return _combined(_gtfs(spark, sf))
 
 
 def quality_report(spark, sf):

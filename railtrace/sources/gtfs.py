@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,19 @@ class GtfsTables:
     def with_feeds(self, feeds: DataFrame) -> "GtfsTables":
         return replace(self, feeds=feeds)
 
+    @cached_property
+    def stop_names(self) -> DataFrame:
+        """Stops with a usable name (FLT1) and their normalized name, built
+        once and shared by both endpoint roles and both kinds."""
+        from railtrace.functions.text import is_blank, normalize_text
+
+        return self.stops.filter(~is_blank("stop_name")).select(
+            *self.scope,
+            F.col("stop_id").cast("string").alias("stop_id"),
+            "stop_name", "stop_lat", "stop_lon",
+            normalize_text("stop_name").alias("norm_name"),
+        )
+
 
 def feed_registry(spark: SparkSession, feeds: Iterable[Sequence]) -> DataFrame:
     """Registry from ``(feed_id, path, kind, country)`` tuples; ``ord`` is the
