@@ -379,4 +379,7 @@ def build(final: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final
 
 
+FINAL["country_join_night"] = FINAL["country_night"]
+FINAL["country_join_day"] = FINAL["country_day"]
+
 ORACLE_SQL: dict[str, str] = {name: build(sql) for name, sql in FINAL.items()}

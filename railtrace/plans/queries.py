@@ -103,6 +103,25 @@ def country_day(spark, sf):
     )
 
 
+def _stations_join(spark, sf, kind):
+    from railtrace.operators.countries import resolve_countries, station_map_frame
+
+    m = station_map_frame(spark, V.DRIVER_STATION_MAP)
+    st = _stations(spark, sf)
+    return resolve_countries(st, m, kind, columns=("station",)).select(
+        "station", F.col("station_country").alias("country"))
+
+
+def country_join_night(spark, sf):
+    """JON7 as a broadcast theta join over the map table (same result as
+    ``country_night``)."""
+    return _stations_join(spark, sf, "night")
+
+
+def country_join_day(spark, sf):
+    return _stations_join(spark, sf, "day")
+
+
 def dedupe_pairs_feed(spark, sf):
     return X.feed_routes(_gtfs(spark, sf), "night", V.DRIVER_STATION_MAP)
 
@@ -227,7 +246,7 @@ QUERIES: dict[str, Query] = {
     for name in [
         "trip_endpoints", "trip_routes", "endpoint_fallback", "route_distance",
         "normalize_names", "simplify_names", "title_names",
-        "country_night", "country_day", "dedupe_pairs_feed",
+        "country_night", "country_day", "country_join_night", "country_join_day", "dedupe_pairs_feed",
         "extract_night", "extract_day", "unresolved_day",
         "clean_night", "clean_day", "combined_routes", "quality_report",
         "routes_by_country", "routes_by_type", "routes_by_country_type",
