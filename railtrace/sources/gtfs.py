@@ -16,6 +16,8 @@ Reading rules (SURVEY 1.3):
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import cached_property
@@ -75,25 +77,34 @@ def _clean_name(name: str) -> str:
     return name.replace("\ufeff", "").strip()
 
 
-def _read_feed_table(spark: SparkSession, path: str, table: str, feed_id: str) -> DataFrame | None:
-    """SRC1-SRC4 for one feed: header, all strings, select by name."""
-    file = path.rstrip("/") + f"/{table}.txt"
+def _header(spark: SparkSession, file: str) -> list[str] | None:
+    """Column names of one CSV file (reads only its first line), or None if
+    the file does not exist."""
     try:
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(file)
+        cols = spark.read.option("header", True).option("inferSchema", False).csv(file).columns
     except Exception as exc:  # missing file: the inventory explains the skip
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             return None
         raise
-    raw = raw.toDF(*[_clean_name(c) for c in raw.columns])
+    return [_clean_name(c) for c in cols]
+
+
+def _read_group(spark: SparkSession, table: str, files: list[str], header: list[str], path_to_feed: DataFrame) -> DataFrame:
+    """SRC1-SRC4 for all files of one table that share a header: one scan,
+    columns selected by name, ``feed_id`` from the file path."""
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(files)
+    raw = raw.toDF(*header)
     cols = []
     for name in GTFS_COLUMNS[table]:
-        if name in raw.columns:
+        if name in header:
             cols.append(F.col(f"`{name}`").cast("string").alias(name))
         elif name in GTFS_OPTIONAL.get(table, ()):
             cols.append(F.lit(None).cast("string").alias(name))
         else:
-            raise ValueError(f"feed {feed_id}: {table}.txt has no column {name!r}")
-    return raw.select(F.lit(feed_id).alias("feed_id"), *cols)
+            raise ValueError(f"{table}.txt in {files[0]} has no column {name!r}")
+    tagged = raw.select(_norm_path(F.col("_metadata.file_path")).alias("_file"), *cols)
+    # the path table has one row per feed file: configuration-sized
+    return tagged.join(F.broadcast(path_to_feed), "_file").select("feed_id", *GTFS_COLUMNS[table])
 
 
 def _empty(spark: SparkSession, table: str) -> DataFrame:
@@ -106,27 +117,32 @@ def read_feeds(spark: SparkSession, registry: DataFrame) -> GtfsTables:
     """SRC5: read every feed of the registry into four unioned tables.
 
     The registry is configuration-sized (one row per feed folder), so it is
-    looked at on the driver to plan one by-name scan per feed file; the data
-    itself is only ever read by Spark tasks.
+    looked at on the driver.  Files of a table are grouped by their header:
+    each group is one multi-file scan whose rows get ``feed_id`` from their
+    file path, so a thousand feeds with a handful of column layouts make a
+    handful of scans, not thousands.  The data is only ever read by tasks.
     """
-    feeds = registry.select("feed_id", "path", "kind", "country", "ord").orderBy("ord").collect()
-    parts: dict[str, list[DataFrame]] = {t: [] for t in GTFS_COLUMNS}
-    flags = []
-    for f in feeds:
-        present = {}
-        for table in GTFS_COLUMNS:
-            df = _read_feed_table(spark, f["path"], table, f["feed_id"])
-            present[table] = df is not None
-            if df is not None:
-                parts[table].append(df)
-        has_required = present["stops"] and present["trips"] and present["routes"]
-        flags.append((f["feed_id"], present["stop_times"], has_required))
+    feeds = registry.select("feed_id", "path").orderBy("ord").collect()
     tables = {}
-    for table, dfs in parts.items():
+    present = {f["feed_id"]: set() for f in feeds}
+    for table in GTFS_COLUMNS:
+        groups: dict[tuple, list[tuple[str, str]]] = {}
+        for f in feeds:
+            file = f["path"].rstrip("/") + f"/{table}.txt"
+            header = _header(spark, file)
+            if header is not None:
+                present[f["feed_id"]].add(table)
+                groups.setdefault(tuple(header), []).append((file, f["feed_id"]))
         out = _empty(spark, table)
-        for df in dfs:
-            out = out.unionByName(df)
+        for header, members in groups.items():
+            path_to_feed = spark.createDataFrame(
+                [(_plain_path(file), fid) for file, fid in members], "_file string, feed_id string"
+            )
+            out = out.unionByName(_read_group(spark, table, [m[0] for m in members], list(header), path_to_feed))
         tables[table] = out
+    flags = [
+        (fid, "stop_times" in got, {"stops", "trips", "routes"} <= got) for fid, got in present.items()
+    ]
     flag_df = spark.createDataFrame(flags, "feed_id string, has_stop_times boolean, has_required boolean")
     return GtfsTables(
         stops=tables["stops"],
@@ -137,6 +153,14 @@ def read_feeds(spark: SparkSession, registry: DataFrame) -> GtfsTables:
     )
 
 
+def _plain_path(path: str) -> str:
+    """The same normalization as ``_norm_path``, in Python, for registry paths."""
+    p = re.sub(r"^file:(//)?", "", path)
+    if not p.startswith("/") and "://" not in p:
+        p = os.path.abspath(p)
+    return re.sub(r"/$", "", re.sub(r"/+", "/", p))
+
+
 def _norm_path(c):
     """File URI or path -> plain path without trailing slash."""
     c = F.regexp_replace(c, r"^file:(//)?", "")
