@@ -33,7 +33,7 @@ def pair_key(a, b) -> tuple[Column, Column]:
 
 def keep_first(df: DataFrame, partition_by: Sequence, order_by: Sequence) -> DataFrame:
     """One row per ``partition_by`` key: the first in ``order_by`` order."""
-    w = Window.partitionBy(*[_col(c) for c in partition_by]).orderBy(*[_col(c) for c in order_by])
+    w = Window.partitionBy(*partition_by).orderBy(*order_by)  # names or Columns
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
