@@ -25,6 +25,7 @@ def emission_reference(sheet: DataFrame) -> DataFrame:
     """OPS8: first three sheet columns (by position, after ``ord``) renamed,
     rows without a mode dropped, ``*`` removed, factors parsed."""
     c0, c1, c2 = [c for c in sheet.columns if c != "ord"][:3]
+    # FLT4 mode present; SCL8 strip '*'; SCL9 numbers; PRJ4 source and year
     return sheet.filter(F.col(c0).isNotNull()).select(
         "ord",
         strip_stars(F.col(c0)).alias("transport_mode"),
@@ -44,6 +45,7 @@ def first_match(value: Column, cond: Column) -> Column:
 
 
 def _contains(s: str, case: bool = True) -> Column:
+    """FLT6: substring test on the mode, case-sensitive or not."""
     mode = F.col("transport_mode")
     return mode.contains(s) if case else F.lower(mode).contains(s.lower())
 
@@ -64,8 +66,9 @@ def baselines(reference: DataFrame) -> DataFrame:
 
 def emission_summary(reference: DataFrame) -> DataFrame:
     """OPS9: per mode with a factor, percent saved versus plane and car."""
-    b = baselines(reference).scalar()
+    b = baselines(reference).scalar()  # JON9: scalar baselines, no cross join
     x = F.col("gco2_per_pkm")
+    # FLT7 skips modes without a factor; SCL14 / SCL15 percents
     return reference.filter(x.isNotNull() & ~F.isnan(x)).select(
         "transport_mode",
         "gco2_per_pkm",
@@ -118,10 +121,10 @@ def flight_routes(sheet: DataFrame, sample_size: int = 100) -> DataFrame:
     """OPS10: flights replaceable by trains -- the first ``sample_size`` rows
     (sheet order) with both cities, numbers parsed, savings = aviation - train."""
     df = sheet.select("ord", *[F.col(f"`{src}`").alias(dst) for src, dst in FLIGHT_SHEET_COLUMNS.items()])
-    df = df.filter(F.col("origin_city").isNotNull() & F.col("destination_city").isNotNull())
+    df = df.filter(F.col("origin_city").isNotNull() & F.col("destination_city").isNotNull())  # FLT5
     for c in list(FLIGHT_SHEET_COLUMNS.values())[2:]:
         df = df.withColumn(c, to_number(F.col(c)))
-    df = df.withColumn("co2_savings_tco2e", F.col("aviation_emissions_tco2e") - F.col("train_emissions_tco2e"))
+    df = df.withColumn("co2_savings_tco2e", F.col("aviation_emissions_tco2e") - F.col("train_emissions_tco2e"))  # SCL16
     return df.orderBy("ord").limit(sample_size)
 
 

@@ -86,6 +86,7 @@ def trip_stop_ids(tables: GtfsTables, kind: str) -> DataFrame:
         # only this kind's feeds are aggregated (with feed-partitioned storage
         # the filter prunes whole folders)
         stop_times = stop_times.join(feeds.select("feed_id"), "feed_id", "left_semi")
+    # JON4/JON5: one join brings both endpoints (they come from one aggregate)
     t = t.join(trip_endpoints(stop_times, scope), keys, "left")
     if kind == "night":
         first, last = F.col("first_stop_id"), F.col("last_stop_id")
@@ -99,7 +100,8 @@ def trip_stop_ids(tables: GtfsTables, kind: str) -> DataFrame:
 
 
 def stop_role(tables: GtfsTables, role: str) -> DataFrame:
-    """Stops dimension in one endpoint role, with its normalized name.
+    """PRJ1: stops dimension in one endpoint role (``origin_*`` / ``dest_*``),
+    with its normalized name; joined by JON2 (origin) and JON3 (destination).
 
     FLT1 (name non-null and non-blank) is applied on the dimension."""
     scope = list(tables.scope)
@@ -129,7 +131,8 @@ def attach_stations(endpoints: DataFrame, tables: GtfsTables) -> DataFrame:
     """JON1-JON5 + FLT1 + PRJ6: route short name and both stations."""
     scope = list(tables.scope)
     routes = tables.routes.select(*scope, "route_id", "route_short_name")
-    df = endpoints.join(routes, [*scope, "route_id"], "left")
+    df = endpoints.join(routes, [*scope, "route_id"], "left")  # JON1
+    # JON2 / JON3; inner joins: FLT1 would drop the unmatched rows anyway
     df = df.join(stop_role(tables, "origin"), [*scope, "first_stop_id"])
     df = df.join(stop_role(tables, "destination"), [*scope, "last_stop_id"])
     return df.withColumn("route_name", route_name("route_short_name", "origin_name", "destination_name"))
@@ -149,9 +152,11 @@ def feed_routes(tables: GtfsTables, kind: str, station_map=None) -> DataFrame:
     df = attach_stations(patterns, tables)
     df = df.withColumn(
         "distance_km", haversine_km("origin_lat", "origin_lon", "dest_lat", "dest_lon")
-    ).filter(F.col("distance_km").isNotNull())
+    ).filter(F.col("distance_km").isNotNull())  # SCL3, FLT2 (distance 0 is kept)
     df = dedupe_pairs(df, "origin", "destination", ["feed_id"], FEED_PAIR_ORDER)
     country = country_rule(kind)
+    # PRJ10 final projection; PRJ3 service_type; PRJ7 display name (SCL2);
+    # SCL4/SCL5 countries
     return df.select(
         "feed_id", "feed_ord",
         "route_name", "origin", "destination",

@@ -25,6 +25,7 @@ def environmental_impact(routes: DataFrame, factors: DataFrame, calculation_date
     """
     if "distance_km" not in routes.columns:  # FLT8
         raise ValueError(f"routes have no 'distance_km' column: {routes.columns}")
+    # JON8: the one-row factor table as a scalar subquery
     f = factors.select(F.struct("train_gco2_pkm", "plane_gco2_pkm").alias("f")).scalar()
     with_f = routes.select(
         "*",
@@ -39,10 +40,10 @@ def environmental_impact(routes: DataFrame, factors: DataFrame, calculation_date
         "*",
         round_kg(t_raw).alias("train_co2_kg"),
         round_kg(p_raw).alias("plane_co2_kg"),
-        round_kg(p_raw - t_raw).alias("co2_savings_kg"),
+        round_kg(p_raw - t_raw).alias("co2_savings_kg"),  # SCL11: from unrounded values
         F.when(d != 0, ratio_half_up((plane - train) * F.lit(100), plane, 1)).alias("savings_percent"),
-        F.lit(EMISSION_SOURCE).alias("emission_source"),
-        when.alias("calculation_date"),
+        F.lit(EMISSION_SOURCE).alias("emission_source"),  # PRJ4
+        when.alias("calculation_date"),  # PRJ5
     )
 
 

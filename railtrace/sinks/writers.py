@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+# SNK1 extracted routes, SNK2 cleaned routes (folders are created by the
+# writer; an empty result is visible in the manifest), SNK3 emission tables.
 def write_table(
     df: DataFrame,
     path: str,

@@ -90,8 +90,9 @@ def _header(spark: SparkSession, file: str) -> list[str] | None:
 
 
 def _read_group(spark: SparkSession, table: str, files: list[str], header: list[str], path_to_feed: DataFrame) -> DataFrame:
-    """SRC1-SRC4 for all files of one table that share a header: one scan,
-    columns selected by name, ``feed_id`` from the file path."""
+    """SRC1 (stops), SRC2 (trips), SRC3 (routes), SRC4 (stop_times) for all
+    files of one table that share a header: one scan, columns selected by
+    name, ``feed_id`` from the file path."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(files)
     raw = raw.toDF(*header)
     cols = []
