@@ -53,10 +53,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet scan of a test table; one DataFrame per session and path
     (a plan, not cached data), so views over the same table share it."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), id(spark._jsparkSession), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _SCANS[key] = spark.read.parquet(path)
+    return df
 
 
 def spread(df: DataFrame) -> DataFrame:
