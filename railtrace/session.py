@@ -25,6 +25,24 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster run (e.g. ~100 TB of stop times on
+# ~1000 executors); pass them with spark-submit --conf.  Shuffle partition
+# counts start high and AQE coalesces them to ~256 MB each; scans split files
+# into 256 MB tasks; skewed join partitions (a hub stop) are split.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "railtrace") -> SparkSession:
     """A local session for tests and benchmarks (not for cluster jobs)."""
     builder = (
