@@ -124,7 +124,7 @@ CTES: list[tuple[str, str]] = [
     ("feeds", _feeds_values(False)),
     ("feeds_fb", _feeds_values(True)),
     ("stops", """SELECT CAST(p_partkey AS VARCHAR) AS stop_id, p_name AS stop_name,
-        CASE WHEN p_partkey % 97 <> 0 THEN CAST((p_partkey * 7919) % 2500 AS DOUBLE) / 100.0 + 35.0 END AS stop_lat,
+        CASE WHEN p_size <> 50 THEN CAST((p_partkey * 7919) % 2500 AS DOUBLE) / 100.0 + 35.0 END AS stop_lat,
         CAST((p_partkey * 104729) % 4000 AS DOUBLE) / 100.0 - 10.0 AS stop_lon FROM part"""),
     ("stop_times", """SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_partkey AS VARCHAR) AS stop_id,
         l_linenumber AS stop_sequence FROM lineitem"""),
@@ -132,8 +132,8 @@ CTES: list[tuple[str, str]] = [
         CAST(o_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey AS VARCHAR) AS route_id,
         CAST(o_custkey AS VARCHAR) AS start_stop_id, CAST(o_custkey + 1 AS VARCHAR) AS end_stop_id FROM orders"""),
     ("routes", """SELECT CAST(c_custkey AS VARCHAR) AS route_id,
-        CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 10 = 1 THEN '  '
-             WHEN c_custkey % 10 = 2 THEN ' red plate ' ELSE c_mktsegment END AS route_short_name FROM customer"""),
+        CASE WHEN c_nationkey = 0 THEN NULL WHEN c_nationkey = 1 THEN '  '
+             WHEN c_nationkey = 2 THEN ' red plate ' ELSE c_mktsegment END AS route_short_name FROM customer"""),
     ("ends", """SELECT trip_id,
         first(stop_id ORDER BY stop_sequence ASC NULLS FIRST, stop_id ASC NULLS FIRST) AS first_stop_id,
         first(stop_id ORDER BY stop_sequence DESC NULLS LAST, stop_id DESC NULLS LAST) AS last_stop_id
@@ -240,7 +240,7 @@ CTES += [
              AS DECIMAL(12,6)) AS car_gco2_pkm
         FROM reference"""),
     ("flights", """SELECT * FROM (SELECT o.o_orderkey AS ord, n1.n_name AS origin_city,
-        CASE WHEN o.o_orderkey % 11 <> 0 THEN n2.n_name END AS destination_city,
+        CASE WHEN c.c_acctbal >= 0 THEN n2.n_name END AS destination_city,
         CAST(o.o_custkey AS DOUBLE) AS passengers_2019, o.o_totalprice / 100 AS distance_km,
         CASE WHEN c.c_acctbal > 0 THEN c.c_acctbal / 1000 END AS train_time_hours,
         o.o_totalprice AS aviation_emissions_tco2e, o.o_totalprice / 8 AS train_emissions_tco2e,
