@@ -90,3 +90,13 @@ def test_impact(spark):
     assert [tuple(r) for r in I.impact_by_country(imp).collect()] == [("FR", 1, Decimal("50.79"), Decimal("0.05"))]
     assert [r.origin for r in I.top_routes(imp, 1).collect()] == ["a"]
     assert "distance_km" in imp.columns
+
+
+def test_savings_identity_on_driver_tables(spark):
+    """plane - train = savings within 0.01 kg on every route."""
+    import __spark_entry__ as entry
+    from pyspark.sql import functions as F
+
+    imp = entry.queries()["route_impact"](spark, "/root/testdata/sf0.001")
+    bad = imp.filter(F.abs(F.col("plane_co2_kg") - F.col("train_co2_kg") - F.col("co2_savings_kg")) > F.lit(0.01)).count()
+    assert bad == 0 and imp.count() > 0
