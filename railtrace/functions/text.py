@@ -186,9 +186,13 @@ def to_number(c) -> Column:
 
 def route_label(a, b) -> Column:
     """``a → b`` (U+2192 with spaces), as in route names."""
+    if isinstance(a, str) and isinstance(b, str):
+        return F.expr(f"concat(`{a}`, '{ROUTE_ARROW}', `{b}`)")
     return F.concat(_col(a), F.lit(ROUTE_ARROW), _col(b))
 
 
 def is_blank(c) -> Column:
     """null, or empty after Spark ``trim`` (spaces only)."""
-    return _col(c).isNull() | (F.trim(_col(c)) == "")
+    if isinstance(c, str):
+        return F.expr(f"`{c}` IS NULL OR trim(`{c}`) = ''")
+    return c.isNull() | (F.trim(c) == "")

@@ -31,17 +31,29 @@ def pair_key(a, b) -> tuple[Column, Column]:
     return F.least(_col(a), _col(b)), F.greatest(_col(a), _col(b))
 
 
+def _sql(item) -> str:
+    """A column name as a quoted SQL identifier; other strings are SQL as is."""
+    return f"`{item}`" if item.isidentifier() else item
+
+
 def keep_first(df: DataFrame, partition_by: Sequence, order_by: Sequence) -> DataFrame:
-    """One row per ``partition_by`` key: the first in ``order_by`` order."""
-    w = Window.partitionBy(*partition_by).orderBy(*order_by)  # names or Columns
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    """One row per ``partition_by`` key: the first in ``order_by`` order.
+
+    Keys and order items are column names or SQL expressions (ascending,
+    nulls first: Spark's default order)."""
+    if all(isinstance(c, str) for c in [*partition_by, *order_by]):
+        part = ", ".join(_sql(c) for c in partition_by)
+        order = ", ".join(f"{_sql(c)} ASC NULLS FIRST" for c in order_by)
+        rn = F.expr(f"row_number() OVER (PARTITION BY {part} ORDER BY {order})")
+    else:
+        rn = F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order_by))
+    return df.withColumn("_rn", rn).filter("_rn = 1").drop("_rn")
 
 
 def dedupe_pairs(df: DataFrame, a: str, b: str, within: Sequence[str], order_by: Sequence) -> DataFrame:
     """DED1/DED4: one row per undirected (a, b) pair within ``within``."""
-    lo, hi = pair_key(a, b)
     out = keep_first(
-        df.withColumn("_pair_lo", lo).withColumn("_pair_hi", hi),
+        df.selectExpr("*", f"least(`{a}`, `{b}`) AS _pair_lo", f"greatest(`{a}`, `{b}`) AS _pair_hi"),
         [*within, "_pair_lo", "_pair_hi"],
         order_by,
     )

@@ -36,26 +36,27 @@ def emission_reference(sheet: DataFrame) -> DataFrame:
     )
 
 
-def first_match(value: Column, cond: Column) -> Column:
-    """Aggregate: ``value`` of the first row (by ``ord``) where ``cond`` holds.
+def first_match(value: str, cond: str) -> Column:
+    """Aggregate: ``value`` of the first row (by ``ord``) where ``cond`` holds
+    (both SQL text).
 
     Wrapped in a struct so that "no row" (null) and "row with null value"
     (struct holding null) stay distinguishable (SURVEY D7)."""
-    return F.min_by(F.struct(value.alias("v")), F.when(cond, F.col("ord")))
+    return F.expr(f"min_by(struct({value} AS v), CASE WHEN {cond} THEN ord END)")
 
 
-def _contains(s: str, case: bool = True) -> Column:
-    """FLT6: substring test on the mode, case-sensitive or not."""
-    mode = F.col("transport_mode")
-    return mode.contains(s) if case else F.lower(mode).contains(s.lower())
+def _contains(s: str, case: bool = True) -> str:
+    """FLT6: substring test on the mode, case-sensitive or not (SQL text)."""
+    lit = "'" + (s if case else s.lower()).replace("'", "''") + "'"
+    return f"contains(transport_mode, {lit})" if case else f"contains(lower(transport_mode), {lit})"
 
 
 def baselines(reference: DataFrame) -> DataFrame:
     """LKP2: first modes containing 'Plane' / 'Car' (case-sensitive); null
     when absent, null or zero."""
     return reference.agg(
-        first_match(F.col("gco2_per_pkm"), _contains("Plane")).v.alias("plane"),
-        first_match(F.col("gco2_per_pkm"), _contains("Car")).v.alias("car"),
+        first_match("gco2_per_pkm", _contains("Plane")).v.alias("plane"),
+        first_match("gco2_per_pkm", _contains("Car")).v.alias("car"),
     ).select(
         F.struct(
             F.nullif("plane", F.lit(0.0)).alias("plane"),
@@ -80,10 +81,9 @@ def emission_summary(reference: DataFrame) -> DataFrame:
 def headline_saving(reference: DataFrame) -> DataFrame:
     """OPS11 (AGG12): night train versus plane, first rows containing
     'Night Train' and 'Plane'; no row when either is missing."""
-    g = F.col("gco2_per_pkm")
     s = reference.agg(
-        first_match(g, _contains("Night Train")).alias("t"),
-        first_match(g, _contains("Plane")).alias("p"),
+        first_match("gco2_per_pkm", _contains("Night Train")).alias("t"),
+        first_match("gco2_per_pkm", _contains("Plane")).alias("p"),
     ).filter(F.col("t").isNotNull() & F.col("p").isNotNull())
     return s.select(
         F.col("t.v").alias("night_train_gco2_pkm"),
@@ -104,15 +104,14 @@ def emission_factors(reference: DataFrame | None, spark: SparkSession | None = N
         return spark.range(1).select(
             *[factor(F.lit(v)).alias(f"{k}_gco2_pkm") for k, v in DEFAULT_FACTORS.items()]
         )
-    g = F.col("gco2_per_pkm")
     conds = {
         "train": _contains("Night Train", case=False),
-        "plane": F.col("transport_mode") == "Plane",
+        "plane": "transport_mode = 'Plane'",
         "car": _contains("Car", case=False),
     }
-    firsts = reference.agg(*[first_match(g, c).alias(k) for k, c in conds.items()])
-    return firsts.select(*[
-        factor(F.when(F.col(k).isNull(), F.lit(float(DEFAULT_FACTORS[k]))).otherwise(F.col(k).v)).alias(f"{k}_gco2_pkm")
+    firsts = reference.agg(*[first_match("gco2_per_pkm", c).alias(k) for k, c in conds.items()])
+    return firsts.selectExpr(*[
+        f"try_cast(CASE WHEN {k} IS NULL THEN {float(DEFAULT_FACTORS[k])}D ELSE {k}.v END AS DECIMAL(12,6)) AS {k}_gco2_pkm"
         for k in conds
     ])
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from railtrace.functions.countries import country_rule, default_station_map
 from railtrace.functions.geo import haversine_km
-from railtrace.functions.text import is_blank, route_label, simplify_station
+from railtrace.functions.text import ROUTE_ARROW, is_blank, route_label, simplify_station
 from railtrace.operators.dedup import dedupe_directed, dedupe_pairs
 from railtrace.schemas import ROUTE_COLUMNS
 from railtrace.sources.gtfs import GtfsTables
@@ -51,15 +51,13 @@ def trip_endpoints(stop_times: DataFrame, scope=("feed_id",)) -> DataFrame:
 
 def _feeds_of_kind(tables: GtfsTables, kind: str) -> DataFrame:
     feeds = tables.feeds
-    has_st = F.col("has_stop_times") if "has_stop_times" in feeds.columns else F.lit(True)
-    has_req = F.col("has_required") if "has_required" in feeds.columns else F.lit(True)
-    out = feeds.filter((F.col("kind") == kind) & F.coalesce(has_req, F.lit(False))).select(
-        "feed_id",
-        F.col("country").alias("feed_country"),
-        F.col("ord").alias("feed_ord"),
-        F.coalesce(has_st, F.lit(True)).alias("has_stop_times"),
+    cols = set(feeds.columns)
+    has_st = "coalesce(has_stop_times, true)" if "has_stop_times" in cols else "true"
+    has_req = "coalesce(has_required, false)" if "has_required" in cols else "true"
+    out = feeds.filter(f"kind = '{kind}' AND {has_req}").selectExpr(
+        "feed_id", "country AS feed_country", "ord AS feed_ord", f"{has_st} AS has_stop_times",
     )
-    if kind == "night":  # night feeds need all four files (N:154-158)
+    if kind == "night":  # night feeds need all four files
         out = out.filter("has_stop_times")
     # the registry has one row per feed folder: a fixed, configuration-sized table
     return F.broadcast(out)
@@ -96,7 +94,7 @@ def trip_stop_ids(tables: GtfsTables, kind: str) -> DataFrame:
     return t.select(
         *dict.fromkeys(["feed_id", *keys]), "feed_country", "feed_ord", "route_id",
         first.alias("first_stop_id"), last.alias("last_stop_id"),
-    ).filter(F.col("first_stop_id").isNotNull() & F.col("last_stop_id").isNotNull())
+    ).filter("first_stop_id IS NOT NULL AND last_stop_id IS NOT NULL")
 
 
 def stop_role(tables: GtfsTables, role: str) -> DataFrame:
@@ -109,22 +107,24 @@ def stop_role(tables: GtfsTables, role: str) -> DataFrame:
     name = "origin_name" if role == "origin" else "destination_name"
     norm = "origin" if role == "origin" else "destination"
     key = "first_stop_id" if role == "origin" else "last_stop_id"
-    return tables.stop_names.select(
+    return tables.stop_names.selectExpr(
         *scope,
-        F.col("stop_id").alias(key),
-        F.col("stop_name").alias(name),
-        F.col("stop_lat").alias(f"{pre}_lat"),
-        F.col("stop_lon").alias(f"{pre}_lon"),
-        F.col("norm_name").alias(norm),
+        f"stop_id AS {key}", f"stop_name AS {name}", f"stop_lat AS {pre}_lat",
+        f"stop_lon AS {pre}_lon", f"norm_name AS {norm}",
     )
 
 
 def route_name(short_name, origin_name, destination_name) -> Column:
     """PRJ6: the short name unless null, blank, or equal (trimmed) to the
     origin name; then ``origin → destination`` from the raw names."""
-    sn = F.col(short_name) if isinstance(short_name, str) else short_name
+    if isinstance(short_name, str):
+        sn, o, d = f"`{short_name}`", f"`{origin_name}`", f"`{destination_name}`"
+        return F.expr(
+            f"CASE WHEN {sn} IS NULL OR trim({sn}) = '' OR trim({sn}) = trim({o}) "
+            f"THEN concat({o}, '{ROUTE_ARROW}', {d}) ELSE {sn} END"
+        )
     o, d = F.col(origin_name), F.col(destination_name)
-    return F.when(is_blank(sn) | (F.trim(sn) == F.trim(o)), route_label(o, d)).otherwise(sn)
+    return F.when(is_blank(short_name) | (F.trim(short_name) == F.trim(o)), route_label(o, d)).otherwise(short_name)
 
 
 def attach_stations(endpoints: DataFrame, tables: GtfsTables) -> DataFrame:

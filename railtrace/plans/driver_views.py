@@ -151,33 +151,24 @@ def gtfs(spark: SparkSession, sf_dir: str, fallback: bool = False) -> GtfsTables
 def mode_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mode sheet as exported text: ord, then three positional columns
     (mode, factor, factor with radiative forcing) and an ignored fourth."""
-    p = read_table(spark, sf_dir, "part")
-    item = F.element_at(F.split("p_name", " "), -1)
-    adj = F.element_at(F.split("p_name", " "), 1)
-    mode = None
-    for word, name in MODE_OF_ITEM:
-        mode = F.when(item == word, F.lit(name)) if mode is None else mode.when(item == word, F.lit(name))
-    mode = mode.otherwise(F.initcap(item))
-    size = F.col("p_size")
+    item = "element_at(split(p_name, ' '), -1)"
+    adj = "element_at(split(p_name, ' '), 1)"
+    mode = "CASE " + " ".join(f"WHEN {item} = '{w}' THEN '{m}'" for w, m in MODE_OF_ITEM) + f" ELSE initcap({item}) END"
     label = (
-        F.when(size == 1, F.lit(None).cast("string"))          # no mode
-        .when(size == 2, F.lit(" * "))                          # mode of only '*'
-        .when(adj == "new", F.concat(mode, F.lit("*")))         # bare mode with marker
-        .when(adj == "cold", F.lower(mode))                     # lower-case spelling
-        .otherwise(F.concat(F.initcap(adj), F.lit(" "), mode, F.lit(" **")))
+        "CASE WHEN p_size = 1 THEN CAST(NULL AS STRING)"        # no mode
+        " WHEN p_size = 2 THEN ' * '"                            # mode of only '*'
+        f" WHEN {adj} = 'new' THEN concat({mode}, '*')"          # bare mode with marker
+        f" WHEN {adj} = 'cold' THEN lower({mode})"               # lower-case spelling
+        f" ELSE concat(initcap({adj}), ' ', {mode}, ' **') END"
     )
-    price = F.col("p_retailprice").cast("string")
+    price = "CAST(p_retailprice AS STRING)"
     factor = (
-        F.when(size == 3, F.lit("n/a"))
-        .when(size == 4, F.replace(price, F.lit("."), F.lit(",")))
-        .when(size == 5, F.lit(""))
-        .when(size == 6, F.lit("1e3"))
-        .otherwise(price)
+        f"CASE WHEN p_size = 3 THEN 'n/a' WHEN p_size = 4 THEN replace({price}, '.', ',')"
+        f" WHEN p_size = 5 THEN '' WHEN p_size = 6 THEN '1e3' ELSE {price} END"
     )
-    rf = F.when(size == 7, F.lit("1.0d")).otherwise((F.col("p_retailprice") * 3).cast("string"))
-    return p.select(
-        F.col("p_partkey").alias("ord"),
-        label.alias("c0"), factor.alias("c1"), rf.alias("c2"), F.col("p_brand").alias("c3"),
+    rf = "CASE WHEN p_size = 7 THEN '1.0d' ELSE CAST(p_retailprice * 3 AS STRING) END"
+    return read_table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS ord", f"{label} AS c0", f"{factor} AS c1", f"{rf} AS c2", "p_brand AS c3",
     )
 
 
