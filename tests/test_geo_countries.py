@@ -1,7 +1,6 @@
 from decimal import Decimal
 from math import asin, cos, radians, sin, sqrt
 
-from pyspark.sql import functions as F
 
 from railtrace.functions.countries import day_country, night_country
 from railtrace.functions.geo import haversine_km
