@@ -27,7 +27,7 @@ from railtrace.functions.geo import haversine_km
 from railtrace.functions.text import ROUTE_ARROW, is_blank, route_label, simplify_station
 from railtrace.operators.dedup import dedupe_directed, dedupe_pairs
 from railtrace.schemas import ROUTE_COLUMNS
-from railtrace.sources.gtfs import GtfsTables
+from railtrace.sources.gtfs import MAX_BROADCAST_ROWS, GtfsTables
 
 
 def trip_endpoints(stop_times: DataFrame, scope=("feed_id",)) -> DataFrame:
@@ -59,8 +59,9 @@ def _feeds_of_kind(tables: GtfsTables, kind: str) -> DataFrame:
     )
     if kind == "night":  # night feeds need all four files
         out = out.filter("has_stop_times")
-    # the registry has one row per feed folder: a fixed, configuration-sized table
-    return F.broadcast(out)
+    # one row per feed folder; broadcast after its row count is checked (a
+    # registry built from Python rows has no size statistics for the planner)
+    return F.broadcast(out) if tables.feed_count <= MAX_BROADCAST_ROWS else out
 
 
 def trip_stop_ids(tables: GtfsTables, kind: str) -> DataFrame:

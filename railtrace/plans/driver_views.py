@@ -145,7 +145,7 @@ def gtfs(spark: SparkSession, sf_dir: str, fallback: bool = False) -> GtfsTables
         stop_times=stop_times(spark, sf_dir),
         feeds=feeds(spark, fallback),
         scope=(),
-    )
+    ).known_feed_count(2 * len(PRIORITIES))
 
 
 def mode_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,9 +177,9 @@ def flight_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation is a fixed 25-row table
-    n1 = F.broadcast(n.select(F.col("n_nationkey").alias("k1"), F.col("n_name").alias("city1")))
-    n2 = F.broadcast(n.select(F.col("n_nationkey").alias("k2"), F.col("n_name").alias("city2")))
+    # nation has 25 rows; the planner broadcasts it from its measured size
+    n1 = n.select(F.col("n_nationkey").alias("k1"), F.col("n_name").alias("city1"))
+    n2 = n.select(F.col("n_nationkey").alias("k2"), F.col("n_name").alias("city2"))
     df = o.join(c, o.o_custkey == c.c_custkey, "left")
     df = df.join(n1, F.col("c_nationkey") == F.col("k1"), "left")
     df = df.join(n2, (F.col("c_nationkey") + F.col("o_orderkey")) % 25 == F.col("k2"), "left")

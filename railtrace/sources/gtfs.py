@@ -52,6 +52,17 @@ class GtfsTables:
     def with_feeds(self, feeds: DataFrame) -> "GtfsTables":
         return replace(self, feeds=feeds)
 
+    @cached_property
+    def feed_count(self) -> int:
+        """Rows of the registry, the proof that it may be broadcast: counted
+        once (a small job) unless the builder already knows it."""
+        return self.feeds.count()
+
+    def known_feed_count(self, n: int) -> "GtfsTables":
+        """Record a registry size known from construction."""
+        self.__dict__["feed_count"] = n
+        return self
+
     @cached_property
     def stop_names(self) -> DataFrame:
         """Stops with a usable name (FLT1) and their normalized name, built
@@ -73,6 +84,11 @@ def feed_registry(spark: SparkSession, feeds: Iterable[Sequence]) -> DataFrame:
     return spark.createDataFrame(rows, FEEDS)
 
 
+# Largest configuration table (feeds, feed files) that is broadcast; larger
+# ones are joined by shuffle.
+MAX_BROADCAST_ROWS = 100_000
+
+
 def _clean_name(name: str) -> str:
     return name.replace("\ufeff", "").strip()
 
@@ -104,8 +120,10 @@ def _read_group(spark: SparkSession, table: str, files: list[str], header: list[
         else:
             raise ValueError(f"{table}.txt in {files[0]} has no column {name!r}")
     tagged = raw.select(_norm_path(F.col("_metadata.file_path")).alias("_file"), *cols)
-    # the path table has one row per feed file: configuration-sized
-    return tagged.join(F.broadcast(path_to_feed), "_file").select("feed_id", *GTFS_COLUMNS[table])
+    # one row per feed file, counted on the driver: broadcast below the limit
+    small = len(files) <= MAX_BROADCAST_ROWS
+    return tagged.join(F.broadcast(path_to_feed) if small else path_to_feed, "_file").select(
+        "feed_id", *GTFS_COLUMNS[table])
 
 
 def _empty(spark: SparkSession, table: str) -> DataFrame:
@@ -151,7 +169,7 @@ def read_feeds(spark: SparkSession, registry: DataFrame) -> GtfsTables:
         routes=tables["routes"],
         stop_times=tables["stop_times"],
         feeds=registry.join(flag_df, "feed_id", "left"),
-    )
+    ).known_feed_count(len(feeds))
 
 
 def _plain_path(path: str) -> str:

@@ -34,3 +34,12 @@ def test_dedup_uses_partial_group_limit(spark):
 def test_scans_prune_columns(spark):
     p = E.queries()["trip_endpoints"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int>" in p
+
+
+def test_registry_is_the_broadcast_side(spark):
+    """The feed registry (size-checked) is broadcast; trips are never the
+    build side of that join."""
+    import re
+
+    p = plan(E.queries()["extract_night"](spark, SF))
+    assert re.search(r"BroadcastHashJoin \[feed_id#\d+\], \[feed_id#\d+\], Inner, BuildRight", p)
