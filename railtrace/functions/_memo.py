@@ -20,14 +20,18 @@ def _plain(x) -> bool:
     return isinstance(x, _PLAIN) or (isinstance(x, tuple) and all(_plain(i) for i in x))
 
 
+def _freeze(x):
+    """Lists (e.g. a station map of pairs) become tuples so they can be keys."""
+    return tuple(_freeze(i) for i in x) if isinstance(x, (list, tuple)) else x
+
+
 def memo_column(fn):
     cache: dict = {}
 
     @functools.wraps(fn)
     def wrapper(*args, **kwargs):
-        key_args = tuple(tuple(a) if isinstance(a, list) and all(_plain(tuple(i) if isinstance(i, list) else i) for i in a) else a for a in args)
-        key_args = tuple(tuple(tuple(i) if isinstance(i, list) else i for i in a) if isinstance(a, tuple) else a for a in key_args)
-        if not kwargs and all(_plain(a) for a in key_args):
+        key_args = _freeze(args)
+        if not kwargs and _plain(key_args):
             sc = SparkContext._active_spark_context
             key = (id(sc), id(getattr(sc, "_jsc", None)), key_args)
             hit = cache.get(key)
