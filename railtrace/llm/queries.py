@@ -5,10 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtrace.llm import line_dedup, secrets, url_filter
+from railtrace.llm import line_dedup, packing, secrets, token_files, url_filter
 from railtrace.llm.common import table
 
 
+END_ID = 2  # ends every document
+
+
+def word_tokenizer() -> str:
+    """The public tokenizer's file; it is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, word_tokenizer(), END_ID, packing.Limits(tokens=4096, segments=128, loss=4096))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = token_files.write_token_files(docs, token_files.new_folder(spark), word_tokenizer(), END_ID)
+    return token_files.read_documents(manifest).withColumnRenamed("id", "doc_id")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.judge_urls(pages, url_filter.rules_table(spark))
@@ -48,6 +69,8 @@ def _joined(spans: str) -> str:
 
 
 QUERIES = {
+    "op1_vector_packing": op1_vector_packing,
+    "op6_token_files": op6_token_files,
     "op7_url_filter": op7_url_filter,
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_ledger": op10_secret_ledger,
