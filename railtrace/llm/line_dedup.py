@@ -15,7 +15,8 @@ returns; blank lines are neither counted nor dropped; a null text stays null
 with 0 lines; an empty text is one blank line; pages with a null host form one
 host; rows of one id are pages of their own when counted and share their drops; a host
 of fewer than ``min_pages`` pages keeps all lines; an empty table gives an empty
-result; other columns pass through unread.
+result; other columns pass through unread, but for
+those named like an added one, which is replaced.
 """
 
 from __future__ import annotations
@@ -77,7 +78,7 @@ def drop_boilerplate(
     n_lines = f"CASE WHEN {text} IS NULL THEN 0L ELSE CAST(length({text}) - length(replace({text}, '\\n', '')) + 1 AS BIGINT) END"
     cleaned = F.expr(f"CASE WHEN d.drop_ IS NULL THEN {text} ELSE array_join({kept}, '\\n') END")
     dropped = F.expr(f"CASE WHEN d.drop_ IS NULL THEN 0L ELSE {n_lines} - CAST(size({kept}) AS BIGINT) END")
-    columns = [cleaned.alias(c) if c == text_col else F.col(f"p.{q(c)}") for c in pages.columns]
+    columns = [cleaned.alias(c) if c == text_col else F.col(f"p.{q(c)}") for c in pages.columns if c not in ("n_lines_", "n_dropped_")]
     return joined.select(*columns, F.expr(n_lines).alias("n_lines_"), dropped.alias("n_dropped_"))
 
 

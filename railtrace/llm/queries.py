@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtrace.llm import line_dedup, packing, secrets, token_files, url_filter
+from railtrace.llm import fm_index, line_dedup, packing, secrets, token_files, url_filter
 from railtrace.llm.common import table
 
 
@@ -39,6 +39,18 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = fm_index.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    n_hit = F.expr("aggregate(spans_, 0L, (n, s) -> n + s.end - s.start)")
+    return found.select(
+        "doc_id", F.col("n_words_").alias("n_words"), n_hit.alias("n_hit"),
+        F.size("items_").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items_", ","), 256).alias("items_sha256"),
+        (F.size("spans_") > 0).alias("contaminated"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     cleaned = line_dedup.drop_boilerplate(docs)
@@ -72,6 +84,7 @@ QUERIES = {
     "op1_vector_packing": op1_vector_packing,
     "op6_token_files": op6_token_files,
     "op7_url_filter": op7_url_filter,
+    "op8_fm_decontamination": op8_fm_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_ledger": op10_secret_ledger,
 }

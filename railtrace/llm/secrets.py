@@ -18,7 +18,7 @@ it are dropped after matching (they still consume their text).
 Defined cases: a null text is an empty blob without findings; equal texts are
 one blob, scanned once, whatever their number; repeated (path, version) rows
 each get their findings; an empty table scans nothing; other columns pass
-through; zero-length matches cannot occur with these rules.
+through, but for those named like an added one; zero-length matches cannot occur with these rules.
 """
 
 from __future__ import annotations
@@ -114,7 +114,7 @@ def findings(versions: DataFrame, ledger: str, text_col: str = "text", rules=RUL
         .withColumnRenamed("blob", "found_blob_")
     )
     paths = versions.select(
-        *[F.col(q(c)) for c in versions.columns if c != text_col], blob_id(text_col).alias("blob_")
+        *[F.col(q(c)) for c in versions.columns if c not in (text_col, "blob_", "found_", "found_blob_")], blob_id(text_col).alias("blob_")
     )
     return paths.join(per_blob, F.col("blob_") == F.col("found_blob_"), "left").drop("found_blob_")
 

@@ -14,7 +14,8 @@ pages is looked up once.
 Defined cases: a null URL, or one without ``://``, has an empty host and path,
 fits no rule and gets the default verdict; hosts keep ports and user parts as
 written; an empty path fits no rule, since every rule path starts with ``/``;
-repeated rows each get their verdict; with no rules all get the default.
+repeated rows each get their verdict; with no rules all get the default;
+other columns pass through, but for those named like one that is added here.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ RULES = [
     ("org", "/fr/", "allow"),
 ]
 DEFAULT_VERDICT = "allow"
+_ADDED = ("host_", "path_", "rule_", "verdict_", "lengths_", "prefixes_", "b_host", "b_prefixes", "found_")
 PREFIX_HEX = 8  # hex digits of the digest that the join key has
 
 _ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -50,8 +52,9 @@ def judge_urls(
     rest = f"coalesce({rest}, '')"
     host = _ASCII_LOWER.format(f"regexp_extract({rest}, '^[^/?#]*', 0)")
     path = f"regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1)"
+    passed = [F.col(q(c)) for c in pages.columns if c not in _ADDED]
     keyed = pages.select(
-        *[F.col(q(c)) for c in pages.columns],
+        *passed,
         F.expr(host).alias("host_"), F.expr(path).alias("path_"),
     )
     # the path lengths that rules have: at most one entry for each length of a path
@@ -89,7 +92,7 @@ def judge_urls(
         best, (F.col("host_") == F.col("b_host")) & (F.col("prefixes_") == F.col("b_prefixes")), "left"
     )
     return judged.select(
-        *[F.col(q(c)) for c in pages.columns], "host_", "path_", "rule_",
+        *passed, "host_", "path_", "rule_",
         F.coalesce("found_", F.lit(default)).alias("verdict_"),
     )
 
