@@ -84,6 +84,33 @@ FROM d LEFT JOIN g USING (doc_id)
 """
 
 
+OP4 = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, w[i:i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)
+), rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n >= 2),
+repw AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY doc_id),
+l AS (
+  SELECT doc_id, source, line, own, array_to_string(own, ' ') AS joined FROM (
+    SELECT doc_id, source, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS own
+    FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS line FROM d)) WHERE len(own) > 0
+), dup AS (SELECT doc_id, sum(n - 1) AS n FROM (SELECT doc_id, line, count(*) AS n FROM l GROUP BY ALL) GROUP BY doc_id),
+k AS (SELECT doc_id, source, len(own) AS n, translate(joined, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+hot AS (SELECT source, key FROM k GROUP BY ALL HAVING count(DISTINCT doc_id) > 100),
+gone AS (SELECT doc_id, sum(n) AS n FROM k JOIN hot ON k.source IS NOT DISTINCT FROM hot.source AND k.key = hot.key GROUP BY doc_id),
+s AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repw.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed_words
+  FROM d LEFT JOIN repw USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN gone USING (doc_id)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * n_removed_words <= n_words AS kept
+FROM s
+"""
+
 OP8 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -109,6 +136,7 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 ORACLE_SQL = {
+    "op4_line_frequency": OP4,
     "op8_fm_decontamination": OP8,
     "op7_url_filter": OP7,
     "op9_line_dedup": OP9,
