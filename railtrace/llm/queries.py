@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtrace.llm import fm_index, line_dedup, packing, quality_rules, secrets, token_files, url_filter
+from railtrace.llm import fm_index, line_dedup, ngram_join, packing, quality_rules, secrets, token_files, url_filter
 from railtrace.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, word_tokenizer(), END_ID, packing.Limits(tokens=4096, segments=128, loss=4096))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
@@ -86,6 +90,7 @@ def _joined(spans: str) -> str:
 
 QUERIES = {
     "op1_vector_packing": op1_vector_packing,
+    "op3_ngram_join": op3_ngram_join,
     "op4_line_frequency": op4_line_frequency,
     "op6_token_files": op6_token_files,
     "op7_url_filter": op7_url_filter,
