@@ -7,16 +7,21 @@ documents link when their Jaccard similarity reaches a percentage.
    corpus.  The most frequent ``FREQUENT`` (a fixed bound) are broadcast; they
    give the global order: rare shingles first, then by hash.  The order decides
    cost alone; links are complete under any.
-2. A second pass writes each document's set size, set fingerprint and prefix:
-   the ``n - ceil(t n) + 1`` first shingles, of which two similar sets must share one.
-   Equal sets are one set from here on, known by the smallest id; a task sends
-   its equal sets once.
-3. Rows (shingle, size, set) are partitioned by shingle and sorted by size; each
-   set is tied to the first of its shingle, or to the one before it, if the sizes
-   allow a link.  No pairs within a group are made: these ties are fewer than
-   the rows.  Their components hold every possible link.
-4. Each component is dealt into units of at most two chunks of about ``CHUNK`` sets, by
-   hash, so that every pair of its sets meets in one unit.  A unit stores one
+2. A second pass writes each document's set size, set fingerprint and first
+   shingles.  Of its first ``n - ceil(t n) + l`` two similar sets share at least
+   ``l`` (a set that had fewer in common with the other would differ in more
+   shingles than the similarity allows), for ``l`` from ``1`` up; ``l`` grows with
+   the size.  Equal sets are one set from here on, known by the smallest id; a
+   task sends its equal sets once.
+3. Rows (shingle, size, set) are partitioned by shingle; those of one set alone
+   end here.  A set that shares fewer than ``l`` of its rows (for the smallest size it
+   can link to) with any other has no links; what passages alone share falls
+   away.  The rest are sorted by size within a shingle; each set is tied to the
+   first of its shingle, or to the one before it, if the sizes allow a link.
+   No pairs within a group are made: ties are fewer than the rows.  Their
+   components hold every possible link.
+4. Each component is dealt into units of two chunks of about ``CHUNK`` sets and
+   ``CHUNK_SHINGLES`` shingles at most, by hash, so that every pair of its sets meets in one unit.  A unit stores one
    chunk's globally ordered sets in a prefix tree and takes the other chunk's sets
    through it: sets that share a path share the overlap counted so far, and a
    subtree is left when the overlap and the longest remainder cannot reach
@@ -50,7 +55,9 @@ PERCENT = 80
 FREQUENT = 1 << 17  # shingles whose frequency is known to the order
 SHARD = 1 << 21  # shingles that a task counts at once
 LOCAL_COUNT = 4  # times a shingle is in a shard to be reported for the order
-CHUNK = 512  # sets of a chunk
+EXTRA = 35  # percent of a prefix that is sent beyond it
+CHUNK = 512  # sets of a chunk, about
+CHUNK_SHINGLES = 1 << 19  # and shingles
 MAX_WORD_HASHES = 300_000
 TABLE_BYTES = 32 << 20  # of a unit's table of shingles by sets
 
@@ -128,49 +135,85 @@ def frequent_shingles(docs: DataFrame, size: int = WORDS) -> tuple[np.ndarray, n
     return known[order], top.column("n").to_numpy()[order]
 
 
-def prefix(found: np.ndarray, known: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles in global order, one of which any similar set must share."""
+def prefix_length(n, percent: int):
+    """How many first shingles must hold one that is shared; for integers and arrays."""
+    return n - -(-percent * n // 100) + 1
+
+
+def must_share(n, percent: int):
+    """How many shingles two similar sets, the smaller of size n, share among those sent."""
+    more = np.maximum(2, EXTRA * prefix_length(n, percent) // 100)
+    return 1 + np.minimum(n - prefix_length(n, percent), more)
+
+
+def first_shingles(found: np.ndarray, known: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles in global order that a set sends."""
     n = len(found)
-    keep = n - -(-percent * n // 100) + 1
     often = np.zeros(n, dtype=np.int64)
     if len(known):
         at = np.minimum(np.searchsorted(known, found), len(known) - 1)
         often = np.where(known[at] == found, counts[at], 0)
-    return found[np.argsort(often, kind="stable")[:keep]]  # ascending hashes break ties
+    order = np.argsort(often, kind="stable")  # ascending hashes break ties
+    return found[order[:prefix_length(n, percent) - 1 + int(must_share(n, percent))]]
 
 
 def _sets(docs: DataFrame, frequent, size: int, percent: int) -> DataFrame:
-    """(id, n, s, prefix) of each document; a task gives equal sets' prefix once."""
+    """(id, n, s, least, sent) of each document; a task gives equal sets' shingles once.
+
+    ``least`` is how many of them a set with links shares.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = sent.value
         seen: set[int] = set()
         for batch in batches:
-            n, s, prefixes = [], [], []
+            n, s, sent_ = [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = shingles(text.as_py(), size)
                 mark = fingerprint(found)
                 n.append(len(found))
                 s.append(mark)
                 if key is None or not len(found) or mark in seen:
-                    prefixes.append(None)
+                    sent_.append(None)
                     continue
                 if len(seen) > 1 << 20:
                     seen.clear()
                 seen.add(mark)
-                prefixes.append(prefix(found, known, counts, percent).view(np.int64))
+                sent_.append(first_shingles(found, known, counts, percent).view(np.int64))
+            smallest = -(-percent * np.array(n, dtype=np.int64) // 100)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int32()), pa.array(s, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["id", "n", "s", "prefix"],
+                [batch.column(0), pa.array(n, pa.int32()), pa.array(s, pa.int64()),
+                 pa.array(must_share(smallest, percent), pa.int32()), pa.array(sent_, pa.list_(pa.int64()))],
+                names=["id", "n", "s", "least", "sent"],
             )
 
-    return docs.mapInArrow(measure, "id long, n int, s long, prefix array<long>")
+    return docs.mapInArrow(measure, "id long, n int, s long, least int, sent array<long>")
+
 
+def _shared_rows(sets: DataFrame) -> DataFrame:
+    """(shingle, n, s, least): the rows whose shingle another set sends too."""
+    rows = sets.where("sent IS NOT NULL").select(F.explode("sent").alias("shingle"), "n", "s", "least")
+    return _shared(rows)
 
-def _ties(sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct ties (an, a, bn, b) between sets that share a prefix shingle and could link by size."""
-    rows = sets.where("prefix IS NOT NULL").select(F.explode("prefix").alias("shingle"), "n", "s")
+
+def _shared(rows: DataFrame) -> DataFrame:
+    # a set that several tasks send stands together: its outer row has the other set beside it
+    order = Window.partitionBy("shingle").orderBy("n", "s")
+    beside = rows.withColumns({"before": F.lag(F.struct("n", "s")).over(order), "after": F.lead(F.struct("n", "s")).over(order)})
+    own = F.struct("n", "s")
+    return beside.where((F.col("before") != own) | (F.col("after") != own)).select("shingle", "n", "s", "least").distinct()
+
+
+def _able(rows: DataFrame) -> DataFrame:
+    """The shared rows of sets that share enough of them to have a link."""
+    able = rows.groupBy("n", "s").agg(F.count("*").alias("shares"), F.first("least").alias("needs"))
+    able = able.where("shares >= needs").select(F.col("n").alias("able_n"), F.col("s").alias("able_s"))
+    return rows.join(able, (F.col("n") == F.col("able_n")) & (F.col("s") == F.col("able_s")), "left_semi")
+
+
+def _ties(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct ties (an, a, bn, b) between sets that share a shingle and could link by size."""
     same = Window.partitionBy("shingle").orderBy("n", "s")
     seen = rows.select(
         "n", "s",
@@ -196,7 +239,9 @@ def similar_documents(
         sets.where("n > 0 AND id IS NOT NULL").groupBy("n", "s").agg(F.min("id").alias("rep"), F.count("*").alias("copies")),
         "representatives",
     )
-    ties = _ties(sets, percent)
+    shared = written(_shared_rows(sets), "shared-shingles")
+    shared = written(_able(_shared(_able(shared))), "shared-shingles")  # what is left after sets fell away
+    ties = _ties(shared, percent)
     ties = (
         ties.join(reps.select(F.col("n").alias("an"), F.col("s").alias("a"), F.col("rep").alias("u")), ["an", "a"])
         .join(reps.select(F.col("n").alias("bn"), F.col("s").alias("b"), F.col("rep").alias("v")), ["bn", "b"])
@@ -224,10 +269,12 @@ def similar_documents(
 
 def _join_units(texts: DataFrame, reps: DataFrame, candidates: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, class, links) from every unit: a class is the smallest node of a unit's links."""
-    sizes = candidates.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("k"))
+    candidates = candidates.join(reps.withColumnRenamed("rep", "node"), "node")
+    sizes = candidates.groupBy("component").agg(
+        F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("k")
+    )
     dealt = (
         candidates.join(sizes, "component")
-        .join(reps.withColumnRenamed("rep", "node"), "node")
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
         .select(
