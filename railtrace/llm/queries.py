@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtrace.llm import fm_index, line_dedup, ngram_join, packing, quality_rules, secrets, token_files, url_filter
+from railtrace.llm import fm_index, line_dedup, ngram_join, ordinal, packing, quality_rules, secrets, token_files, toxicity, url_filter
 from railtrace.llm.common import table
+from railtrace.llm.labelled import held_out
 
 
 END_ID = 2  # ends every document
@@ -24,6 +25,15 @@ def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, word_tokenizer(), END_ID, packing.Limits(tokens=4096, segments=128, loss=4096))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", held_out("doc_id").alias("held_out"), F.col("score_").alias("score"), F.col("predicted_").alias("predicted")
+    )
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -32,6 +42,21 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def quality_grade():
+    """Graded ratings from the labels: 0 poor, 1 sound but toxic, 2 sound and not toxic."""
+    return F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, 2 - F.col("toxic"))
+
+
+def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ordinal.train(docs, table(spark, sf_dir, "labels"), quality_grade())
+    graded = ordinal.grade_documents(docs, model)
+    return graded.select(
+        "doc_id", held_out("doc_id").alias("held_out"), F.col("expected_grade_").alias("expected_grade"),
+        F.col("tail_probability_").alias("tail_probability"), F.col("grade_").alias("grade"), F.col("kept_").alias("kept"),
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     manifest = token_files.write_token_files(docs, token_files.new_folder(spark), word_tokenizer(), END_ID)
@@ -90,8 +115,10 @@ def _joined(spans: str) -> str:
 
 QUERIES = {
     "op1_vector_packing": op1_vector_packing,
+    "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
     "op4_line_frequency": op4_line_frequency,
+    "op5_ordinal_quality": op5_ordinal_quality,
     "op6_token_files": op6_token_files,
     "op7_url_filter": op7_url_filter,
     "op8_fm_decontamination": op8_fm_decontamination,
