@@ -35,7 +35,8 @@ from railtrace.llm.textfeatures import BITS, Adam, Design, WordScores
 TOXIC = 1500  # labelled rows to learn from, at most
 OTHER = 6500
 ROUNDS = 80
-PENALTY = 0.1  # of the squared weights, over the number of texts
+PENALTY = 1.0  # of the squared weights, over the number of texts
+TOXIC_WEIGHT = 3.0  # of a toxic row in the fit, against 1 of another
 THRESHOLD = 0.3
 
 
@@ -58,9 +59,11 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     design = Design([words_of(t) for t in texts])
     toxic, other = 1 + design.gradient(y, scaled=False), 1 + design.gradient(1 - y, scaled=False)
     ratio = np.log((toxic / toxic.sum()) / (other / other.sum()))
+    share = np.where(y == 1, TOXIC_WEIGHT, 1.0)
+    share /= share.sum()
     weights, of_weights, of_bias = np.zeros(1 << BITS), Adam(1 << BITS), Adam(())
     for _ in range(ROUNDS):
-        error = (_sigmoid(design.scores(weights * ratio) + bias) - y) / len(y)
+        error = (_sigmoid(design.scores(weights * ratio) + bias) - y) * share
         weights = weights - of_weights.step(design.gradient(error) * ratio + PENALTY * weights / len(y))
         bias = float(bias - of_bias.step(error.sum()))
     return Model((weights * ratio).astype(np.float32), bias)
