@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from railtrace.session import ensure_checkpoint_dir
 
@@ -27,5 +28,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, run, added: str) -> DataFrame:
+    """``mapInArrow`` by column place, for any column names; ``added`` is DDL of columns that ``run`` appends."""
+    more = StructType.fromDDL(added).fields if added else []
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    fields = [StructField(n, f.dataType, True) for n, f in zip(plain.columns, df.schema)]
+    return plain.mapInArrow(run, StructType(fields + more)).toDF(*df.columns, *[f.name for f in more])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

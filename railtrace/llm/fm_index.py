@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railtrace.llm.common import q
+from railtrace.llm.common import map_batches, q
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20  # words of a shard, but for a longer document
@@ -286,10 +286,7 @@ def _with_block(docs: DataFrame, windows: Windows, text_col: str, first: bool, l
                     yield _result(batch.slice(start, i + 1 - start), shard, block.hits(shard), first, last, text_at)
                     start, size, shard = i + 1, 0, []
 
-    from pyspark.sql.types import StructType
-
-    schema = docs.schema if not first else StructType(docs.schema.fields + StructType.fromDDL(_HITS).fields)
-    return docs.mapInArrow(scan, schema)
+    return map_batches(docs, scan, _HITS if first else "")
 
 
 def _result(batch: pa.RecordBatch, shard, hits, first: bool, last: bool, text_at: int) -> pa.RecordBatch:
@@ -300,7 +297,9 @@ def _result(batch: pa.RecordBatch, shard, hits, first: bool, last: bool, text_at
             (_merged(spans + [(x["start"], x["end"]) for x in a]), items | set(b))
             for (spans, items), a, b in zip(hits, old_spans, old_items)
         ]
-        columns, names = columns[:-3], names[:-3]
+        columns, names, added = columns[:-3], names[:-3], names[-3:]
+    else:
+        added = ["n_words_", "spans_", "items_"]
     if last:
         texts = [
             cut_spans(t, spans) if spans else t
@@ -313,7 +312,7 @@ def _result(batch: pa.RecordBatch, shard, hits, first: bool, last: bool, text_at
         pa.array([[{"start": a, "end": b} for a, b in spans] for spans, _ in hits], span),
         pa.array([sorted(items) for _, items in hits], pa.list_(pa.string())),
     ]
-    return pa.RecordBatch.from_arrays([*columns, *extra], names=[*names, "n_words_", "spans_", "items_"])
+    return pa.RecordBatch.from_arrays([*columns, *extra], names=[*names, *added])
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

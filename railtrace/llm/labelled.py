@@ -49,4 +49,5 @@ def fit_on(
         model = fit([r[1] or "" for r in data], [r[2] for r in data])
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
-    return pickle.loads(rows.repartition(1).mapInArrow(run, "model binary").first()[0])
+    row = rows.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(row[0]) if row else fit([], [])  # no task runs over no rows

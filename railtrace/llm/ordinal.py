@@ -28,9 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from railtrace.llm.common import q
+from railtrace.llm.common import map_batches, q
 from railtrace.llm.labelled import fit_on, sample_labels
 from railtrace.llm.textfeatures import BITS, Adam, Design, WordScores
 
@@ -103,8 +102,9 @@ def train(docs: DataFrame, ratings: DataFrame, grade: Column, id_col: str = "doc
 
 def grade_documents(docs: DataFrame, model: Model, text_col: str = "text", tail: int = TAIL, keep: float = KEEP) -> DataFrame:
     """The documents' columns plus ``expected_grade_``, ``tail_probability_``, ``grade_`` and ``kept_``."""
-    added = StructType.fromDDL("expected_grade_ double, tail_probability_ double, grade_ int, kept_ boolean")
-    passed = docs.select(*[F.col(q(c)) for c in docs.columns if c not in added.fieldNames()])
+    added = "expected_grade_ double, tail_probability_ double, grade_ int, kept_ boolean"
+    names = [f.split()[0] for f in added.split(", ")]
+    passed = docs.select(*[F.col(q(c)) for c in docs.columns if c not in names])
     at = passed.columns.index(text_col)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** BITS weights
 
@@ -118,10 +118,10 @@ def grade_documents(docs: DataFrame, model: Model, text_col: str = "text", tail:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(p @ np.arange(p.shape[1])), pa.array(upper),
                  pa.array(p.argmax(axis=1).astype(np.int32)), pa.array(upper >= keep)],
-                names=[*batch.schema.names, *added.fieldNames()],
+                names=[*batch.schema.names, *names],
             )
 
-    return passed.mapInArrow(run, StructType(passed.schema.fields + added.fields))
+    return map_batches(passed, run, added)
 
 
 def _below(thresholds: np.ndarray, scores: np.ndarray) -> np.ndarray:

@@ -26,9 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from railtrace.llm.common import q
+from railtrace.llm.common import map_batches, q
 from railtrace.llm.labelled import fit_on, sample_labels
 from railtrace.llm.textfeatures import BITS, Adam, Design, WordScores
 
@@ -89,8 +88,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
                 names=[*batch.schema.names, "score_", "predicted_"],
             )
 
-    added = StructType.fromDDL("score_ double, predicted_ int")
-    return passed.mapInArrow(run, StructType(passed.schema.fields + added.fields))
+    return map_batches(passed, run, "score_ double, predicted_ int")
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
