@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
@@ -36,5 +37,20 @@ def map_batches(df: DataFrame, run, added: str) -> DataFrame:
     return plain.mapInArrow(run, StructType(fields + more)).toDF(*df.columns, *[f.name for f in more])
 
 
+@contextmanager
+def batch_bytes(spark: SparkSession, most: int):
+    """Arrow batches of at most about so many bytes, for a job that runs inside the block.
+
+    The default bounds a batch by rows alone; long texts would make it any size.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

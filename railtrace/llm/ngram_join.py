@@ -47,19 +47,20 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railtrace.llm.common import q, written
+from railtrace.llm.common import batch_bytes, q, written
 from railtrace.llm.components import components
 
 WORDS = 5
 PERCENT = 80
 FREQUENT = 1 << 17  # shingles whose frequency is known to the order
-SHARD = 1 << 21  # shingles that a task counts at once
+SHARD = 1 << 20  # shingles that a task counts at once
 LOCAL_COUNT = 4  # times a shingle is in a shard to be reported for the order
 EXTRA = 35  # percent of a prefix that is sent beyond it
 CHUNK = 512  # sets of a chunk, about
-CHUNK_SHINGLES = 1 << 19  # and shingles
-MAX_WORD_HASHES = 300_000
-TABLE_BYTES = 32 << 20  # of a unit's table of shingles by sets
+CHUNK_SHINGLES = 1 << 18  # and shingles
+MAX_WORD_HASHES = 150_000
+BATCH_BYTES = 8 << 20  # of texts that a task takes at once
+TABLE_BYTES = 8 << 20  # of a unit's table of shingles by sets
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX = [np.uint64(xxhash.xxh64_intdigest(f"shingle {i}") | 1) for i in range(64)]
@@ -234,7 +235,9 @@ def similar_documents(
 ) -> DataFrame:
     """(id, n_shingles, component_id, n_links) of each row; the id column must be an integer."""
     texts = docs.select(F.col(q(id_col)).cast("long").alias("id"), F.col(q(text_col)).cast("binary").alias("text"))
-    sets = written(_sets(texts, frequent_shingles(texts.select("text"), words), words, percent), "sets")
+    spark = docs.sparkSession
+    with batch_bytes(spark, BATCH_BYTES):
+        sets = written(_sets(texts, frequent_shingles(texts.select("text"), words), words, percent), "sets")
     reps = written(
         sets.where("n > 0 AND id IS NOT NULL").groupBy("n", "s").agg(F.min("id").alias("rep"), F.count("*").alias("copies")),
         "representatives",
@@ -247,7 +250,9 @@ def similar_documents(
         .join(reps.select(F.col("n").alias("bn"), F.col("s").alias("b"), F.col("rep").alias("v")), ["bn", "b"])
         .select("u", "v")
     )
-    joined = written(_join_units(texts, reps, components(ties), words, percent), "unit-classes")
+    candidates = components(ties)
+    with batch_bytes(spark, BATCH_BYTES):  # near copies may be long texts
+        joined = written(_join_units(texts, reps, candidates, words, percent), "unit-classes")
     classes = components(joined.select(F.col("node").alias("u"), F.col("class").alias("v")))
     degrees = joined.groupBy("node").agg(F.sum("links").alias("links"))
     result = (
