@@ -12,7 +12,6 @@ Layout:
     sinks/      writers and the output manifest
     operators/  DataFrame -> DataFrame building blocks and composites
     plans/      the end-to-end pipeline and the driver-table query set
-    streaming/  intentionally empty (the reference has no streaming)
 """
 
 __version__ = "0.1.0"

@@ -8,14 +8,11 @@ to_number           SCL9  text -> double, bad text -> null
 py_strip                  Python ``str.strip`` (Unicode white space)
 
 The NFKD folding table is derived from :mod:`unicodedata` at first use, so it
-follows the running Python's Unicode version.  Single-character foldings (all
-code points) go into one ``translate`` call.  Multi-character foldings in the
-Latin, number-form and ligature blocks (``½`` -> ``12``, ``ĳ`` -> ``ij``,
-``ﬁ`` -> ``fi``) become regex replacements that only run on strings holding
-such a character.  The ~170 other multi-character foldings (circled and
-parenthesized numbers, squared units, ...) would need a chain too long for
-generated code; ``normalize_text`` drops those characters, and
-``normalize_text_exact`` (Arrow-batched pandas UDF) applies the full rule.
+follows the running Python's Unicode version and covers every code point.
+Single-character foldings go into one ``translate`` call.  Characters that fold
+to several (``½`` -> ``12``, ``ĳ`` -> ``ij``, ``⑩`` -> ``10``) are
+looked up one by one in a literal map, which only runs on strings that hold
+such a character.
 """
 
 from __future__ import annotations
@@ -24,7 +21,6 @@ import functools
 import re
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,8 +41,6 @@ def py_strip(c) -> Column:
     return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
 
 
-# Blocks whose multi-character foldings are expanded natively.
-_NATIVE_MULTI_BLOCKS = [(0x80, 0x24F), (0x1E00, 0x1EFF), (0x2150, 0x218F), (0xFB00, 0xFB4F)]
 # Characters of these blocks that fold to nothing (``ß``, ``ø``, combining
 # marks, curly quotes, dashes) are deleted by the same ``translate`` call; any
 # other non-ASCII character is dropped by a regex that only runs on strings
@@ -72,13 +66,13 @@ def _ranges_class(chars) -> str:
 def _fold_tables():
     """Per code point: ASCII residue of NFKD(lower(ch)) after the class rule.
 
-    Returns (translate_from, translate_to, multi_groups, multi_class):
+    Returns (translate_from, translate_to, multi, multi_class):
     ``translate_from`` lists single-character foldings (mapped to
-    ``translate_to``) followed by characters to delete; ``multi_groups`` are
-    (regex class, replacement) pairs for multi-character foldings.
+    ``translate_to``) followed by characters to delete; ``multi`` maps the
+    characters that fold to several, and ``multi_class`` matches them.
     """
     src, dst, delete = [], [], []
-    multi: dict[str, list[str]] = {}
+    multi: dict[str, str] = {}
     for cp in range(0x110000):
         if 0xD800 <= cp <= 0xDFFF:
             continue
@@ -97,54 +91,32 @@ def _fold_tables():
             if out != ch:
                 src.append(ch)
                 dst.append(out)
-        elif any(lo <= cp <= hi for lo, hi in _NATIVE_MULTI_BLOCKS):
-            multi.setdefault(out, []).append(ch)
-    groups = [(_ranges_class(chars), out) for out, chars in sorted(multi.items())]
-    every_multi = _ranges_class([c for chars in multi.values() for c in chars])
-    return "".join(src + delete), "".join(dst), groups, every_multi
+        else:
+            multi[ch] = out
+    return "".join(src + delete), "".join(dst), multi, _ranges_class(multi)
 
 
 @memo_column
 def normalize_text(c) -> Column:
-    """SCL1.  null/blank -> ''.  Equal to
-    ``re.sub(' +',' ', re.sub('[^a-z0-9 ]',' ', ascii(NFKD(lower(s))))).strip()``.
+    """SCL1: lower case, compatibility folding to ASCII, anything but letters
+    and digits to a space, spaces collapsed.  null/blank -> ''.
 
     One ``translate`` does the case folding, accent stripping, punctuation ->
     space and the deletion of common non-ASCII characters; the multi-character
     expansions and the final non-ASCII drop only run on strings that still
     hold a non-ASCII character afterwards."""
-    src, dst, groups, every_multi = _fold_tables()
+    src, dst, multi, multi_class = _fold_tables()
     s = F.translate(_col(c), src, dst)
-    expanded = s
-    for cls, out in groups:
-        expanded = F.regexp_replace(expanded, cls, out)
-    rare = F.when(s.rlike(every_multi), expanded).otherwise(s)
+    folded = F.create_map(*[F.lit(x) for pair in multi.items() for x in pair])
+    characters = F.regexp_extract_all(s, F.lit("(?s)."), 0)
+    expanded = F.array_join(F.transform(characters, lambda x: F.coalesce(F.element_at(folded, x), x)), "")
+    rare = F.when(s.rlike(multi_class), expanded).otherwise(s)
     rare = F.regexp_replace(rare, r"[^\x00-\x7F]+", "")
     s = F.when(s.rlike(r"[^\x00-\x7F]"), rare).otherwise(s)
     s = F.trim(F.regexp_replace(s, r" {2,}", " "))
     return F.coalesce(s, F.lit(""))
 
 
-def normalize_text_python(name):
-    """SCL1 in plain Python: the rule itself (also the test oracle)."""
-    if not name or name.strip() == "":
-        return ""
-    name = unicodedata.normalize("NFKD", name.lower().strip()).encode("ascii", "ignore").decode()
-    return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9 ]", " ", name)).strip()
-
-
-def normalize_text_exact(c) -> Column:
-    """SCL1 with every Unicode folding, as an Arrow-batched pandas UDF.
-
-    Slower than :func:`normalize_text` (Python workers); use it only when
-    texts hold the rare multi-character foldings outside the native blocks."""
-    @F.pandas_udf("string")
-    def _normalize(s: pd.Series) -> pd.Series:
-        return s.map(normalize_text_python)
-
-    return _normalize(_col(c))
-
-
 @memo_column
 def simplify_station(c) -> Column:
     """SCL2: for display.  Input is normalized text."""

@@ -2,9 +2,10 @@
 
 ``functions.countries`` compiles an in-memory map into a CASE expression;
 this operator does the same lookup when the map is a table
-``(ord, key, code)``.  The map is configuration-sized: its row count is
-checked before it is broadcast, and the theta join (substring containment)
-runs once per *distinct* station, never per route.
+``(ord, key, code)`` of any size.  Containment becomes an equi-join: each
+*distinct* station is expanded into its substrings of the lengths that keys
+have, and (for the other direction) each key into its substrings.  Names and
+keys are short, so the expansions are linear in the number of rows.
 """
 
 from __future__ import annotations
@@ -14,23 +15,30 @@ from pyspark.sql import functions as F
 
 from railtrace.functions.countries import UNKNOWN, has_feed_country
 
-MAX_MAP_ROWS = 100_000
+_SUBSTRINGS = (
+    "array_distinct(flatten(transform({lengths}, n -> "
+    "CASE WHEN n = 0 THEN array('') WHEN n > length({c}) THEN CAST(array() AS array<string>) "
+    "ELSE transform(sequence(1, length({c}) - n + 1), i -> substring({c}, i, n)) END)))"
+)
 
 
-def station_countries(stations: DataFrame, station_map: DataFrame, both_directions: bool, max_map_rows: int = MAX_MAP_ROWS) -> DataFrame:
+def station_countries(stations: DataFrame, station_map: DataFrame, both_directions: bool) -> DataFrame:
     """Distinct ``station`` values -> first matching ``code`` in ``ord`` order
     (null when no key matches)."""
-    n = station_map.count()
-    if n > max_map_rows:
-        raise ValueError(f"station map has {n} rows; a substring map must stay below {max_map_rows} to be broadcast")
-    m = F.broadcast(station_map.select(
-        F.col("ord"), F.lower(F.trim(F.col("key"))).alias("key"), F.col("code")
-    ))
+    m = station_map.select("ord", F.lower(F.trim("key")).alias("key"), "code").where("key IS NOT NULL")
     s = stations.select("station").distinct()
-    cond = F.col("station").contains(F.col("key"))
+    lengths = m.agg(F.array_sort(F.collect_set(F.length("key"))).alias("n")).scalar()
+    parts = s.withColumn("lengths", lengths).select(
+        "station", F.explode(F.expr(_SUBSTRINGS.format(lengths="coalesce(lengths, array())", c="station"))).alias("key")
+    )
+    found = parts.join(m, "key").select("station", "ord", "code")
     if both_directions:
-        cond = cond | F.col("key").contains(F.col("station"))
-    return s.join(m, cond, "left").groupBy("station").agg(F.min_by("code", "ord").alias("map_code"))
+        inside = m.select("ord", "code", F.explode(F.expr(
+            _SUBSTRINGS.format(lengths="sequence(0, length(key))", c="key"))).alias("station"))
+        found = found.unionByName(s.join(inside, "station").select("station", "ord", "code"))
+    codes = found.groupBy("station").agg(F.min_by("code", "ord").alias("map_code"))
+    codes = codes.withColumnRenamed("station", "_found")
+    return s.join(codes, F.col("station") == F.col("_found"), "left").select("station", "map_code")
 
 
 def resolve_countries(

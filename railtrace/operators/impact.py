@@ -76,11 +76,14 @@ def _savings_by(impact: DataFrame, key: str) -> DataFrame:
     )
 
 
-def impact_by_country(impact: DataFrame, top: int = 10) -> DataFrame:
-    """AGG10: savings by origin country, largest first, top ``top``."""
-    return _savings_by(impact, "origin_country").orderBy(
-        F.col("co2_savings_kg").desc(), "origin_country"
-    ).limit(top)
+def impact_by_country(impact: DataFrame) -> DataFrame:
+    """AGG10: savings by origin country, every country."""
+    return _savings_by(impact, "origin_country")
+
+
+def top_countries(by_country: DataFrame, n: int = 10) -> DataFrame:
+    """The printed part of AGG10: the countries with the largest savings."""
+    return by_country.orderBy(F.col("co2_savings_kg").desc(), "origin_country").limit(n)
 
 
 def impact_by_type(impact: DataFrame) -> DataFrame:

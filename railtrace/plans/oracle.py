@@ -339,6 +339,10 @@ FINAL = {
           CAST(sum(plane_co2_kg) AS DECIMAL(38,2)) AS total_plane_co2_kg,
           CAST(sum(co2_savings_kg) AS DECIMAL(38,2)) AS total_co2_savings_kg FROM impact)""",
     "impact_by_country": """SELECT origin_country, count(origin) AS route_count,
+        CAST(sum(co2_savings_kg) AS DECIMAL(38,2)) AS co2_savings_kg,
+        CAST(CAST(sum(co2_savings_kg) AS DECIMAL(38,2)) * 0.001 AS DECIMAL(18,2)) AS co2_savings_tons
+        FROM impact WHERE origin_country IS NOT NULL GROUP BY origin_country""",
+    "impact_by_country_top10": """SELECT origin_country, count(origin) AS route_count,
         CAST(sum(co2_savings_kg) AS DECIMAL(38,2)) AS co2_savings_kg,
         CAST(CAST(sum(co2_savings_kg) AS DECIMAL(38,2)) * 0.001 AS DECIMAL(18,2)) AS co2_savings_tons
         FROM impact WHERE origin_country IS NOT NULL GROUP BY origin_country

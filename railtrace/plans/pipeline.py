@@ -6,8 +6,9 @@ routes, then compute the environmental impact and its summaries.
 
 Each stage is written to ``out_dir`` and read back before the next stage
 uses it.  That cuts lineage: the extraction is computed once although six
-later datasets depend on it, and after an executor loss a re-run restarts
-from written files.  ``out_dir`` must be a shared folder on a cluster.
+later datasets depend on it, and a stage that loses an executor recomputes
+from the files of the stage before.  A new run writes every stage anew.
+``out_dir`` must be a shared folder on a cluster.
 Row counts at the stage borders come from ``observe`` on those same writes
 (AGG7), so counting costs no extra pass.
 """
@@ -24,6 +25,7 @@ from railtrace.operators import emissions as E
 from railtrace.operators import extract as X
 from railtrace.operators import impact as I
 from railtrace.sinks.manifest import output_manifest
+from railtrace.sinks.writers import read_back, write_table
 from railtrace.sources.gtfs import GtfsTables
 
 # Keys that must be unique in each output (checked by the manifest).
@@ -38,6 +40,15 @@ OUTPUT_KEYS = {
     "environmental_impact": ["origin", "destination", "route_name"],
     "impact_totals": ["total_routes"],
     "impact_by_country": ["origin_country"],
+    "impact_by_country_top10": ["origin_country"],
+    "unresolved_day": ["origin", "destination"],
+    "night_by_country": ["origin_country"],
+    "day_by_country": ["origin_country"],
+    "routes_by_country": ["origin_country"],
+    "routes_by_type": ["type"],
+    "routes_by_country_type": ["origin_country", "type"],
+    "headline_saving": ["savings_percent"],
+    "flight_top5": ["origin_city", "destination_city", "passengers_2019"],
     "impact_by_type": ["type"],
     "impact_top10": ["origin", "destination", "co2_savings_kg"],
     "quality_night": ["total"],
@@ -70,26 +81,29 @@ def run_pipeline(
 
     def stage(name: str, df: DataFrame, partition_by=None) -> DataFrame:
         observed, obs = C.observed(df, name)
-        w = observed.write.mode("overwrite").format(fmt)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(f"{out_dir}/{name}")
+        write_table(observed, f"{out_dir}/{name}", fmt, partition_by=partition_by)
         res.step_rows[name] = obs.get["rows"]
-        back = spark.read.format(fmt).load(f"{out_dir}/{name}")
+        back = read_back(spark, f"{out_dir}/{name}", df.schema, fmt)
         res.outputs[name] = back
         return back
 
     # 1. extraction (OPS1-OPS3)
     night = stage("night_routes", X.extract_routes(tables, "night", night_map))
     day = stage("day_routes", X.extract_routes(tables, "day", day_map))
+    stage("night_by_country", X.routes_by_origin_country(night))
+    stage("day_by_country", X.routes_by_origin_country(day))
+    stage("unresolved_day", X.unresolved_countries(day))
 
     # 2. emission reference, summary, flights (OPS8-OPS11)
     reference = None
     if mode_sheet is not None:
         reference = stage("emissions_reference", E.emission_reference(mode_sheet))
         stage("emissions_summary", E.emission_summary(reference))
+        stage("headline_saving", E.headline_saving(reference))
     if flight_sheet is not None:
-        stage("flight_routes_sample", E.flight_routes(flight_sheet, flight_sample).drop("ord"))
+        flights = E.flight_routes(flight_sheet, flight_sample)
+        stage("flight_routes_sample", flights.drop("ord"))
+        stage("flight_top5", E.top_flights(flights, 5))
 
     # 3. cleaning, exclusion, quality, combination (OPS4-OPS7)
     night_clean = stage("night_routes_cleaned", C.clean_night(night))
@@ -97,12 +111,16 @@ def run_pipeline(
     stage("quality_night", C.quality_report(night_clean))
     stage("quality_day", C.quality_report(day_clean))
     combined = stage("all_routes_cleaned", C.combine_types(night_clean, day_clean), partition_by=["type"])
+    stage("routes_by_country", X.routes_by_origin_country(combined))
+    stage("routes_by_type", C.routes_by_type(combined))
+    stage("routes_by_country_type", C.routes_by_country_type(combined))
 
     # 4. impact and summaries (OPS12-OPS14)
     factors = E.emission_factors(reference, spark)
     impact = stage("environmental_impact", I.environmental_impact(combined, factors, calculation_date))
     stage("impact_totals", I.impact_totals(impact))
-    stage("impact_by_country", I.impact_by_country(impact))
+    by_country = stage("impact_by_country", I.impact_by_country(impact))
+    stage("impact_by_country_top10", I.top_countries(by_country, 10))
     stage("impact_by_type", I.impact_by_type(impact))
     stage("impact_top10", I.top_routes(impact, 10))
 

@@ -228,6 +228,10 @@ def impact_by_country(spark, sf):
     return I.impact_by_country(route_impact(spark, sf))
 
 
+def impact_by_country_top10(spark, sf):
+    return I.top_countries(impact_by_country(spark, sf), 10)
+
+
 def impact_by_type(spark, sf):
     return I.impact_by_type(route_impact(spark, sf))
 
@@ -252,7 +256,7 @@ QUERIES: dict[str, Query] = {
         "routes_by_country", "routes_by_type", "routes_by_country_type",
         "emission_reference", "emission_summary", "flight_sample", "flight_top5",
         "emission_factors", "headline_saving",
-        "route_impact", "impact_totals", "impact_by_country", "impact_by_type", "impact_top10",
+        "route_impact", "impact_totals", "impact_by_country", "impact_by_country_top10", "impact_by_type", "impact_top10",
         "output_manifest",
     ]
 }

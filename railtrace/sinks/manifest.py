@@ -31,15 +31,6 @@ def dataset_audit(datasets: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Da
     return out
 
 
-def _listing(spark: SparkSession, root: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select(F.regexp_replace("path", r"^file:(//)?", "").alias("path"), "length")
-    )
-
-
 def output_manifest(
     spark: SparkSession,
     root: str,
@@ -52,20 +43,20 @@ def output_manifest(
     bytes, rows, duplicate_keys (rows and duplicate_keys are null for missing
     datasets)."""
     root = root.rstrip("/")
-    plain_root = root.replace("file://", "").replace("file:", "")
-    files = _listing(spark, root).filter(~F.col("path").rlike(r"/[._][^/]*$"))
-    sizes = files.select(
-        F.regexp_extract("path", "^" + plain_root.replace(".", r"\.") + r"/+([^/]+)/", 1).alias("dataset"), "length"
-    ).groupBy("dataset").agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("n_files"))
-    present = {r["dataset"] for r in sizes.select("dataset").collect()}  # one row per dataset
+    conf = spark._jsc.hadoopConfiguration()
+    listed = []  # one row per expected dataset, asked of its file system
+    for name in expected:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        fs = folder.getFileSystem(conf)
+        summary = fs.getContentSummary(folder) if fs.exists(folder) else None
+        files = summary.getFileCount() if summary else 0
+        listed.append((name, files > 0, summary.getLength() if summary else 0))
+    present = {name for name, exists, _ in listed if exists}
     audited = {
-        name: (spark.read.format(fmt).load(f"{root}/{name}"), keys)
+        name: (spark.read.format(fmt).option("header", True).load(f"{root}/{name}"), keys)
         for name, keys in expected.items() if name in present
     }
-    names = spark.createDataFrame([(n,) for n in expected], "dataset string")
-    out = names.join(sizes, "dataset", "left").select(
-        "dataset", F.col("n_files").isNotNull().alias("exists"), F.coalesce("bytes", F.lit(0)).alias("bytes")
-    )
+    out = spark.createDataFrame(listed, "dataset string, exists boolean, bytes long")
     if audited:
         out = out.join(dataset_audit(audited), "dataset", "left")
     else:

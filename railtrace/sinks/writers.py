@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 # SNK1 extracted routes, SNK2 cleaned routes (folders are created by the
@@ -34,11 +35,10 @@ def write_table(
     w.save(path)
 
 
-def checkpoint_table(df: DataFrame, path: str) -> DataFrame:
-    """Cut lineage by writing to a shared folder and reading back.
-
-    Use a folder under the cluster's ``spark.checkpoint.dir`` (or another
-    shared store): a re-run after an executor loss then restarts from the
-    written files instead of recomputing the whole chain."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def read_back(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """A table that ``write_table`` wrote, with the types it had."""
+    reader = spark.read.schema(schema).format(fmt)
+    if fmt == "csv":
+        # a folder column is not in the files, so columns go by the header
+        reader = reader.option("header", True).option("enforceSchema", False)
+    return reader.load(path).select(*schema.names)

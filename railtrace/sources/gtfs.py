@@ -16,8 +16,8 @@ Reading rules (SURVEY 1.3):
 
 from __future__ import annotations
 
-import os
 import re
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import cached_property
@@ -87,6 +87,7 @@ def feed_registry(spark: SparkSession, feeds: Iterable[Sequence]) -> DataFrame:
 # Largest configuration table (feeds, feed files) that is broadcast; larger
 # ones are joined by shuffle.
 MAX_BROADCAST_ROWS = 100_000
+HEADER_THREADS = 16  # feed headers that the driver reads at a time
 
 
 def _clean_name(name: str) -> str:
@@ -119,11 +120,13 @@ def _read_group(spark: SparkSession, table: str, files: list[str], header: list[
             cols.append(F.lit(None).cast("string").alias(name))
         else:
             raise ValueError(f"{table}.txt in {files[0]} has no column {name!r}")
-    tagged = raw.select(_norm_path(F.col("_metadata.file_path")).alias("_file"), *cols)
+    tagged = raw.select(_file_uri().alias("_file"), *cols)
     # one row per feed file, counted on the driver: broadcast below the limit
     small = len(files) <= MAX_BROADCAST_ROWS
-    return tagged.join(F.broadcast(path_to_feed) if small else path_to_feed, "_file").select(
-        "feed_id", *GTFS_COLUMNS[table])
+    joined = tagged.join(F.broadcast(path_to_feed) if small else path_to_feed, "_file", "left")
+    # a file that no feed owns would lose its rows: fail instead
+    owner = F.coalesce("feed_id", F.raise_error(F.concat(F.lit("no feed owns the file "), "_file")).cast("string"))
+    return joined.select(owner.alias("feed_id"), *GTFS_COLUMNS[table])
 
 
 def _empty(spark: SparkSession, table: str) -> DataFrame:
@@ -139,30 +142,44 @@ def read_feeds(spark: SparkSession, registry: DataFrame) -> GtfsTables:
     looked at on the driver.  Files of a table are grouped by their header:
     each group is one multi-file scan whose rows get ``feed_id`` from their
     file path, so a thousand feeds with a handful of column layouts make a
-    handful of scans, not thousands.  The data is only ever read by tasks.
+    handful of scans, not thousands.  The data is only ever read by tasks;
+    headers are read by several driver threads at a time.
+
+    A feed whose file lacks a needed column is left out whole, with the reason
+    in ``feeds.skip_reason``; the others go on.
     """
     feeds = registry.select("feed_id", "path").orderBy("ord").collect()
+    files = {(t, f["feed_id"]): f["path"].rstrip("/") + f"/{t}.txt" for t in GTFS_COLUMNS for f in feeds}
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        headers = dict(zip(files, pool.map(lambda file: _header(spark, file), files.values())))
+    skipped: dict[str, str] = {}
+    for (table, feed_id), header in headers.items():
+        needed = [c for c in GTFS_COLUMNS[table] if c not in GTFS_OPTIONAL.get(table, ())]
+        lacks = [c for c in needed if header is not None and c not in header]
+        if lacks:
+            skipped.setdefault(feed_id, f"{table}.txt has no column {', '.join(lacks)}")
     tables = {}
     present = {f["feed_id"]: set() for f in feeds}
     for table in GTFS_COLUMNS:
         groups: dict[tuple, list[tuple[str, str]]] = {}
         for f in feeds:
-            file = f["path"].rstrip("/") + f"/{table}.txt"
-            header = _header(spark, file)
-            if header is not None:
+            header = headers[table, f["feed_id"]]
+            if header is not None and f["feed_id"] not in skipped:
                 present[f["feed_id"]].add(table)
-                groups.setdefault(tuple(header), []).append((file, f["feed_id"]))
+                groups.setdefault(tuple(header), []).append((files[table, f["feed_id"]], f["feed_id"]))
         out = _empty(spark, table)
         for header, members in groups.items():
             path_to_feed = spark.createDataFrame(
-                [(_plain_path(file), fid) for file, fid in members], "_file string, feed_id string"
+                [(qualified(spark, file), fid) for file, fid in members], "_file string, feed_id string"
             )
             out = out.unionByName(_read_group(spark, table, [m[0] for m in members], list(header), path_to_feed))
         tables[table] = out
     flags = [
-        (fid, "stop_times" in got, {"stops", "trips", "routes"} <= got) for fid, got in present.items()
+        (fid, "stop_times" in got, {"stops", "trips", "routes"} <= got, skipped.get(fid)) for fid, got in present.items()
     ]
-    flag_df = spark.createDataFrame(flags, "feed_id string, has_stop_times boolean, has_required boolean")
+    flag_df = spark.createDataFrame(
+        flags, "feed_id string, has_stop_times boolean, has_required boolean, skip_reason string"
+    )
     return GtfsTables(
         stops=tables["stops"],
         trips=tables["trips"],
@@ -172,18 +189,17 @@ def read_feeds(spark: SparkSession, registry: DataFrame) -> GtfsTables:
     ).known_feed_count(len(feeds))
 
 
-def _plain_path(path: str) -> str:
-    """The same normalization as ``_norm_path``, in Python, for registry paths."""
-    p = re.sub(r"^file:(//)?", "", path)
-    if not p.startswith("/") and "://" not in p:
-        p = os.path.abspath(p)
-    return re.sub(r"/$", "", re.sub(r"/+", "/", p))
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path's full URI, as its file system gives it and Spark reports it: absolute, with
+    the default scheme and authority, percent-encoded, without a trailing slash."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return re.sub(r"^file:/+", "file:/", fs.makeQualified(hadoop).toUri().toString())
 
 
-def _norm_path(c):
-    """File URI or path -> plain path without trailing slash."""
-    c = F.regexp_replace(c, r"^file:(//)?", "")
-    return F.regexp_replace(F.regexp_replace(c, r"/+", "/"), r"/$", "")
+def _file_uri():
+    """The URI of the file that a row comes from, written like ``qualified``."""
+    return F.regexp_replace("_metadata.file_path", r"^file:/+", "file:/")
 
 
 def feed_inventory(spark: SparkSession, registry: DataFrame, scan_root: str, count_rows: bool = False) -> DataFrame:
@@ -200,12 +216,15 @@ def feed_inventory(spark: SparkSession, registry: DataFrame, scan_root: str, cou
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.txt")
         .load(scan_root)
-        .select("path", "length")
-        .withColumn("path", _norm_path(F.col("path")))
+        .select(_file_uri().alias("path"), "length")
         .withColumn("folder", F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
         .withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
     )
-    reg = registry.select("feed_id", "kind", "ord", _norm_path(F.col("path")).alias("folder"))
+    # one row per feed folder: qualified on the driver by the rule that the files' paths follow
+    reg = spark.createDataFrame(
+        [(r["feed_id"], r["kind"], r["ord"], qualified(spark, r["path"])) for r in registry.collect()],
+        "feed_id string, kind string, ord long, folder string",
+    )
     required = F.array(*[F.lit(n) for n in GTFS_REQUIRED_FILES])
     every = F.array(*[F.lit(n) for n in GTFS_ALL_FILES])
     per_feed = reg.join(files, "folder", "left").groupBy("feed_id", "kind", "ord").agg(
@@ -230,7 +249,7 @@ def feed_inventory(spark: SparkSession, registry: DataFrame, scan_root: str, cou
     if count_rows:
         lines = (
             spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(scan_root)
-            .select(_norm_path(F.col("_metadata.file_path")).alias("path"))
+            .select(_file_uri().alias("path"))
             .groupBy("path").agg((F.count(F.lit(1)) - 1).alias("rows"))
             .withColumn("folder", F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
             .groupBy("folder").agg(F.sum("rows").alias("data_rows"))

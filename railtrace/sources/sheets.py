@@ -9,6 +9,10 @@ sheets arrive as exported tables and are read as text; every reader adds an
 
 from __future__ import annotations
 
+import csv
+import warnings
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +20,22 @@ from railtrace.schemas import FLIGHT_SHEET_COLUMNS
 
 
 def _with_order(df: DataFrame) -> DataFrame:
-    """Sheet order as ``ord``: increasing with the position in the file(s).
-
-    Applied directly after the scan, before any shuffle, where Spark's
-    monotonically increasing id follows split order and row order."""
-    return df.select(F.monotonically_increasing_id().alias("ord"), "*")
+    """Sheet order as ``ord``: by file name, then by position in the file.
+
+    Applied directly after the scan.  Spark deals splits to tasks by size, so
+    a row's place is the rank of its split (few: one row each) and its place
+    in the split, which the increasing id within a task follows."""
+    placed = df.select(
+        F.col("_metadata.file_path").alias("_0"), F.col("_metadata.file_block_start").alias("_1"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"), "*",
+    )
+    splits = placed.select("_0", "_1").distinct().orderBy("_0", "_1").collect()
+    ranks = df.sparkSession.createDataFrame(
+        [(*s, i) for i, s in enumerate(splits)], "_0 string, _1 long, _rank long"
+    )
+    return placed.join(F.broadcast(ranks), ["_0", "_1"]).select(
+        (F.shiftleft("_rank", 33) + F.col("_row")).alias("ord"), *[F.col(f"`{c}`") for c in df.columns]
+    )
 
 
 def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", header: bool = True, skip_rows: int = 0) -> DataFrame:
@@ -37,7 +52,7 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", header: bool =
     # preamble + header: the first ``skip_rows + 1`` lines (a bounded top-k)
     head = lines.orderBy("ord").limit(skip_rows + 1).collect()
     cut, header_line = head[-1]["ord"], head[-1]["value"]
-    names = [c.strip().strip('"') for c in header_line.split(",")]
+    names = [c.strip() for c in next(csv.reader([header_line]))]
     body = lines.filter(F.col("ord") > cut)
     parsed = F.from_csv(F.col("value"), ", ".join(f"`{n}` STRING" for n in names))
     return body.select("ord", parsed.alias("r")).select("ord", "r.*")
@@ -59,12 +74,15 @@ def flight_sheet(spark: SparkSession, path: str, fmt: str = "csv", skip_rows: in
 
 
 def emission_reference_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """SRC10: a written emission reference; None when it cannot be read, so
-    that ``emission_factors`` falls back to its defaults (SURVEY D8)."""
+    """SRC10: a written emission reference; None, with a warning, when there is
+    none, so that ``emission_factors`` falls back to its defaults (SURVEY D8).
+    Any other fault (a permission, a corrupt file) is raised."""
     try:
         df = spark.read.format(fmt).option("header", True).load(path)
-        df.schema  # noqa: B018 -- resolve now: a missing path raises here
-    except Exception:  # noqa: BLE001
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        warnings.warn(f"no emission reference at {path}: default factors are used", stacklevel=2)
         return None
     if "ord" not in df.columns:
         df = _with_order(df)

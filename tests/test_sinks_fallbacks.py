@@ -1,7 +1,7 @@
 import os
 
 from railtrace.operators import extract as X
-from railtrace.sinks.writers import checkpoint_table, write_table
+from railtrace.sinks.writers import write_table
 from railtrace.sources import gtfs as G
 from railtrace.sources.routes import read_extracted_routes
 from tests.gtfs_fixture import write_feeds
@@ -16,7 +16,7 @@ def test_registry_beyond_broadcast_limit(spark, tmp_path, monkeypatch):
     assert sorted(tuple(r) for r in df.collect()) == expected
 
 
-def test_writers_and_checkpoint(spark, tmp_path):
+def test_single_file_csv(spark, tmp_path):
     t = G.read_feeds(spark, G.feed_registry(spark, write_feeds(str(tmp_path / "feeds"))))
     routes = X.extract_routes(t, "day")
     write_table(routes, str(tmp_path / "csv"), fmt="csv", single_file=True)
@@ -24,5 +24,3 @@ def test_writers_and_checkpoint(spark, tmp_path):
     assert len(parts) == 1
     back = read_extracted_routes(spark, str(tmp_path / "csv"), fmt="csv")
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in routes.collect())
-    cut = checkpoint_table(routes, str(tmp_path / "ckpt"))
-    assert cut.count() == routes.count() and "FileScan" in cut._jdf.queryExecution().executedPlan().toString()
