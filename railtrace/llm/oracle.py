@@ -84,6 +84,27 @@ FROM d LEFT JOIN g USING (doc_id)
 """
 
 
+OP3 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+overlap AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM overlap JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 80 * (na.n + nb.n - i)
+), edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON reach.r = edge.a
+)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id,
+       CAST(coalesce(any_value(e.n), 0) AS BIGINT) AS n_links
+FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM edge GROUP BY a) e USING (doc_id)
+GROUP BY d.doc_id
+"""
+
 OP4 = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -136,6 +157,7 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 ORACLE_SQL = {
+    "op3_ngram_join": OP3,
     "op4_line_frequency": OP4,
     "op8_fm_decontamination": OP8,
     "op7_url_filter": OP7,
