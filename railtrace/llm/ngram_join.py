@@ -57,7 +57,7 @@ SHARD = 1 << 20  # shingles that a task counts at once
 LOCAL_COUNT = 4  # times a shingle is in a shard to be reported for the order
 EXTRA = 35  # percent of a prefix that is sent beyond it
 CHUNK = 512  # sets of a chunk, about
-CHUNK_SHINGLES = 1 << 18  # and shingles
+CHUNK_SHINGLES = 1 << 19  # and shingles
 MAX_WORD_HASHES = 150_000
 BATCH_BYTES = 8 << 20  # of texts that a task takes at once
 TABLE_BYTES = 8 << 20  # of a unit's table of shingles by sets
@@ -341,18 +341,26 @@ def trie_join(sets: list[np.ndarray], index: np.ndarray, probes: np.ndarray, per
     if not len(index) or not len(probes):
         return
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    found, at, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    order = np.lexsort((found, -often))
+    cuts = np.concatenate([[0], np.cumsum(sizes)])
+    every = np.concatenate(sets)
+    by = np.argsort(every, kind="stable").astype(np.int32)
+    every = every[by]
+    new = np.concatenate([[True], every[1:] != every[:-1]])
+    del every
+    number = np.cumsum(new, dtype=np.int32) - 1  # of a shingle, by hash
+    often = np.bincount(number).astype(np.int32)
+    order = np.argsort(-often, kind="stable")  # by frequency here, then by hash
     shared = int((often > 1).sum())  # a shingle of one set alone adds to no overlap
-    place = np.empty(len(found), dtype=np.int64)
-    place[order] = np.arange(len(found))
-    place = place[at]
-    keep = place < shared
-    owner, place = owner[keep], place[keep]
-    by = np.lexsort((place, owner))
-    cuts = np.searchsorted(owner[by], np.arange(len(sets) + 1))
-    paths = [place[by][cuts[i]:cuts[i + 1]] for i in range(len(sets))]
+    place = np.empty(len(often), dtype=np.int32)
+    place[order] = np.arange(len(often), dtype=np.int32)
+    at = np.empty(len(by), dtype=np.int32)
+    at[by] = place[number]
+    del by, new, number, place, order
+    paths = []
+    for i in range(len(sets)):
+        path = np.sort(at[cuts[i]:cuts[i + 1]])
+        paths.append(path[:np.searchsorted(path, shared)])
+    del at
 
     leaves = sorted(index.tolist(), key=lambda i: paths[i].astype(">u4").tobytes())
     common = np.zeros(len(leaves) + 1, dtype=np.int64)  # of a leaf's path with that of the leaf before
