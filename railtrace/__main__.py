@@ -1,4 +1,4 @@
-"""Command line: the whole run, like the reference's ``python main.py``.
+"""Command line: the whole run over all feeds.
 
     spark-submit -m railtrace run --registry feeds.csv --out /shared/out \\
         [--modes modes.csv] [--flights flights.csv] [--date 2024-01-01]
@@ -13,7 +13,6 @@ of using the one spark-submit provides.
 from __future__ import annotations
 
 import argparse
-import csv
 import datetime as dt
 
 from pyspark.sql import SparkSession
@@ -28,6 +27,7 @@ def main(argv=None) -> None:
     run.add_argument("--modes")
     run.add_argument("--flights")
     run.add_argument("--date", type=dt.date.fromisoformat)
+    run.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     run.add_argument("--local", type=int, default=0)
     inv = sub.add_parser("inventory", help="which feeds are usable")
     inv.add_argument("--registry", required=True)
@@ -44,8 +44,9 @@ def main(argv=None) -> None:
 
     from railtrace.sources.gtfs import feed_inventory, feed_registry, read_feeds
 
-    with open(args.registry, newline="", encoding="utf-8") as fh:
-        feeds = [(r["feed_id"], r["path"], r["kind"], r.get("country") or None) for r in csv.DictReader(fh)]
+    # read by Spark, so it may lie in any store; one row per feed
+    rows = spark.read.option("header", True).csv(args.registry).collect()
+    feeds = [(r["feed_id"], r["path"], r["kind"], r.asDict().get("country") or None) for r in rows]
     registry = feed_registry(spark, feeds)
 
     if args.cmd == "inventory":
@@ -62,12 +63,16 @@ def main(argv=None) -> None:
         mode_sheet(spark, args.modes) if args.modes else None,
         flight_sheet(spark, args.flights) if args.flights else None,
         calculation_date=args.date,
+        fmt=args.format,
     )
+    for feed in res.skipped_feeds:
+        print(f"skipped {feed['feed_id']}: {feed['skip_reason']}")
     for step, rows in res.step_rows.items():
         print(f"{step:28s} {rows:>12,d} rows")
     res.manifest.show(truncate=False)
-    for name in ("impact_totals", "impact_by_country", "impact_by_type", "impact_top10"):
-        res.outputs[name].show(truncate=False)
+    for name in ("impact_totals", "impact_by_country_top10", "impact_by_type", "impact_top10", "headline_saving"):
+        if name in res.outputs:
+            res.outputs[name].show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -4,7 +4,8 @@ Building a large expression (a 12k-character ``translate``, a long CASE
 chain) costs many Py4J round trips; a Column is immutable, so the same
 expression over the same input column names can be shared by every
 DataFrame of a session.  Only calls whose arguments are all plain values
-(column names, numbers, tuples) are cached, per active SparkContext.
+(column names, numbers, tuples) are cached, for the running application, up to
+``MAX_ENTRIES`` per rule.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import functools
 
 from pyspark import SparkContext
 
+MAX_ENTRIES = 256
 _PLAIN = (str, int, float, bool, type(None))
 
 
@@ -33,9 +35,11 @@ def memo_column(fn):
         key_args = _freeze(args)
         if not kwargs and _plain(key_args):
             sc = SparkContext._active_spark_context
-            key = (id(sc), id(getattr(sc, "_jsc", None)), key_args)
+            key = (sc.applicationId if sc else None, key_args)
             hit = cache.get(key)
             if hit is None:
+                if len(cache) >= MAX_ENTRIES:
+                    cache.clear()
                 hit = cache[key] = fn(*args)
             return hit
         return fn(*args, **kwargs)

@@ -48,6 +48,7 @@ MODE_OF_ITEM = [
 ]
 
 
+MAX_SCANS = 64
 _SCANS: dict = {}
 
 
@@ -55,13 +56,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet scan of a test table; one DataFrame per session and path
     (a plan, not cached data), so views over the same table share it."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     df = _SCANS.get(key)
     if df is None or df.sparkSession is not spark:
+        if len(_SCANS) >= MAX_SCANS:
+            _SCANS.clear()
         df = _SCANS[key] = spark.read.parquet(path)
     return df
 
 
+def forget_scans() -> None:
+    """Plan the scans anew, e.g. after a table was rewritten."""
+    _SCANS.clear()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """At least one partition per core for CPU-heavy row work.
 
@@ -148,6 +156,20 @@ def gtfs(spark: SparkSession, sf_dir: str, fallback: bool = False) -> GtfsTables
     ).known_feed_count(2 * len(PRIORITIES))
 
 
+def gtfs_scoped(spark: SparkSession, sf_dir: str, fallback: bool = False) -> GtfsTables:
+    """The same routes with ids that are unique within a feed only: every feed
+    has its own copy of the stops and routes, under the same ids."""
+    t = gtfs(spark, sf_dir, fallback)
+    feed_ids = F.explode(F.array(*[F.lit(f"{kind}/{p}") for kind in ("night", "day") for p in PRIORITIES]))
+    return GtfsTables(
+        stops=t.stops.withColumn("feed_id", feed_ids),
+        trips=t.trips,
+        routes=t.routes.withColumn("feed_id", feed_ids),
+        stop_times=t.stop_times.join(t.trips.select("feed_id", "trip_id"), "trip_id"),
+        feeds=t.feeds,
+    ).known_feed_count(2 * len(PRIORITIES))
+
+
 def mode_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mode sheet as exported text: ord, then three positional columns
     (mode, factor, factor with radiative forcing) and an ignored fourth."""

@@ -383,6 +383,8 @@ def build(final: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final
 
 
+for _name in ("extract_night", "extract_day", "endpoint_fallback"):  # other keys, same rows
+    FINAL[f"{_name}_scoped"] = FINAL[_name]
 FINAL["country_join_night"] = FINAL["country_night"]
 FINAL["country_join_day"] = FINAL["country_day"]
 

@@ -62,6 +62,7 @@ class PipelineResult:
     outputs: dict[str, DataFrame] = field(default_factory=dict)
     step_rows: dict[str, int] = field(default_factory=dict)
     manifest: DataFrame | None = None
+    skipped_feeds: list[dict] = field(default_factory=list)  # feeds left out, with the reason
 
 
 def run_pipeline(
@@ -78,6 +79,9 @@ def run_pipeline(
 ) -> PipelineResult:
     out_dir = out_dir.rstrip("/")
     res = PipelineResult()
+    if "skip_reason" in tables.feeds.columns:  # one row per feed
+        skipped = tables.feeds.where("skip_reason IS NOT NULL").select("feed_id", "skip_reason").collect()
+        res.skipped_feeds = [r.asDict() for r in skipped]
 
     def stage(name: str, df: DataFrame, partition_by=None) -> DataFrame:
         observed, obs = C.observed(df, name)

@@ -152,6 +152,21 @@ def extract_day(spark, sf):
     return _extract(_gtfs(spark, sf), "day")
 
 
+# ids that collide between feeds: every key holds the feed, as on files
+def extract_night_scoped(spark, sf):
+    return _extract(V.gtfs_scoped(spark, sf), "night")
+
+
+def extract_day_scoped(spark, sf):
+    return _extract(V.gtfs_scoped(spark, sf), "day")
+
+
+def endpoint_fallback_scoped(spark, sf):
+    return X.trip_stop_ids(V.gtfs_scoped(spark, sf, fallback=True), "day").select(
+        "feed_id", "trip_id", "first_stop_id", "last_stop_id"
+    )
+
+
 def unresolved_day(spark, sf):
     return X.unresolved_countries(extract_day(spark, sf))
 
@@ -252,6 +267,7 @@ QUERIES: dict[str, Query] = {
         "normalize_names", "simplify_names", "title_names",
         "country_night", "country_day", "country_join_night", "country_join_day", "dedupe_pairs_feed",
         "extract_night", "extract_day", "unresolved_day",
+        "extract_night_scoped", "extract_day_scoped", "endpoint_fallback_scoped",
         "clean_night", "clean_day", "combined_routes", "quality_report",
         "routes_by_country", "routes_by_type", "routes_by_country_type",
         "emission_reference", "emission_summary", "flight_sample", "flight_top5",

@@ -42,7 +42,7 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", header: bool =
     """A sheet as text columns plus ``ord``.
 
     ``skip_rows`` drops preamble lines before the header (the flights sheet
-    has three, E:65).  CSV is read without inference."""
+    has three).  CSV is read without inference."""
     if fmt != "csv":
         df = spark.read.format(fmt).load(path)
         return df if "ord" in df.columns else _with_order(df)
