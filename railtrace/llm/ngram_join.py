@@ -56,8 +56,8 @@ FREQUENT = 1 << 17  # shingles whose frequency is known to the order
 SHARD = 1 << 20  # shingles that a task counts at once
 LOCAL_COUNT = 4  # times a shingle is in a shard to be reported for the order
 EXTRA = 35  # percent of a prefix that is sent beyond it
-CHUNK = 512  # sets of a chunk, about
-CHUNK_SHINGLES = 1 << 19  # and shingles
+CHUNK = 1024  # sets of a chunk, about
+CHUNK_SHINGLES = 1 << 21  # and shingles
 MAX_WORD_HASHES = 150_000
 BATCH_BYTES = 8 << 20  # of texts that a task takes at once
 TABLE_BYTES = 8 << 20  # of a unit's table of shingles by sets
