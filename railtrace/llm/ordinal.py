@@ -71,7 +71,7 @@ def fit(texts: list[str], grades: list[int]) -> Model:
     weights = np.zeros(1 << BITS)
     if not len(y):
         return Model(weights.astype(np.float32), thresholds)
-    design = Design([words_of(t) for t in texts])
+    design = Design(words_of(t) for t in texts)
     # free parameters: the first threshold, and the logarithms of the steps between thresholds
     first, steps = thresholds[0], np.log(np.diff(thresholds))
     of_weights, of_first, of_steps = Adam(1 << BITS), Adam(()), Adam(len(steps))

@@ -9,7 +9,7 @@ bound; sums are exactly rounded, so neither batches nor order change a score.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 
@@ -77,17 +77,22 @@ class WordScores(dict):
 class Design:
     """The feature matrix of texts, as texts by words and words by n-gram places."""
 
-    def __init__(self, sets: list[set[str]]):
-        words = sorted(set().union(*sets)) if sets else []
-        number = {w: i for i, w in enumerate(words)}
-        self.n = len(sets)
-        self.text_starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
-        self.text_words = np.fromiter((number[w] for s in sets for w in sorted(s)), dtype=np.int64, count=int(self.text_starts[-1]))
-        self.scale = np.array([1 / math.sqrt(len(s)) if s else 0.0 for s in sets])
-        self.n_words = len(words)
-        self.starts, self.places = hashed_ngrams(words) if words else (np.zeros(1, np.int64), np.zeros(0, np.int32))
-        self.owner = np.repeat(np.arange(self.n_words), np.diff(self.starts))
-        self.text_of = np.repeat(np.arange(self.n), np.diff(self.text_starts))
+    def __init__(self, sets: Iterable[set[str]]):
+        number: dict[str, int] = {}  # one text's words are held at a time
+        rows = [np.array([number.setdefault(w, len(number)) for w in sorted(s)], dtype=np.int32) for s in sets]
+        self.n, self.n_words = len(rows), len(number)
+        size = np.array([len(r) for r in rows], dtype=np.int64)
+        self.text_words = np.concatenate([*rows, np.zeros(0, np.int32)])
+        self.text_of = np.repeat(np.arange(self.n, dtype=np.int32), size)
+        self.scale = np.where(size > 0, 1 / np.sqrt(np.maximum(1, size)), 0.0)
+        words, places, counts = list(number), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        del rows, number
+        for i in range(0, self.n_words, SLICE):
+            starts, part = hashed_ngrams(words[i:i + SLICE])
+            places.append(part)
+            counts.append(np.diff(starts))
+        self.places = np.concatenate(places)
+        self.owner = np.repeat(np.arange(self.n_words, dtype=np.int32), np.concatenate(counts))
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
         word = np.bincount(self.owner, weights=weights[self.places], minlength=self.n_words)

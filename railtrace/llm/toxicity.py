@@ -55,7 +55,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     bias = math.log(rate / (1 - rate))
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(1 << BITS, dtype=np.float32), bias)
-    design = Design([words_of(t) for t in texts])
+    design = Design(words_of(t) for t in texts)
     toxic, other = 1 + design.gradient(y, scaled=False), 1 + design.gradient(1 - y, scaled=False)
     ratio = np.log((toxic / toxic.sum()) / (other / other.sum()))
     share = np.where(y == 1, TOXIC_WEIGHT, 1.0)
