@@ -5,7 +5,8 @@ last return the columns of ``documents``; a stage sees what its predecessor kept
 
 1. toxicity: documents predicted toxic go.
 2. line dedup: boilerplate lines of a host are cut out of the texts; documents that
-   had words and keep none go.
+   had words and keep none go.  Copies count as one page, and a line must be on
+   ``LEAST_PAGES`` of those, so a group of copies stays for stage 3.
 3. n-gram Jaccard join: of each class of near copies the document of the smallest id stays.
 4. benchmark decontamination: spans of benchmark passages are cut out of the texts;
    documents that had words and keep none go.
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from railtrace.llm import fm_index, line_dedup, ngram_join, packing, queries, toxicity
 from railtrace.llm.common import q, table, written
 
+LEAST_PAGES = 3  # distinct pages of a host that hold a boilerplate line
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -35,7 +37,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _with_texts(line_dedup.drop_boilerplate(docs).where(_not_emptied("n_dropped_ > 0")), docs)
+    cleaned = line_dedup.drop_boilerplate(docs, least=LEAST_PAGES, copies_once=True)
+    return _with_texts(cleaned.where(_not_emptied("n_dropped_ > 0")), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,10 @@ go on.  Their number is bounded per host by average lines a page over
 ``max_ratio``, whatever the host's size.  The pages that hold one are found by
 an equi-join on (host, line), whose hot keys AQE splits, and gathered per page.
 
+With ``copies_once`` pages of one host with the same set of lines count as one
+page, above and below the line, and ``least`` is the number of such pages that
+must hold a line: a group of copies then never makes its own text boilerplate.
+
 Defined cases: a line is compared without surrounding blanks, tabs and carriage
 returns; blank lines are neither counted nor dropped; a null text stays null
 with 0 lines; an empty text is one blank line; pages with a null host form one
@@ -34,18 +38,21 @@ _KEY = "btrim(l, ' \\t\\r')"
 
 def boilerplate_lines(
     pages: DataFrame, text_col: str = "text", host_col: str = "source",
-    max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
+    max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, least: int = 1, copies_once: bool = False,
 ) -> DataFrame:
     """(host, line_key, n_pages, host_pages) of the lines above the ratio."""
-    lines = pages.select(
-        F.col(q(host_col)).alias("host"), F.explode(_line_keys(text_col)).alias("line_key")
-    )
+    host, keys = F.col(q(host_col)).alias("host"), _line_keys(text_col)
+    if copies_once:
+        pages = pages.select(host, F.array_sort(keys).alias("keys")).distinct()
+        # coalesce: Spark would else filter on the size of the keys, and make them again for it
+        host, keys = F.col("host"), F.coalesce("keys", F.array().cast("array<bigint>"))
+    lines = pages.select(host, F.explode(keys).alias("line_key"))
     # a line above the ratio is on more than max_ratio * min_pages pages: the rest need no host total
     counts = lines.groupBy("host", "line_key").agg(F.count("*").alias("n_pages")).where(
-        F.col("n_pages") > max_ratio * min_pages
+        (F.col("n_pages") > max_ratio * min_pages) & (F.col("n_pages") >= least)
     )
     totals = (
-        pages.groupBy(F.col(q(host_col)).alias("host_")).agg(F.count("*").alias("host_pages"))
+        pages.groupBy(host.alias("host_")).agg(F.count("*").alias("host_pages"))
         .where(F.col("host_pages") >= min_pages)
     )
     return counts.join(totals, F.col("host").eqNullSafe(F.col("host_"))).where(
@@ -55,10 +62,10 @@ def boilerplate_lines(
 
 def drop_boilerplate(
     pages: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-    max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
+    max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, least: int = 1, copies_once: bool = False,
 ) -> DataFrame:
     """The pages with boilerplate lines cut out of the text, plus ``n_lines_`` and ``n_dropped_``."""
-    hot = boilerplate_lines(pages, text_col, host_col, max_ratio, min_pages).select(
+    hot = boilerplate_lines(pages, text_col, host_col, max_ratio, min_pages, least, copies_once).select(
         F.col("host").alias("hot_host"), F.col("line_key").alias("hot_key")
     )
     on_page = pages.select(

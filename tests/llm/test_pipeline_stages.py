@@ -53,3 +53,20 @@ def test_odd_documents_through_the_filters(spark, odd_docs, no_docs):
             assert {r.k: r["count"] for r in n} == {1: 1, 2: 1, 3: 1, 4: 1, 6: 1, 7: 1, 9: 1, 11: 1, -1: 2}
         assert stages[name](spark, no_docs, SF).count() == 0
     assert stages["packing"](spark, no_docs, SF).count() == 0
+
+
+def line_dedup_of(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string").repartition(3)
+    return {r.doc_id: r.text for r in corpus_pipeline.drop_boilerplate_lines(spark, docs, SF).collect()}
+
+
+def test_copies_of_a_host_are_left_for_the_join(spark):
+    """A group of copies that holds a third of a host, and a pair on a host of 20 pages."""
+    passage = "one copied page\nwith a second line"
+    rows = [(i, passage + " \n" * (i % 2), "a") for i in range(30)]  # blanks at the ends make no other page
+    rows += [(100 + i, f"Menu\nown line {i}", "a") for i in range(60)]
+    rows += [(200 + i, passage if i < 2 else f"page {i}", "b") for i in range(20)]
+    got = line_dedup_of(spark, rows)
+    assert set(got) == {r[0] for r in rows}
+    assert all(got[i] == text for i, text, _ in rows if i < 100 or i >= 200)
+    assert all(got[100 + i] == f"own line {i}" for i in range(60))  # boilerplate goes
