@@ -6,7 +6,8 @@ last return the columns of ``documents``; a stage sees what its predecessor kept
 1. toxicity: documents predicted toxic go.
 2. line dedup: boilerplate lines of a host are cut out of the texts; documents that
    had words and keep none go.  Copies count as one page, and a line must be on
-   ``LEAST_PAGES`` of those, so a group of copies stays for stage 3.
+   ``LEAST_PAGES`` of those, so a group of copies stays for stage 3.  The rule is the
+   same for hosts of every size.
 3. n-gram Jaccard join: of each class of near copies the document of the smallest id stays.
 4. benchmark decontamination: spans of benchmark passages are cut out of the texts;
    documents that had words and keep none go.
@@ -37,7 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.drop_boilerplate(docs, least=LEAST_PAGES, copies_once=True)
+    cleaned = line_dedup.drop_boilerplate(docs, min_pages=1, least=LEAST_PAGES, copies_once=True)
     return _with_texts(cleaned.where(_not_emptied("n_dropped_ > 0")), docs)
 
 

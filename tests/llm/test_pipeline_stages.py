@@ -70,3 +70,9 @@ def test_copies_of_a_host_are_left_for_the_join(spark):
     assert set(got) == {r[0] for r in rows}
     assert all(got[i] == text for i, text, _ in rows if i < 100 or i >= 200)
     assert all(got[100 + i] == f"own line {i}" for i in range(60))  # boilerplate goes
+
+
+def test_small_hosts_lose_boilerplate_too(spark):
+    rows = [(100 * n + i, f"Menu\npage {i}", f"host {n}") for n in (2, 3, 19, 20) for i in range(n)]
+    got = line_dedup_of(spark, rows)
+    assert got == {key: text if host == "host 2" else text.removeprefix("Menu\n") for key, text, host in rows}
