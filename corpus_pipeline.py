@@ -7,7 +7,8 @@ last return the columns of ``documents``; a stage sees what its predecessor kept
 2. line dedup: boilerplate lines of a host are cut out of the texts; documents that
    had words and keep none go.  Copies count as one page, and a line must be on
    ``LEAST_PAGES`` of those, so a group of copies stays for stage 3.  The rule is the
-   same for hosts of every size.
+   same for hosts of every size.  Passages (lines of 50 words or more) that repeat on
+   over ``LONG_RATIO`` of a host's distinct pages stay on the page of the smallest id.
 3. n-gram Jaccard join: of each class of near copies the document of the smallest id stays.
 4. benchmark decontamination: spans of benchmark passages are cut out of the texts;
    documents that had words and keep none go.
@@ -28,6 +29,7 @@ from railtrace.llm import fm_index, line_dedup, ngram_join, packing, queries, to
 from railtrace.llm.common import q, table, written
 
 LEAST_PAGES = 3  # distinct pages of a host that hold a boilerplate line
+LONG_RATIO = 0.002  # of a host's pages; a long line on more stays on one page alone
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -38,7 +40,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.drop_boilerplate(docs, min_pages=1, least=LEAST_PAGES, copies_once=True)
+    cleaned = line_dedup.drop_boilerplate(docs, min_pages=1, least=LEAST_PAGES, copies_once=True, long_ratio=LONG_RATIO)
     return _with_texts(cleaned.where(_not_emptied("n_dropped_ > 0")), docs)
 
 

@@ -13,6 +13,9 @@ an equi-join on (host, line), whose hot keys AQE splits, and gathered per page.
 With ``copies_once`` pages of one host with the same set of lines count as one
 page, above and below the line, and ``least`` is the number of such pages that
 must hold a line: a group of copies then never makes its own text boilerplate.
+With ``long_ratio`` a line of ``LONG_WORDS`` words or more is a repeated passage
+where it is on more than that share of the pages of a host, and on ``least`` with
+other lines; it stays on the page of the smallest id and is dropped from the others.
 
 Defined cases: a line is compared without surrounding blanks, tabs and carriage
 returns; blank lines are neither counted nor dropped; a null text stays null
@@ -32,8 +35,11 @@ from railtrace.llm.common import q
 
 MAX_RATIO = 0.05
 MIN_PAGES = 20
+LONG_WORDS = 50  # words of a line that is a passage
 
 _KEY = "btrim(l, ' \\t\\r')"
+# the length spares short lines the split
+_LONG = f"length(l) >= {2 * LONG_WORDS - 1} AND size(split(l, '[ \\t]+')) >= {LONG_WORDS}"
 
 
 def boilerplate_lines(
@@ -60,9 +66,27 @@ def boilerplate_lines(
     ).select("host", "line_key", "n_pages", "host_pages")
 
 
+def repeated_passages(
+    pages: DataFrame, ratio: float, least: int, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+) -> DataFrame:
+    """(host, line_key, keeper, n_pages, host_pages) of the long lines above the ratio; the keeper is an id."""
+    page = F.xxhash64(F.array_sort(_line_keys(text_col)))
+    held = pages.select(F.col(q(id_col)).alias("id"), F.col(q(host_col)).alias("host"), page.alias("page"), _line_keys(text_col, _LONG).alias("keys"))
+    counts = (
+        held.select("id", "host", "page", F.explode("keys").alias("line_key"))
+        .groupBy("host", "line_key").agg(F.min("id").alias("keeper"), F.countDistinct("page").alias("n_pages"))
+        .where(F.col("n_pages") >= least)
+    )
+    totals = held.groupBy(F.col("host").alias("host_")).agg(F.countDistinct("page").alias("host_pages"))
+    return counts.join(totals, F.col("host").eqNullSafe(F.col("host_"))).where(
+        F.col("n_pages") > ratio * F.col("host_pages")
+    ).select("host", "line_key", "keeper", "n_pages", "host_pages")
+
+
 def drop_boilerplate(
     pages: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, least: int = 1, copies_once: bool = False,
+    long_ratio: float | None = None,
 ) -> DataFrame:
     """The pages with boilerplate lines cut out of the text, plus ``n_lines_`` and ``n_dropped_``."""
     hot = boilerplate_lines(pages, text_col, host_col, max_ratio, min_pages, least, copies_once).select(
@@ -71,9 +95,16 @@ def drop_boilerplate(
     on_page = pages.select(
         F.col(q(id_col)).alias("page_"), F.col(q(host_col)).alias("host_"), F.explode(_line_keys(text_col)).alias("key_")
     )
+    same = F.col("key_").eqNullSafe(F.col("hot_key")) & F.col("host_").eqNullSafe(F.col("hot_host"))
+    found = on_page.join(hot, same).select("page_", "host_", "key_")
+    if long_ratio is not None:
+        passages = repeated_passages(pages, long_ratio, least, id_col, text_col, host_col).select(
+            F.col("host").alias("hot_host"), F.col("line_key").alias("hot_key"), "keeper"
+        )
+        others = on_page.join(passages, same).where(~F.col("page_").eqNullSafe(F.col("keeper")))
+        found = found.unionByName(others.select("page_", "host_", "key_"))
     drops = (
-        on_page.join(hot, F.col("key_").eqNullSafe(F.col("hot_key")) & F.col("host_").eqNullSafe(F.col("hot_host")))
-        .groupBy("page_", "host_").agg(F.collect_set("key_").alias("drop_"))
+        found.groupBy("page_", "host_").agg(F.collect_set("key_").alias("drop_"))
     )
     joined = pages.alias("p").join(
         drops.alias("d"),
@@ -89,7 +120,7 @@ def drop_boilerplate(
     return joined.select(*columns, F.expr(n_lines).alias("n_lines_"), dropped.alias("n_dropped_"))
 
 
-def _line_keys(text_col: str):
-    """Distinct hashes of a page's lines that are not blank."""
-    lines = f"filter(transform(split({q(text_col)}, '\\n', -1), l -> {_KEY}), l -> l <> '')"
+def _line_keys(text_col: str, which: str = "l <> ''"):
+    """Distinct hashes of a page's lines that are not blank, or of those that ``which`` names."""
+    lines = f"filter(transform(split({q(text_col)}, '\\n', -1), l -> {_KEY}), l -> {which})"
     return F.expr(f"array_distinct(transform({lines}, l -> xxhash64(l)))")

@@ -76,3 +76,11 @@ def test_small_hosts_lose_boilerplate_too(spark):
     rows = [(100 * n + i, f"Menu\npage {i}", f"host {n}") for n in (2, 3, 19, 20) for i in range(n)]
     got = line_dedup_of(spark, rows)
     assert got == {key: text if host == "host 2" else text.removeprefix("Menu\n") for key, text, host in rows}
+
+
+def test_a_repeated_passage_stays_on_one_page(spark):
+    long, short = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("p", 50), ("s", 49)))
+    rows = [(i, f"page {i}" + f"\n{long}\n{short}" * (i in (7, 50, 90)) + f"\n{long}x" * (i in (8, 9)), "a") for i in range(100)]
+    rows += [(200 + i, long, "b") for i in range(5)]  # copies are for stage 3
+    got = line_dedup_of(spark, rows)
+    assert got == {key: text.replace(f"\n{long}\n", "\n") if key in (50, 90) else text for key, text, _ in rows}
