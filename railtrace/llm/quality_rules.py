@@ -10,10 +10,12 @@ One pass over the texts writes the counts and each document's distinct line
 hashes to the shared folder; all later steps read those.  Counts per
 (host, line) are summed within tasks before the shuffle; lines above the limit
 are joined back on (host, line), and only their words are summed per document.
+Rows bound ids from above, so ids are counted only for lines above the limit by rows.
 
 Defined cases: a null or empty text has no words and fails the base rules;
 lines without a word are not counted; a null host is a host; a document is a row (repeated rows count
-each and get the same verdict); an empty table gives an empty result; other
+each and get the same verdict) or, with ``ids_once``, an id (its rows count once for a
+line; rows without an id count each); an empty table gives an empty result; other
 columns are not read.
 """
 
@@ -120,20 +122,22 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def apply_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-    max_docs: int = MAX_DOCS, max_removed: float = MAX_REMOVED,
+    max_docs: int = MAX_DOCS, max_removed: float = MAX_REMOVED, ids_once: bool = False,
 ) -> DataFrame:
     """Counts and verdicts: the id, counts, ``n_removed_words``, ``base_failed`` and ``kept``."""
     counted = written(text_counts(docs, id_col, text_col, host_col), "line-counts")
-    per_line = (
+    hot = (
         counted.select("host", F.explode("line_keys").alias("key"))
         .groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") > max_docs)
     )
-    hot = per_line.select(F.col("host").alias("hot_host"), F.col("key").alias("hot_key"))
     lines = counted.select(
         "id", "host", "text_key", F.explode(F.arrays_zip("line_keys", "line_words")).alias("line")
     ).select("id", "host", "text_key", F.col("line.line_keys").alias("key"), F.col("line.line_words").alias("words"))
+    if ids_once:
+        n_ids = F.countDistinct("id") + F.sum(F.col("id").isNull().cast("long"))
+        hot = _of_lines(lines, hot).groupBy("host", "key").agg(n_ids.alias("n")).where(F.col("n") > max_docs)
     removed = (
-        lines.join(hot, (F.col("key") == F.col("hot_key")) & F.col("host").eqNullSafe(F.col("hot_host")))
+        _of_lines(lines, hot)
         .select("id", "host", "text_key", "key", "words").distinct()  # repeated rows remove the same
         .groupBy("id", "host", "text_key").agg(F.sum("words").alias("n_removed"))
         .select(F.col("id").alias("r_id"), F.col("host").alias("r_host"), F.col("text_key").alias("r_key"), "n_removed")
@@ -151,3 +155,9 @@ def apply_rules(
         n_removed.alias("n_removed_words"), failed.alias("base_failed"),
         (~failed & (n_removed <= max_removed * F.col("n_words"))).alias("kept"),
     )
+
+
+def _of_lines(lines: DataFrame, hot: DataFrame) -> DataFrame:
+    """The rows whose (host, key) is in ``hot``."""
+    named = hot.select(F.col("host").alias("hot_host"), F.col("key").alias("hot_key"))
+    return lines.join(named, (F.col("key") == F.col("hot_key")) & F.col("host").eqNullSafe(F.col("hot_host")))

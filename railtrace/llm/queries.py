@@ -39,7 +39,7 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), ids_once=True)
 
 
 def quality_grade():

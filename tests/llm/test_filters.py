@@ -2,9 +2,10 @@
 
 import re
 
+import duckdb
 import pytest
 
-from railtrace.llm import line_dedup, quality_rules, secrets, url_filter
+from railtrace.llm import line_dedup, quality_rules, queries, secrets, url_filter
 
 
 def test_line_dedup_rules(spark):
@@ -157,3 +158,28 @@ def test_quality_rules_odd(odd_docs, no_docs):
     assert by[9].kept and by[9].n_words == 30_000 and by[1].n_words == 12 and not by[1].kept
     assert by[11].n_removed_words == by[11].n_words > 0  # both rows of id 11 hold the line
     assert quality_rules.apply_rules(no_docs).count() == 0
+
+
+def test_line_frequency_counts_documents(spark, tmp_path):
+    hot = " ".join(f"h{j}" for j in range(70))
+    rows = [(i % 3, hot, "a") for i in range(120)] + [(1000 + i % 101, hot, "b") for i in range(120)]
+    rows += [(None, hot, "c") for _ in range(101)]
+    spark.createDataFrame(rows, "doc_id int, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r.doc_id, r.n_removed_words) for r in queries.op4_line_frequency(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(i, 0 if host == "a" else 70) for i, _, host in rows], key=str)
+
+
+def test_quality_rules_remove_lines_of_a_table(spark):
+    """The query's limit of 100 removes nothing from sf0.1; one of 3 does and rejects documents."""
+    folder, con = "/root/testdata/sf0.1", duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    theirs = con.sql(r"""
+        WITH l AS (SELECT doc_id, source, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+                   FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents)),
+        hot AS (SELECT source, w FROM l WHERE len(w) > 0 GROUP BY ALL HAVING count(DISTINCT doc_id) > 3)
+        SELECT doc_id, sum(len(w)) FROM l JOIN hot USING (source, w) GROUP BY doc_id""").fetchall()
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: r for r in quality_rules.apply_rules(docs, max_docs=3, ids_once=True).collect()}
+    assert len(theirs) > 0 and {i: r.n_removed_words for i, r in got.items() if r.n_removed_words} == dict(theirs)
+    assert any(not r.kept and not r.base_failed for r in got.values())
+    assert all(r.kept == (not r.base_failed and 2 * r.n_removed_words <= r.n_words) for r in got.values())
