@@ -12,9 +12,9 @@ An example's loss-bearing tokens are its last ``n_loss`` tokens (prompt, then
 response), so a cut knows the loss of either piece.
 
 Each task packs the rows it reads, in pools of ``POOL`` examples; sequences
-that are not full go back to the pool, so a task ends with one remainder.  With
-cutting, that remainder becomes sequences at powers of two (which need no
-padding).  There is no shuffle, and memory is bounded by the pool.  Sequence
+that are not full go back to the pool, so a task ends with one remainder.  Where
+the limit of segments or loss binds, most of a pool gets no fuller and leaves it at once.
+With cutting, both become sequences at powers of two (which need no padding).  There is no shuffle, and memory is bounded by the pool.  Sequence
 ids hold the task's partition number, so no two tasks share one.  The input
 should be a written table: a retried task then packs the same rows.
 
@@ -91,16 +91,18 @@ class Packer:
             out += full
             self.waiting = [p for bin_ in rest for p in bin_]
             if len(self.waiting) > self.pool // 2:  # limits other than tokens bind: those are as full as they get
-                out += [_pieces(b) for b in rest]
+                out += self._ended(rest)
                 self.waiting = []
         return out
 
     def finish(self) -> list[list[tuple[int, int, int]]]:
         full, rest = self._pack()
         self.waiting = []
-        for b in rest:
-            full += _at_powers_of_two(_pieces(b)) if self.cut else [_pieces(b)]
-        return full
+        return full + self._ended(rest)
+
+    def _ended(self, rest) -> list[list[tuple[int, int, int]]]:
+        """Sequences of what gets no fuller; with cutting, at powers of two."""
+        return [s for b in rest for s in (_at_powers_of_two(_pieces(b)) if self.cut else [_pieces(b)])]
 
     def _pack(self):
         """Full sequences as pieces, and the others as examples."""

@@ -162,3 +162,12 @@ def test_the_largest_dot_product_goes_first():
     for i, n in enumerate((10, 60, 30, 35)):
         assert p.add(i, n, n) == []
     assert [[e for e, _, _ in s] for s in p.finish()] == [[1, 3], [2, 0]]
+
+
+def test_pools_of_tiny_documents_need_no_padding():
+    p = packing.Packer()
+    out = [s for i in range(10_000) for s in p.add(i, 5, 5)] + p.finish()
+    totals = [sum(length for _, _, length in s) for s in out]
+    assert all(t & (t - 1) == 0 for t in totals) and max(len(s) for s in out) <= 128
+    tokens = [(example, at) for s in out for example, start, length in s for at in range(start, start + length)]
+    assert sorted(tokens) == [(i, at) for i in range(10_000) for at in range(5)]
