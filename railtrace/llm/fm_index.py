@@ -234,7 +234,7 @@ class Windows:
 def benchmark_blocks(
     benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_words: int = BLOCK_WORDS
 ) -> Iterator[list[tuple[str, bytes | None]]]:
-    """The benchmark's items in blocks of a bounded number of bytes, streamed through the driver."""
+    """The benchmark's items in blocks of a bounded number of bytes, read through the driver; ``find_contamination`` holds them all."""
     rows = benchmark.select(F.col(q(id_col)).cast("string").alias("i"), F.col(q(text_col)).cast("binary").alias("t"))
     block, size = [], 0
     for row in rows.where("i IS NOT NULL AND t IS NOT NULL").toLocalIterator():
