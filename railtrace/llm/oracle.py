@@ -156,6 +156,62 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, bit by bit."""
+    bits = "list_reduce([xor(c, b)] || [0::BIGINT for i in range(8)], lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    codes = f"[CAST(unicode(c) AS BIGINT) for c in string_split({text}, '')]"
+    return f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda c, b: {bits}), 4294967295)"
+
+
+def _leaf(n_chars: str) -> str:
+    texts = ["CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text"]
+    return "sha256(" + " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+# Phase 0 climbs each language's leaves, phase 1 the subroots.
+OP11 = f"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, coalesce(strlen(lang) || ':' || lang, '-') AS g, lang, {_leaf('n_chars')} AS leaf,
+         CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN {_leaf('(n_chars + 1)')} END AS claimed
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS slot, count(*) OVER (PARTITION BY g) AS n FROM f
+), low(level, g, slot, n, h) AS (
+  SELECT 0::BIGINT, g, slot, n, leaf FROM placed
+  UNION ALL
+  SELECT level + 1, g, slot // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY slot)) FROM low WHERE n > 1
+  GROUP BY level, g, slot // 2, n
+), subs AS (
+  SELECT g, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS slot, count(*) OVER () AS n
+  FROM low JOIN (SELECT DISTINCT g, lang FROM f) USING (g) WHERE low.n = 1
+), high(level, slot, n, h) AS (
+  SELECT 0::BIGINT, slot, n, h FROM subs
+  UNION ALL
+  SELECT level + 1, slot // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY slot)) FROM high WHERE n > 1 GROUP BY level, slot // 2, n
+), steps AS (
+  SELECT p.doc_id, p.leaf, 0 AS phase, a.level, (p.slot >> a.level) % 2 = 1 AS at_right, b.h AS other
+  FROM placed p JOIN low a ON a.g = p.g AND a.slot = p.slot >> a.level AND a.n > 1
+  LEFT JOIN low b ON b.g = a.g AND b.level = a.level AND b.slot = xor(a.slot, 1::BIGINT)
+  UNION ALL
+  SELECT p.doc_id, p.leaf, 1, a.level, (s.slot >> a.level) % 2 = 1, b.h
+  FROM placed p JOIN subs s USING (g) JOIN high a ON a.slot = s.slot >> a.level AND a.n > 1
+  LEFT JOIN high b ON b.level = a.level AND b.slot = xor(a.slot, 1::BIGINT)
+), paths AS (
+  SELECT doc_id, leaf, sha256(string_agg(coalesce(other, ''), '' ORDER BY phase, level)) AS proof,
+         list({{'r': at_right, 'h': coalesce(other, '')}} ORDER BY phase, level) AS path
+  FROM steps GROUP BY doc_id, leaf
+), folded(doc_id, leaf, k, path, h) AS (
+  SELECT p.doc_id, p.leaf, 1, coalesce(path, []), coalesce(claimed, p.leaf)
+  FROM placed p LEFT JOIN paths q ON q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.leaf = p.leaf
+  UNION ALL
+  SELECT doc_id, leaf, k + 1, path, sha256(CASE WHEN path[k].r THEN path[k].h || h ELSE h || path[k].h END) FROM folded WHERE k <= len(path)
+)
+SELECT p.doc_id, p.leaf, subs.h AS subroot, root.h AS root, coalesce(proof, sha256('')) AS proof_sha256, o.h AS folded_root, o.h = root.h AS verified
+FROM placed p JOIN subs USING (g) LEFT JOIN paths q ON q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.leaf = p.leaf
+JOIN folded o ON o.doc_id IS NOT DISTINCT FROM p.doc_id AND o.leaf = p.leaf AND o.k = len(o.path) + 1, (SELECT h FROM high WHERE n = 1) root
+"""
+
+
 ORACLE_SQL = {
     "op3_ngram_join": OP3,
     "op4_line_frequency": OP4,
@@ -163,4 +219,5 @@ ORACLE_SQL = {
     "op7_url_filter": OP7,
     "op9_line_dedup": OP9,
     "op10_secret_ledger": _op10(),
+    "op11_merkle_manifest": OP11,
 }

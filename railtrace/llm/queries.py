@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtrace.llm import fm_index, line_dedup, ngram_join, ordinal, packing, quality_rules, secrets, token_files, toxicity, url_filter
+from railtrace.llm import fm_index, line_dedup, merkle, ngram_join, ordinal, packing, quality_rules, secrets, token_files, toxicity, url_filter
 from railtrace.llm.common import table
 from railtrace.llm.labelled import held_out
 
@@ -109,6 +109,24 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*LEAF)
+    leaf = merkle.digest([F.col(c) for c in LEAF])
+    more = (F.col("n_chars").cast("decimal(38,0)") + 1).cast("string")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    claimed = F.when(tampered, merkle.digest([more if c == "n_chars" else F.col(c) for c in LEAF]))
+    manifest = merkle.build(docs, F.col("lang"), [F.col("doc_id")], leaf, [F.col("doc_id"), claimed.alias("claimed")])
+    rows = manifest.rows.withColumn("folded_root", merkle.fold(F.coalesce("claimed", "leaf"), F.col("path")))
+    root = F.lit(manifest.root).cast("string")
+    return rows.select(
+        "doc_id", "leaf", "subroot", root.alias("root"), F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == root).alias("verified"),
+    )
+
+
 def _joined(spans: str) -> str:
     return f"array_join(transform({spans}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')"
 
@@ -124,4 +142,5 @@ QUERIES = {
     "op8_fm_decontamination": op8_fm_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_ledger": op10_secret_ledger,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
