@@ -212,6 +212,70 @@ JOIN folded o ON o.doc_id IS NOT DISTINCT FROM p.doc_id AND o.leaf = p.leaf AND
 """
 
 
+# Ways from state to state (0 nothing, 1 system, 2 user, 3 assistant) over inserted rows ('I') and one
+# row: its kind (k: kept by its initial, r: given a role, d: deleted), edits, cost and what is put before it.
+_WAYS = """
+  SELECT f, t, kind, repeat('I', n) || upper(kind) AS e, 2 * n + CASE kind WHEN 'r' THEN 2 WHEN 'd' THEN 3 ELSE 0 END AS c, put,
+         CASE WHEN kind = 'd' THEN NULL WHEN t = 1 THEN 's' WHEN t = 2 THEN 'u' ELSE 'a' END AS initial
+  FROM (SELECT p.f, p.n, p.put, x.t, x.kind FROM (
+    VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 1, 'u'), (1, 2, 1, 'u'), (3, 2, 1, 'u'), (2, 3, 1, 'a'),
+           (0, 3, 2, 'ua'), (1, 3, 2, 'ua'), (2, 2, 2, 'au'), (3, 3, 2, 'ua')
+  ) p(f, m, n, put) JOIN (
+    VALUES (0, 0, 'd'), (1, 1, 'd'), (2, 2, 'd'), (3, 3, 'd'), (0, 1, 'k'), (0, 2, 'k'), (1, 2, 'k'), (3, 2, 'k'), (2, 3, 'k'),
+           (0, 2, 'r'), (1, 2, 'r'), (3, 2, 'r'), (2, 3, 'r')
+  ) x(f, t, kind) ON x.f = p.m)
+"""
+
+OP12 = rf"""
+WITH RECURSIVE o AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) FROM o WHERE kind <> 0)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM damaged
+), r AS (
+  SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS cut,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed
+), faults AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+         count(*) FILTER (NOT blank AND NOT again AND cut) AS truncated,
+         count(*) FILTER (i > 1 AND (before || initial) NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM r GROUP BY conv_id
+), ways AS ({_WAYS}), dp(conv_id, i, state, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {{'c': 0::BIGINT, 'e': '', 'text': ''}} FROM faults
+  UNION ALL
+  SELECT conv_id, i, state, min(best) FROM (
+    SELECT dp.conv_id, r.i, w.t AS state, {{
+      'c': best.c + w.c + CASE WHEN kind <> 'd' AND cut THEN 1 ELSE 0 END, 'e': best.e || w.e,
+      'text': best.text || replace(replace(w.put, 'u', chr(10) || 'user:'), 'a', chr(10) || 'assistant:')
+        || CASE kind WHEN 'd' THEN '' ELSE chr(10) || CASE WHEN kind = 'k' THEN role WHEN w.t = 2 THEN 'user' ELSE 'assistant' END || ':' || text END
+    }} AS best
+    FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1
+    JOIN ways w ON w.f = dp.state AND (kind = 'd' OR NOT (blank OR again) AND (kind = 'r' OR w.initial = r.initial))
+  ) GROUP BY conv_id, i, state
+), done AS (
+  SELECT conv_id, min({{'c': best.c + 2 * length(put), 'e': best.e || repeat('I', length(put)),
+                       'text': best.text || replace(replace(put, 'u', chr(10) || 'user:'), 'a', chr(10) || 'assistant:')}}) AS best
+  FROM dp JOIN faults USING (conv_id) JOIN (VALUES (0, ''), (3, ''), (2, 'a'), (0, 'ua'), (1, 'ua')) e(state, put) USING (state)
+  WHERE dp.i = faults.n GROUP BY conv_id
+)
+SELECT x.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.e, '') AS audit, sha256(coalesce(substr(best.text, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) x LEFT JOIN faults USING (conv_id) LEFT JOIN done USING (conv_id)
+"""
+
+
 ORACLE_SQL = {
     "op3_ngram_join": OP3,
     "op4_line_frequency": OP4,
@@ -220,4 +284,5 @@ ORACLE_SQL = {
     "op9_line_dedup": OP9,
     "op10_secret_ledger": _op10(),
     "op11_merkle_manifest": OP11,
+    "op12_conversation_repair": OP12,
 }

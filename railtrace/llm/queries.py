@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtrace.llm import fm_index, line_dedup, merkle, ngram_join, ordinal, packing, quality_rules, secrets, token_files, toxicity, url_filter
+from railtrace.llm import conversations, fm_index, line_dedup, merkle, ngram_join, ordinal, packing, quality_rules, secrets, token_files, toxicity, url_filter
 from railtrace.llm.common import table
 from railtrace.llm.labelled import held_out
 
@@ -127,6 +127,31 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_conversations(conversations_: DataFrame) -> DataFrame:
+    """The rows with the faults that the query plants, by the checksum of ``conv_id:turn``."""
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    kind = F.crc32(F.concat_ws(":", text["conv_id"], text["turn"]).cast("binary")) % 20
+    rows = conversations_.select("conv_id", "turn", text["role"].alias("role"), text["text"].alias("text"), kind.alias("kind_"))
+    return rows.where("kind_ <> 0").withColumn("n_", F.expr("explode(CASE WHEN kind_ = 3 THEN array(1, 2) ELSE array(1) END)")).selectExpr(
+        "conv_id", "turn", "CASE WHEN kind_ = 4 THEN 'user' ELSE role END AS role",
+        "CASE WHEN kind_ = 1 THEN '' WHEN kind_ = 2 THEN translate(text, '.!?', '') ELSE text END AS text",
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    original = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = damaged_conversations(original)
+    audited = conversations.audits(rows)
+    found = audited.join(conversations.digests(rows, audited), "k_")
+    ids = original.select("conv_id").distinct().withColumn("k_", merkle.encoded([F.col("conv_id")]))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return ids.join(found, "k_", "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 def _joined(spans: str) -> str:
     return f"array_join(transform({spans}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')"
 
@@ -143,4 +168,5 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_ledger": op10_secret_ledger,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
 }
