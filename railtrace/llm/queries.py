@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtrace.llm import conversations, fm_index, line_dedup, merkle, ngram_join, ordinal, packing, quality_rules, secrets, token_files, toxicity, url_filter
+from railtrace.llm import conversations, fm_index, line_dedup, maxent_lm, merkle, ngram_join, ordinal, packing, quality_rules, secrets, token_files, toxicity, url_filter
 from railtrace.llm.common import table
 from railtrace.llm.labelled import held_out
 
@@ -152,6 +152,18 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_maxent_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    model = maxent_lm.train(docs, ~held)
+    scored = maxent_lm.score(docs.withColumn("held_out", held), model, ["doc_id", "held_out"])
+    return scored.select(
+        "doc_id", "held_out", F.col("n_tokens_").alias("n_tokens"), F.col("n_known_").alias("n_known"),
+        F.lit(model.vocabulary.tokens).cast("long").alias("train_tokens"),
+        F.col("base_score_").alias("base_score"), F.col("score_").alias("score"),
+    )
+
+
 def _joined(spans: str) -> str:
     return f"array_join(transform({spans}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')"
 
@@ -169,4 +181,5 @@ QUERIES = {
     "op10_secret_ledger": op10_secret_ledger,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_maxent_scoring": op13_maxent_scoring,
 }
