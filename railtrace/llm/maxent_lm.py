@@ -10,7 +10,8 @@ hashed: the word before, the two words before, and the word before that alone (a
 Counting covers all learning texts: tasks pre-count, Spark sums.  Training sees every learning text
 once: in each of ``ROUNDS`` rounds tasks take a share of the texts, make gradient steps from
 the broadcast weights (AdaGrad over numpy batches), and give their changes row by row;
-changes are averaged by how often a row was used, block by block, in the order of the tasks.  Targets are
+changes are averaged by how often a row was used, block by block, in the order of the tasks;
+their number follows the tokens, so what they send grows with the texts.  Targets are
 left-one-out: a word is learned as if it had been seen once less, so that rare words teach
 what unknown words do.  Scoring is one pass in numpy batches; only words beyond the dictionary are
 joined to their counts, so nothing of the corpus' vocabulary is broadcast but the
@@ -45,9 +46,10 @@ CLASSES, MEMBERS = 48, 48
 BITS = 16  # of the hashed rows of either softmax
 ROUNDS = 2
 RATE = 0.12
-STEP = 16_384  # tokens of a gradient step or scoring batch
+STEP = 32_768  # tokens of a gradient step or scoring batch
 BLOCK = 1024  # rows of weights that travel together
 HELD_WORDS = 400_000  # distinct words that a counting task holds
+TASK_TOKENS = 4_000_000  # that one task of a round learns, about; each sends its changed rows once
 PIECE = 4 << 20  # bytes of a text that are split at once
 END = b""  # the end token's place among the words
 
@@ -197,43 +199,54 @@ def _place(salt: int, *parts: np.ndarray) -> np.ndarray:
 
 
 class Softmax:
-    """A maximum-entropy model over ``width`` outcomes: hashed rows of weights beside fixed shares."""
+    """A maximum-entropy model over ``width`` outcomes: hashed rows of weights beside fixed shares.
+
+    Batches use the same buffers again; sums avoid BLAS, whose threads would fight over a task's core.
+    """
 
     def __init__(self, weights: np.ndarray):
         self.weights = weights
         self.rows, self.width = weights.shape
+        self.logits, self.taken = (np.empty((STEP, self.width), dtype=np.float32) for _ in range(2))
 
     def learn(self) -> None:
         self.start = self.weights.copy()
         self.used = np.zeros(self.rows)
         self.squares = np.full(self.rows, 1e-3, dtype=np.float32)
-        self.sums = np.zeros(self.rows * self.width, dtype=np.float32)
+        self.sums = np.zeros((self.rows, self.width), dtype=np.float32)
+        self.flat = np.empty((STEP, self.width), dtype=np.int64)
+        self.columns = np.arange(self.width)
 
     def odds(self, shares: np.ndarray, places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Exponentials of the logits, and their sums."""
-        logits = shares + self.weights.take(places[0], 0)
-        for p in places[1:]:
-            logits += self.weights.take(p, 0)
+        n = len(places[0])
+        logits, taken = self.logits[:n], self.taken[:n]
+        logits[:] = shares
+        for p in places:
+            self.weights.take(p, 0, out=taken, mode="clip")
+            logits += taken
         np.clip(logits, -60, 60, out=logits)
         np.exp(logits, out=logits)
-        return logits, logits @ np.ones(self.width, dtype=np.float32)
+        return logits, np.einsum("ij->i", logits)
 
     def step(self, shares: np.ndarray, places: list[np.ndarray], target: np.ndarray) -> None:
         slopes, total = self.odds(shares, places)
-        slopes /= total[:, None]
-        slopes[np.arange(len(target)), target] -= 1
-        flat = slopes.ravel()
-        columns = np.arange(self.width)
+        n = len(target)
+        slopes *= (1 / total)[:, None]
+        slopes[np.arange(n), target] -= 1
+        times = np.zeros(self.rows, dtype=np.int64)
         for p in places:
-            np.add.at(self.sums, (p[:, None] * self.width + columns).ravel(), flat)
-        times = sum(np.bincount(p, minlength=self.rows) for p in places)
+            flat = np.add((p * self.width)[:, None], self.columns, out=self.flat[:n])
+            np.add.at(self.sums.reshape(-1), flat.reshape(-1), slopes.reshape(-1))
+            times += np.bincount(p, minlength=self.rows)
         touched = np.flatnonzero(times)
-        sums = self.sums.reshape(self.rows, self.width)
-        change = sums[touched]
-        sums[touched] = 0
-        self.squares[touched] += (change * change).mean(axis=1)
-        self.weights[touched] -= RATE * change / np.sqrt(self.squares[touched])[:, None]
+        change = self.sums.take(touched, 0)
+        self.sums[touched] = 0
         self.used += times
+        squares = self.squares[touched] + np.einsum("ij,ij->i", change, change) / self.width
+        self.squares[touched] = squares
+        change *= (RATE / np.sqrt(squares))[:, None]
+        self.weights[touched] -= change
 
 
 class Model:
@@ -313,8 +326,10 @@ def train(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_col: str
     v = vocabulary(counts)
     weights = new_weights(v)
     if v.tokens:
+        tasks = -(-v.tokens // (ROUNDS * TASK_TOKENS))
         for k in range(ROUNDS):
-            _add(weights, _changes(rows.where(f"pmod(share, {ROUNDS}) = {k}").select("text"), v, weights))
+            texts = rows.where(f"pmod(share, {ROUNDS}) = {k}").select("text")
+            _add(weights, _changes(texts.coalesce(tasks), v, weights))
     return Trained(v, weights, counts)
 
 

@@ -130,8 +130,7 @@ def test_training_helps_and_repeats(spark):
 
 def test_changes_are_averaged_by_use_in_order(spark):
     """Two tasks' changes of a row, weighted by their uses; rows of no task stay."""
-    one, two = (spark.createDataFrame([(t,)], "text string").coalesce(1) for t in ("a b a c " * 30, "a c b " * 50))
-    texts = one.union(two)  # two tasks
+    texts = spark.range(0, 2, 1, 2).selectExpr("CASE id WHEN 0 THEN repeat('a b a c ', 30) ELSE repeat('a c b ', 50) END AS text")  # two tasks
     v = M.vocabulary(M.word_counts(texts))
     start = M.new_weights(v)
     merged = M.new_weights(v)
