@@ -38,19 +38,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from railtrace.llm.common import q, written
+from railtrace.llm.common import batch_bytes, q, written
 
 WORDS, WORD_BYTES = 1 << 18, 64  # the dictionary, at most
 LEAST_COUNT = 2  # of a word of the dictionary
-CLASSES, MEMBERS = 48, 48
+CLASSES, MEMBERS = 32, 48
 BITS = 16  # of the hashed rows of either softmax
 ROUNDS = 2
 RATE = 0.12
-STEP = 32_768  # tokens of a gradient step or scoring batch
+STEP = 16_384  # tokens of a gradient step or scoring batch
 BLOCK = 1024  # rows of weights that travel together
 HELD_WORDS = 400_000  # distinct words that a counting task holds
 TASK_TOKENS = 4_000_000  # that one task of a round learns, about; each sends its changed rows once
 PIECE = 4 << 20  # bytes of a text that are split at once
+BATCH = 8 << 20  # bytes of an Arrow batch, about
 END = b""  # the end token's place among the words
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -94,7 +95,8 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield flush()
 
     counted = docs.select(F.col(q(text_col)).cast("string").alias("text")).mapInArrow(run, "word binary, n long")
-    return written(counted.groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
+    with batch_bytes(docs.sparkSession, BATCH):
+        return written(counted.groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
 
 
 @dataclass(frozen=True)
@@ -166,8 +168,7 @@ class Classes:
         self.n_head = -(-head // MEMBERS)
         octave = np.log2(np.maximum(1, v.counts)).astype(np.int64)
         low = int(octave[-1]) if n else 0
-        top = int(octave[head]) if n > head else low
-        self.tail = self.n_head + top - low + 1
+        self.tail = self.n_head + (int(octave[head]) - low + 1 if n > head else 0)
         self.n = self.tail + 1
         rank = np.arange(n)
         self.of = np.where(rank < head, rank // MEMBERS, self.n_head + octave - low).astype(np.int32)
@@ -395,7 +396,8 @@ def _changes(texts: DataFrame, v: Vocabulary, weights: tuple[np.ndarray, np.ndar
     widths = [w.shape[1] for w in weights]
     steps = texts.mapInArrow(run, "kind int, block int, task int, rows binary, used binary, change binary")
     dealt = steps.repartition("kind", "block").sortWithinPartitions("kind", "block", "task")
-    return dealt.mapInArrow(merge, "kind int, block int, change binary").toLocalIterator()
+    with batch_bytes(texts.sparkSession, BATCH):
+        return dealt.mapInArrow(merge, "kind int, block int, change binary").collect()
 
 
 def _add(weights: tuple[np.ndarray, np.ndarray], changes) -> None:
@@ -410,7 +412,6 @@ def _joined(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 FOUND = "tokens_ long, known_ long, base_ double, model_ double, tail_ array<struct<word:binary,n:int>>"
-_TAIL = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
 
 
 def score(docs: DataFrame, trained: Trained, carry: list[str], text_col: str = "text") -> DataFrame:
@@ -423,8 +424,9 @@ def score(docs: DataFrame, trained: Trained, carry: list[str], text_col: str = "
         model = Model(voc, weights)
         base = np.append(voc.base(voc.counts), 0.0)
         for batch in batches:
-            texts, at = _texts(batch, batch.num_columns - 1), 0
-            tokens, known, bases, scores, tails = [], [], [], [], []
+            texts = _texts(batch, batch.num_columns - 1)
+            tokens, known, bases, scores = [], [], [], []
+            beyond, times, ends = [], [], [0]  # words beyond the dictionary, text by text
 
             def flush(held):
                 ids, starts = _joined(held)
@@ -439,9 +441,11 @@ def score(docs: DataFrame, trained: Trained, carry: list[str], text_col: str = "
                 parts, tail = [], Counter()
                 for words in pieces(text):
                     ids = model.numbers(words)
-                    tail.update(words[i] for i in np.flatnonzero(ids < 0).tolist())
+                    tail.update([words[i] for i in np.flatnonzero(ids < 0).tolist()])
                     parts.append(ids)
-                tails.append([{"word": w, "n": n} for w, n in tail.items()])
+                beyond.extend(tail.keys())
+                times.extend(tail.values())
+                ends.append(len(beyond))
                 held.append(np.concatenate(parts))
                 size += len(held[-1])
                 if size >= STEP:
@@ -449,16 +453,19 @@ def score(docs: DataFrame, trained: Trained, carry: list[str], text_col: str = "
                     held, size = [], 0
             if held:
                 flush(held)
+            tails = pa.StructArray.from_arrays([pa.array(beyond, pa.binary()), pa.array(times, pa.int32())], names=["word", "n"])
+            tails = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tails)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(bases, pa.float64()),
-                 pa.array(scores, pa.float64()), pa.array(tails, _TAIL)],
+                 pa.array(scores, pa.float64()), tails],
                 names=[*batch.schema.names[:-1], "tokens_", "known_", "base_", "model_", "tail_"],
             )
 
     kept = [F.col(q(c)).alias(f"c{i}_") for i, c in enumerate(carry)]
     sources = docs.select(*kept, F.monotonically_increasing_id().alias("row_"), F.col(q(text_col)).cast("string").alias("text_"))
     schema = StructType(sources.schema.fields[:-1] + StructType.fromDDL(FOUND).fields)
-    found = written(sources.mapInArrow(run, schema), "lm-scores")
+    with batch_bytes(docs.sparkSession, BATCH):
+        found = written(sources.mapInArrow(run, schema), "lm-scores")
     beyond = trained.counts.where(f"length(word) > {WORD_BYTES} OR n <= {max(v.least, LEAST_COUNT)}")
     tails = found.select("row_", F.explode("tail_").alias("t")).select("row_", "t.word", F.col("t.n").alias("times"))
     joined = tails.join(beyond, "word", "left")
