@@ -5,7 +5,8 @@ P(word | history) = P(class | history) * P(word | class, history).  The most fre
 their class; other words of the dictionary are in classes by the octave of their count, and all
 words beyond it in one class, with fixed shares there (absolute discounting; one event
 stands for every unknown word).  Both softmaxes are maximum-entropy models whose features are
-hashed: the word before, the two words before, and the word before that alone (a skip).
+hashed: of a class the word before and the two words before, of a member the word before and
+the one before that alone (a skip).
 
 Counting covers all learning texts: tasks pre-count, Spark sums.  Training sees every learning text
 once: in each of ``ROUNDS`` rounds tasks take a share of the texts, make gradient steps from
@@ -42,11 +43,11 @@ from railtrace.llm.common import batch_bytes, q, written
 
 WORDS, WORD_BYTES = 1 << 18, 64  # the dictionary, at most
 LEAST_COUNT = 2  # of a word of the dictionary
-CLASSES, MEMBERS = 32, 48
+CLASSES, MEMBERS = 24, 64
 BITS = 16  # of the hashed rows of either softmax
 ROUNDS = 2
 RATE = 0.12
-STEP = 16_384  # tokens of a gradient step or scoring batch
+STEP = 32_768  # tokens of a gradient step or scoring batch
 BLOCK = 1024  # rows of weights that travel together
 HELD_WORDS = 400_000  # distinct words that a counting task holds
 TASK_TOKENS = 4_000_000  # that one task of a round learns, about; each sends its changed rows once
@@ -272,7 +273,7 @@ class Model:
         return one, two
 
     def _class_places(self, one, two):
-        return [_place(1, one), _place(2, one, two), _place(3, two)]
+        return [_place(1, one), _place(2, one, two)]
 
     def _member_places(self, one, two, of):
         return [_place(4, one, of), _place(5, two, of)]

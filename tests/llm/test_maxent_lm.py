@@ -52,7 +52,7 @@ def plain_log10(trained, seen, words):
     for w in words:
         i = number.get(w, -1)
         of = int(c.of[i])
-        logits = [float(c.bias[k]) + sum(float(class_weights[r, k]) for r in (row(1, one), row(2, one, two), row(3, two))) for k in range(c.n)]
+        logits = [float(c.bias[k]) + sum(float(class_weights[r, k]) for r in (row(1, one), row(2, one, two))) for k in range(c.n)]
         out += softmax(logits, of)
         if of < c.n_head:
             logits = [float(c.shares[of, k]) + sum(float(member_weights[r, k]) for r in (row(4, one, of), row(5, two, of))) for k in range(M.MEMBERS)]
