@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railtrace.llm.common import map_batches, q
+from railtrace.llm.workers import claim
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20  # words of a shard, but for a longer document
@@ -274,6 +275,7 @@ def _with_block(docs: DataFrame, windows: Windows, text_col: str, first: bool, l
     text_at = names.index(text_col)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("fm_index")
         block = sent.value
         for batch in batches:
             start, size, shard = 0, 0, []

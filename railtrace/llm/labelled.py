@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railtrace.llm.common import q
+from railtrace.llm.common import batch_bytes, q
+from railtrace.llm.workers import claim, release
 
+BATCH = 4 << 20  # bytes of texts that the fit takes at a time, about
 FOLDS = 4
 HELD_OUT = 2
 
@@ -32,22 +34,34 @@ def sample_labels(labels: DataFrame, id_col: str, label: Column, per_label: dict
 
 
 def fit_on(
-    docs: DataFrame, sample: DataFrame, fit: Callable[[list[str], list[int]], object],
+    docs: DataFrame, sample: DataFrame, fit: Callable[[Iterable[str], list[int]], object],
     id_col: str = "doc_id", text_col: str = "text",
 ):
     """``fit(texts, labels)`` in one task over the sampled rows' whole texts, ordered by id.
 
+    The texts pass as a stream; ``labels`` holds those of the texts read so far.
+
     ``sample`` is bounded by its limits, so it may be broadcast and its texts may meet in one task.
     """
-    rows = docs.select(F.col(q(id_col)).alias("id"), F.col(q(text_col)).alias("text")).join(
+    rows = docs.select(F.col(q(id_col)).alias("id"), F.coalesce(F.col(q(text_col)), F.lit("")).alias("text")).join(
         F.broadcast(sample), F.col("id") == F.col("label_id")
     ).select("id", "text", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data = [r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3)))]
-        data.sort(key=lambda r: (r[0], r[1] or ""))
-        model = fit([r[1] or "" for r in data], [r[2] for r in data])
+        claim("fit")
+        labels: list[int] = []
+
+        def texts() -> Iterator[str]:
+            for batch in batches:
+                for text, label in zip(batch.column(1), batch.column(2).to_pylist()):
+                    labels.append(label)
+                    yield text.as_py()
+
+        model = fit(texts(), labels)
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+        del model
+        release()
 
-    row = rows.repartition(1).mapInArrow(run, "model binary").first()
-    return pickle.loads(row[0]) if row else fit([], [])  # no task runs over no rows
+    with batch_bytes(docs.sparkSession, BATCH):
+        models = rows.repartition(1).sortWithinPartitions("id", "text").mapInArrow(run, "model binary").collect()
+    return pickle.loads(models[0][0]) if models else fit([], [])  # no task runs over no rows

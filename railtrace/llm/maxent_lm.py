@@ -398,7 +398,9 @@ def _changes(texts: DataFrame, v: Vocabulary, weights: tuple[np.ndarray, np.ndar
     steps = texts.mapInArrow(run, "kind int, block int, task int, rows binary, used binary, change binary")
     dealt = steps.repartition("kind", "block").sortWithinPartitions("kind", "block", "task")
     with batch_bytes(texts.sparkSession, BATCH):
-        return dealt.mapInArrow(merge, "kind int, block int, change binary").collect()
+        merged = dealt.mapInArrow(merge, "kind int, block int, change binary").collect()
+    sent.destroy()
+    return merged
 
 
 def _add(weights: tuple[np.ndarray, np.ndarray], changes) -> None:
@@ -467,6 +469,7 @@ def score(docs: DataFrame, trained: Trained, carry: list[str], text_col: str = "
     schema = StructType(sources.schema.fields[:-1] + StructType.fromDDL(FOUND).fields)
     with batch_bytes(docs.sparkSession, BATCH):
         found = written(sources.mapInArrow(run, schema), "lm-scores")
+    sent.destroy()
     beyond = trained.counts.where(f"length(word) > {WORD_BYTES} OR n <= {max(v.least, LEAST_COUNT)}")
     tails = found.select("row_", F.explode("tail_").alias("t")).select("row_", "t.word", F.col("t.n").alias("times"))
     joined = tails.join(beyond, "word", "left")

@@ -49,6 +49,7 @@ from pyspark.sql import functions as F
 
 from railtrace.llm.common import batch_bytes, q, written
 from railtrace.llm.components import components
+from railtrace.llm.workers import cache, claim
 
 WORDS = 5
 PERCENT = 80
@@ -78,6 +79,7 @@ class WordHashes(dict):
 
 
 _HASHES = WordHashes()
+cache(_HASHES.clear)
 
 
 def shingles(text: bytes | None, size: int = WORDS) -> np.ndarray:
@@ -109,6 +111,7 @@ def frequent_shingles(docs: DataFrame, size: int = WORDS) -> tuple[np.ndarray, n
     """The most frequent shingles, ascending, with their counts; ``docs`` has one column ``text``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("ngram_join")
         parts, total = [], 0
 
         def counted():
@@ -166,6 +169,7 @@ def _sets(docs: DataFrame, frequent, size: int, percent: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("ngram_join")
         known, counts = sent.value
         seen: set[int] = set()
         for batch in batches:
@@ -295,6 +299,7 @@ def _join_units(texts: DataFrame, reps: DataFrame, candidates: DataFrame, words:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("ngram_join")
         unit, rows = None, []
         for batch in batches:
             columns = [batch.column(i) for i in range(9)]

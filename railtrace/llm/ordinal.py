@@ -21,7 +21,7 @@ replaced.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from railtrace.llm.common import map_batches, q
 from railtrace.llm.labelled import fit_on, sample_labels
 from railtrace.llm.textfeatures import BITS, Adam, Design, WordScores
+from railtrace.llm.workers import claim
 
 GRADES = 3
 PER_GRADE = 2500  # rated rows of a grade to learn from, at most
@@ -65,13 +66,14 @@ def words_of(text: str) -> set[str]:
     return distinct | {f"\n{k}={v}" for k, v in shape.items()}
 
 
-def fit(texts: list[str], grades: list[int]) -> Model:
+def fit(texts: Iterable[str], grades: list[int]) -> Model:
+    """The model of graded texts; the grades may be filled while the texts are read, which is once."""
+    design = Design(words_of(t) for t in texts)
     y = np.array(grades, dtype=np.int64)
     thresholds = np.log(np.arange(1, GRADES) / np.arange(GRADES - 1, 0, -1))
     weights = np.zeros(1 << BITS)
     if not len(y):
         return Model(weights.astype(np.float32), thresholds)
-    design = Design(words_of(t) for t in texts)
     # free parameters: the first threshold, and the logarithms of the steps between thresholds
     first, steps = thresholds[0], np.log(np.diff(thresholds))
     of_weights, of_first, of_steps = Adam(1 << BITS), Adam(()), Adam(len(steps))
@@ -109,6 +111,7 @@ def grade_documents(docs: DataFrame, model: Model, text_col: str = "text", tail:
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** BITS weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("ordinal")
         words, thresholds = WordScores(sent.value.weights), sent.value.thresholds
         for batch in batches:
             texts = [t or "\n" for t in batch.column(at).to_pylist()]

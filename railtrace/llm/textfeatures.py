@@ -17,6 +17,7 @@ BITS = 18
 LENGTHS = (3, 4, 5)
 MAX_CACHED_WORDS = 400_000
 SLICE = 50_000  # words that are hashed at once
+PART = 1 << 20  # n-grams that a pass over them takes at once
 TEXTS = 512  # texts whose words are held at once
 
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
@@ -94,15 +95,26 @@ class Design:
         self.places = np.concatenate(places)
         self.owner = np.repeat(np.arange(self.n_words, dtype=np.int32), np.concatenate(counts))
 
+    def _parts(self):
+        """The n-grams in slices, so that what is computed for each of them stays small."""
+        return [slice(i, i + PART) for i in range(0, len(self.places), PART)]
+
     def scores(self, weights: np.ndarray) -> np.ndarray:
-        word = np.bincount(self.owner, weights=weights[self.places], minlength=self.n_words)
+        word = np.zeros(self.n_words)
+        for part in self._parts():
+            first = self.owner[part.start]
+            sums = np.bincount(self.owner[part] - first, weights=weights[self.places[part]])
+            word[first:first + len(sums)] += sums
         return np.bincount(self.text_of, weights=word[self.text_words], minlength=self.n) * self.scale
 
     def gradient(self, slopes: np.ndarray, scaled: bool = True) -> np.ndarray:
         """The sum of the texts' features, each times its slope."""
         slopes = slopes * self.scale if scaled else slopes
         word = np.bincount(self.text_words, weights=slopes[self.text_of], minlength=self.n_words)
-        return np.bincount(self.places, weights=word[self.owner], minlength=1 << BITS)
+        out = np.zeros(1 << BITS)
+        for part in self._parts():
+            out += np.bincount(self.places[part], weights=word[self.owner[part]], minlength=1 << BITS)
+        return out
 
 
 class Adam:

@@ -14,6 +14,8 @@ import re
 
 import numpy as np
 
+from railtrace.llm.workers import cache, claim
+
 MAX_CACHED_WORDS = 700_000
 
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
@@ -69,10 +71,12 @@ class WordEncoder(dict):
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
+cache(_ENCODERS.clear)
 
 
 def encoder(path: str) -> WordEncoder:
     """This worker's encoder for a tokenizer file."""
+    claim("tokens")
     if path not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[path] = WordEncoder(path)

@@ -19,7 +19,7 @@ named like an added one, which is replaced.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from railtrace.llm.common import map_batches, q
 from railtrace.llm.labelled import fit_on, sample_labels
 from railtrace.llm.textfeatures import BITS, Adam, Design, WordScores
+from railtrace.llm.workers import claim
 
 TOXIC = 1500  # labelled rows to learn from, at most
 OTHER = 6500
@@ -49,13 +50,14 @@ def words_of(text: str) -> set[str]:
     return set(text.lower().split())
 
 
-def fit(texts: list[str], labels: list[int]) -> Model:
+def fit(texts: Iterable[str], labels: list[int]) -> Model:
+    """The model of labelled texts; the labels may be filled while the texts are read, which is once."""
+    design = Design(words_of(t) for t in texts)
     y = np.array(labels, dtype=np.float64)
     rate = (y.sum() + 0.5) / (len(y) + 1)
     bias = math.log(rate / (1 - rate))
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(1 << BITS, dtype=np.float32), bias)
-    design = Design(words_of(t) for t in texts)
     toxic, other = 1 + design.gradient(y, scaled=False), 1 + design.gradient(1 - y, scaled=False)
     ratio = np.log((toxic / toxic.sum()) / (other / other.sum()))
     share = np.where(y == 1, TOXIC_WEIGHT, 1.0)
@@ -80,6 +82,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** BITS weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         words, bias = WordScores(sent.value.weights), sent.value.bias
         for batch in batches:
             scores = _sigmoid(np.array(words.sums(batch.column(at).to_pylist(), words_of), dtype=np.float64) + bias)

@@ -55,6 +55,36 @@ def test_odd_documents_through_the_filters(spark, odd_docs, no_docs):
     assert stages["packing"](spark, no_docs, SF).count() == 0
 
 
+CLASHES = ["kept_id_", "score_", "predicted_", "n_lines_", "n_dropped_", "n_words_", "spans_", "items_", "component_id", "extra 5", "a.b"]
+
+
+def test_extra_columns_keep_their_values_through_all_stages(spark, odd_docs):
+    """Whatever the names of extra columns, the rows are those of a table without them, and the values stay."""
+    plain = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    packed = plain.toDF(*plain.columns).selectExpr("*", *[f"concat(coalesce(doc_id, -1), ' {c}') AS c{i}" for i, c in enumerate(CLASHES)])
+    packed = packed.toDF(*plain.columns, *CLASHES)
+    for name, stage in corpus_pipeline.STAGES:
+        a, b = (corpus_pipeline.written(stage(spark, d, SF), name) for d in (plain, packed))
+        n = len(a.columns)
+        if name == "packing":
+            drop = lambda rows: sorted(repr((r.doc_id, r.start, r.doc_tokens)) for r in rows if r.start == 0)
+            assert drop(a.collect()) == drop(b.collect()) and a.columns == b.columns
+        else:
+            rows = b.collect()
+            assert b.columns == packed.columns
+            assert sorted(repr(tuple(r)[:n]) for r in rows) == sorted(repr(tuple(r)) for r in a.collect())
+            assert all(tuple(r)[n:] == tuple(f"{-1 if r[0] is None else r[0]} {c}" for c in CLASHES) for r in rows)
+        plain, packed = a, b
+
+
+def test_odd_documents_are_packed_whole(spark, odd_docs):
+    """Null, empty and very long texts, repeated rows and null ids: every id of every row lies in one piece."""
+    out = corpus_pipeline.pack(spark, odd_docs, SF).collect()
+    docs = odd_docs.collect()
+    assert sum(r.length for r in out) == sum(r.doc_tokens for r in out if r.start == 0)
+    assert sum(r.start == 0 for r in out) == len(docs) and all(r.length <= 4096 for r in out)
+
+
 def line_dedup_of(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id int, text string, source string").repartition(3)
     return {r.doc_id: r.text for r in corpus_pipeline.drop_boilerplate_lines(spark, docs, SF).collect()}
