@@ -16,12 +16,16 @@ last return the columns of ``documents``; a stage sees what its predecessor kept
 
 Defined cases: null ids, texts, languages and sources pass every filter that
 has no reason against them; rows with a null id are never near copies; repeated
-rows of one id and text become one in stage 3; extra columns pass
-through to stage 5; ``n_chars`` follows the text where the column exists.
+rows of one id and text become one in stage 3; of texts that tie as near copies the one of the
+smallest id stays; texts of any length are read whole; an empty table gives an empty one at every stage;
+extra columns pass through to stage 5 as they came, whatever their names, also those that an
+operator gives to a column of its own; ``n_chars`` follows the text where the column exists.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,19 +35,34 @@ from railtrace.llm.common import q, table, written
 LEAST_PAGES = 3  # distinct pages of a host that hold a boilerplate line
 LONG_RATIO = 0.002  # of a host's pages; a long line on more stays on one page alone
 HAS_WORD = r"[^\x20\x09-\x0D]"
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def apart(stage):
+    """A stage that sees extra columns under names that clash with none of the operators'."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        renamed = docs.toDF(*[c if c in COLUMNS else f"extra {i}" for i, c in enumerate(docs.columns)])
+        return stage(spark, renamed, sf_dir).toDF(*docs.columns)
+
+    return run_stage
 
 
+@apart
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # the labels are of the documents as they came, and so is what the model learns from
     model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where("predicted_ = 0").select(*_names(docs))
 
 
+@apart
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.drop_boilerplate(docs, min_pages=1, least=LEAST_PAGES, copies_once=True, long_ratio=LONG_RATIO)
     return _with_texts(cleaned.where(_not_emptied("n_dropped_ > 0")), docs)
 
 
+@apart
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = ngram_join.similar_documents(docs.select("doc_id", "text"))
     kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id_")).distinct()
@@ -51,12 +70,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return named.dropDuplicates(["doc_id", "text"]).select(*_names(docs)).unionByName(docs.where("doc_id IS NULL"))
 
 
+@apart
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cleaned = fm_index.find_contamination(docs, table(spark, sf_dir, "benchmark"), clean=True)
     return _with_texts(cleaned.where(_not_emptied("size(spans_) > 0")), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.toDF(*[c if c in COLUMNS else f"extra {i}" for i, c in enumerate(docs.columns)])
     return packing.pack_documents(docs, queries.word_tokenizer(), queries.END_ID)
 
 
