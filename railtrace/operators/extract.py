@@ -169,6 +169,56 @@ def feed_routes(tables: GtfsTables, kind: str, station_map=None) -> DataFrame:
     )
 
 
+def with_drop_rule(tables: GtfsTables, kind: str) -> DataFrame:
+    """Route patterns with ``rule``, the first filter that drops them (FLT1: a station without
+    a usable name; FLT2: no distance; null: neither).  ``feed_routes`` keeps the rows without one."""
+    scope = list(tables.scope)
+    patterns = trip_stop_ids(tables, kind).drop("trip_id").distinct()
+    routes = tables.routes.select(*scope, "route_id", "route_short_name")
+    df = patterns.join(routes, [*scope, "route_id"], "left")
+    df = df.join(stop_role(tables, "origin"), [*scope, "first_stop_id"], "left")
+    df = df.join(stop_role(tables, "destination"), [*scope, "last_stop_id"], "left")
+    df = df.withColumn("route_name", route_name("route_short_name", "origin_name", "destination_name"))
+    df = df.withColumn("distance_km", haversine_km("origin_lat", "origin_lon", "dest_lat", "dest_lon"))
+    return df.withColumn("rule", F.expr(
+        "CASE WHEN origin IS NULL OR destination IS NULL THEN 'FLT1' WHEN distance_km IS NULL THEN 'FLT2' END"
+    ))
+
+
+def feed_ledger(tables: GtfsTables, kind: str, station_map=None) -> DataFrame:
+    """AGG7 per feed: patterns, what FLT1, FLT2, DED1 and DED2 drop of them, and what is kept.
+
+    One aggregate over (feed, rule, undirected pair) counts the filters' and DED1's drops and gives each
+    pair's representative, which DED2 then chooses among; counts are partial before the shuffle, so a
+    hot pair is one row per task.  The numbers of a feed add up: patterns = dropped + kept.
+    """
+    station_map = default_station_map(kind) if station_map is None else station_map
+    country = country_rule(kind)
+    order = ", ".join(FEED_PAIR_ORDER)
+    pair = "CASE WHEN rule IS NULL THEN {}(origin, destination) END"
+    groups = with_drop_rule(tables, kind).groupBy(
+        "feed_id", "feed_ord", "feed_country", "rule", F.expr(pair.format("least")).alias("lo"), F.expr(pair.format("greatest")).alias("hi")
+    ).agg(F.count("*").alias("n"), F.min(F.expr(f"struct({order})")).alias("first"))
+    groups = groups.select("*", "first.*")
+    winners = groups.where("rule IS NULL").select(
+        "feed_id", "feed_ord", "route_name", "origin", "destination", "distance_km",
+        route_label(simplify_station("origin"), simplify_station("destination")).alias("route_name_simple"),
+        country("origin", "feed_country", station_map).alias("origin_country"),
+        country("destination", "feed_country", station_map).alias("destination_country"),
+    )
+    kept = dedupe_directed(winners, ["origin", "destination", "route_name"], ACROSS_FEEDS_ORDER).selectExpr("feed_id", "0L AS patterns", "0L AS flt1", "0L AS flt2", "0L AS ded1", "1L AS kept")
+    counted = groups.selectExpr(
+        "feed_id", "n AS patterns", "CASE WHEN rule = 'FLT1' THEN n ELSE 0L END AS flt1", "CASE WHEN rule = 'FLT2' THEN n ELSE 0L END AS flt2",
+        "CASE WHEN rule IS NULL THEN n - 1 ELSE 0L END AS ded1", "0L AS kept",
+    )
+    names = ["patterns", "flt1", "flt2", "ded1", "kept"]
+    sums = counted.unionByName(kept).groupBy("feed_id").agg(*[F.sum(c).alias(c) for c in names])
+    feeds = tables.feeds.where(F.col("kind") == kind).select("feed_id", "kind")
+    return feeds.join(sums, "feed_id", "left").select(
+        "feed_id", "kind", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in names],
+    ).withColumn("ded2", F.expr("patterns - flt1 - flt2 - ded1 - kept"))
+
+
 # Total order for DED2: first feed in registry order wins.
 ACROSS_FEEDS_ORDER = ["feed_ord", "feed_id", "distance_km", "route_name_simple", "origin_country", "destination_country"]
 

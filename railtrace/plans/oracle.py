@@ -147,6 +147,20 @@ CTES: list[tuple[str, str]] = [
 ]
 
 
+# Lines of the feeds' files (plans/feed_views.py), counted from the tables.
+_LACKING = "('night/3-MEDIUM', 'day/4-NOT SPECIFIED', 'day/5-LOW')"
+CTES.append(("feed_lines", """
+    SELECT feed_id, 'stops' AS tab, 'accepted' AS reason, (SELECT count(*) FROM part) AS records FROM feeds
+    UNION ALL SELECT feed_id, 'routes', 'accepted', (SELECT count(*) FROM customer) FROM feeds
+    UNION ALL SELECT feed_id, 'trips', 'accepted', count(*) FROM trips GROUP BY feed_id
+    UNION ALL SELECT feed_id, 'stop_times', reason, sum(n)::BIGINT FROM (
+        SELECT t.feed_id, unnest([
+            {'reason': 'accepted', 'n': 1}, {'reason': 'too many fields', 'n': CASE WHEN s.stop_id::BIGINT % 97 = 0 THEN 1 ELSE 0 END},
+            {'reason': 'too few fields', 'n': CASE WHEN s.stop_id::BIGINT % 89 = 0 THEN 1 ELSE 0 END},
+            {'reason': 'open quote', 'n': CASE WHEN s.stop_id::BIGINT % 83 = 0 THEN 2 ELSE 0 END}], recursive := true)
+        FROM stop_times s JOIN trips t USING (trip_id)) GROUP BY feed_id, reason"""))
+
+
 def _extract_ctes(kind: str, feeds: str = "feeds", suffix: str = "") -> list[tuple[str, str]]:
     k = kind + suffix
     night = kind == "night"
@@ -183,6 +197,10 @@ def _extract_ctes(kind: str, feeds: str = "feeds", suffix: str = "") -> list[tup
             {country('origin', 'feed_country', night)} AS origin_country,
             {country('destination', 'feed_country', night)} AS destination_country,
             distance_km FROM ded1_{k}"""),
+        (f"win_{k}", first_by(
+            f"fr_{k}", "origin, destination, route_name",
+            "feed_ord NULLS FIRST, feed_id NULLS FIRST, distance_km NULLS FIRST, route_name_simple NULLS FIRST, "
+            "origin_country NULLS FIRST, destination_country NULLS FIRST")),
         (f"ext_{k}", f"""SELECT route_name, origin, destination, service_type, route_name_simple, origin_country,
             destination_country, distance_km FROM ({first_by(
                 f"fr_{k}", "origin, destination, route_name",
@@ -292,6 +310,29 @@ FINAL = {
     "dedupe_pairs_feed": "SELECT * FROM fr_night",
     "extract_night": "SELECT * FROM ext_night",
     "extract_day": "SELECT * FROM ext_day",
+    "extract_night_files": "SELECT * FROM ext_night",
+    "extract_day_files": "SELECT * FROM ext_day",
+    "feed_quarantine": "SELECT feed_id, tab, reason, records FROM feed_lines WHERE records > 0",
+    "feed_inventory": f"""SELECT kind, feed_id, CASE GROUPING(kind, feed_id) WHEN 0 THEN 'feed' WHEN 1 THEN 'kind' ELSE 'all' END AS level,
+        count(*) AS feeds, count(*) FILTER (reason IS NULL) AS valid, count(*) FILTER (reason IS NOT NULL) AS invalid,
+        CAST(sum(tables) AS BIGINT) AS tables, count(*) FILTER (reason LIKE 'missing files%') AS with_missing,
+        CAST(sum(records) AS BIGINT) AS records, CASE WHEN GROUPING(kind, feed_id) = 0 THEN max(reason) END AS reason
+        FROM (SELECT f.kind, f.feed_id, f.feed_id IN {_LACKING} AS lacking, CASE WHEN lacking THEN 3 ELSE 4 END AS tables,
+                     sum(records) FILTER (tab <> 'stop_times' OR f.feed_id NOT IN {_LACKING}) AS records,
+                     CASE WHEN lacking AND f.kind = 'night' THEN 'missing files: stop_times.txt'
+                          WHEN lacking AND f.ord % 2 = 0 THEN 'neither stop_times nor endpoint columns' END AS reason
+              FROM feeds f JOIN feed_lines USING (feed_id) GROUP BY f.kind, f.feed_id, f.ord)
+        GROUP BY GROUPING SETS ((kind, feed_id), (kind), ())""",
+    "feed_ledger": """SELECT f.feed_id, f.kind, coalesce(p, 0) AS patterns, coalesce(p, 0) - coalesce(a, 0) AS flt1, coalesce(a, 0) - coalesce(d, 0) AS flt2,
+        coalesce(d, 0) - coalesce(r, 0) AS ded1, coalesce(r, 0) - coalesce(k, 0) AS ded2, coalesce(k, 0) AS kept
+        FROM feeds f
+        LEFT JOIN (SELECT feed_id, count(*) AS p FROM (
+            SELECT DISTINCT feed_id, route_id, first_stop_id, last_stop_id FROM tsi_night
+            UNION ALL SELECT DISTINCT feed_id, route_id, first_stop_id, last_stop_id FROM tsi_day) GROUP BY feed_id) USING (feed_id)
+        LEFT JOIN (SELECT feed_id, count(*) AS a FROM (SELECT feed_id FROM att_night UNION ALL SELECT feed_id FROM att_day) GROUP BY feed_id) USING (feed_id)
+        LEFT JOIN (SELECT feed_id, count(*) AS d FROM (SELECT feed_id FROM dist_night UNION ALL SELECT feed_id FROM dist_day) GROUP BY feed_id) USING (feed_id)
+        LEFT JOIN (SELECT feed_id, count(*) AS r FROM (SELECT feed_id FROM fr_night UNION ALL SELECT feed_id FROM fr_day) GROUP BY feed_id) USING (feed_id)
+        LEFT JOIN (SELECT feed_id, count(*) AS k FROM (SELECT feed_id FROM win_night UNION ALL SELECT feed_id FROM win_day) GROUP BY feed_id) USING (feed_id)""",
     "unresolved_day": """SELECT origin, destination, origin_country, destination_country FROM ext_day
         WHERE origin_country IS NULL OR destination_country IS NULL""",
     "clean_night": "SELECT * FROM cl_night",

@@ -21,7 +21,10 @@ from railtrace.operators import emissions as E
 from railtrace.operators import extract as X
 from railtrace.operators import impact as I
 from railtrace.plans import driver_views as V
+from railtrace.plans import feed_views as FV
+from railtrace.schemas import GTFS_COLUMNS
 from railtrace.sinks.manifest import dataset_audit
+from railtrace.sources import feed_files as FF
 
 # Fixed test parameters.
 CALCULATION_DATE = dt.date(2019, 12, 31)
@@ -167,6 +170,49 @@ def endpoint_fallback_scoped(spark, sf):
     )
 
 
+# the same views as feeds in files: listed, judged and read by tasks
+
+def _from_files(spark, sf, lacking=False):
+    return FF.read_feed_files(spark, *FV.write_feeds(spark, sf, lacking=lacking))
+
+
+def extract_night_files(spark, sf):
+    return _extract(_from_files(spark, sf).tables, "night")
+
+
+def extract_day_files(spark, sf):
+    return _extract(_from_files(spark, sf).tables, "day")
+
+
+def feed_quarantine(spark, sf):
+    """Lines of each feed's tables: accepted, and rejected by reason."""
+    files = _from_files(spark, sf)
+    good = None
+    for t in GTFS_COLUMNS:
+        rows = getattr(files.tables, t).groupBy("feed_id").count().withColumn("tab", F.lit(t)).withColumn("reason", F.lit("accepted"))
+        good = rows if good is None else good.unionByName(rows)
+    bad = files.rejects.groupBy("feed_id", "tab", "reason").count()
+    return good.unionByName(bad).select("feed_id", "tab", "reason", F.col("count").alias("records"))
+
+
+def feed_inventory(spark, sf):
+    """SRC6, SRC7, OPS15 over files: which feeds are usable, their records, and totals."""
+    files = _from_files(spark, sf, lacking=True)
+    counts = None
+    for t in GTFS_COLUMNS:
+        rows = getattr(files.tables, t).select("feed_id")
+        counts = rows if counts is None else counts.unionByName(rows)
+    counts = counts.unionByName(files.rejects.select("feed_id")).groupBy("feed_id").agg(F.count("*").alias("records"))
+    per_feed = files.inventory.join(counts, "feed_id", "left").fillna(0, ["records"])
+    return FF.inventory_totals(per_feed)
+
+
+def feed_ledger(spark, sf):
+    """AGG7 per feed: what every rule of the extraction leaves of a feed's route patterns."""
+    t = V.gtfs_scoped(spark, sf)
+    return X.feed_ledger(t, "night", V.DRIVER_STATION_MAP).unionByName(X.feed_ledger(t, "day", V.DRIVER_STATION_MAP))
+
+
 def unresolved_day(spark, sf):
     return X.unresolved_countries(extract_day(spark, sf))
 
@@ -268,6 +314,7 @@ QUERIES: dict[str, Query] = {
         "country_night", "country_day", "country_join_night", "country_join_day", "dedupe_pairs_feed",
         "extract_night", "extract_day", "unresolved_day",
         "extract_night_scoped", "extract_day_scoped", "endpoint_fallback_scoped",
+        "extract_night_files", "extract_day_files", "feed_quarantine", "feed_inventory", "feed_ledger",
         "clean_night", "clean_day", "combined_routes", "quality_report",
         "routes_by_country", "routes_by_type", "routes_by_country_type",
         "emission_reference", "emission_summary", "flight_sample", "flight_top5",
