@@ -137,7 +137,7 @@ def test_ledger_adds_up_and_ends_where_the_extraction_does(spark, tmp_path):
         assert sum(r.kept for r in rows.values()) == X.extract_routes(tables, kind).count()
         assert set(rows) == {f for f, _, k, _ in REGISTRY if k == kind}
     night = {r.feed_id: r for r in X.feed_ledger(tables, "night").collect()}
-    assert night["A"].flt1 == 1 and night["A"].flt2 == 1  # a blank name, a latitude that is no number
+    assert night["A"].flt1 == 2 and night["A"].flt2 == 1  # a blank name, an unknown stop; a latitude that is no number
     assert night["E"].patterns == 0 and X.with_drop_rule(tables, "night").where("rule IS NULL").count() >= 1
 
 
