@@ -10,7 +10,8 @@ Spans are code-point offsets ``[start, end)``.  Spark has no function for match
 positions, so they come from two arrays of one pattern: the gaps that
 ``split`` leaves and the matches that ``regexp_extract_all`` returns; running
 sums of their lengths give the starts.  Leftmost, non-overlapping matching is
-the same in both.
+the same in both.  The sums go block by block of ``BLOCK`` matches, and each array of a
+text is made once, so a text of many matches takes time in proportion to them.
 
 A rule may name a group whose length must reach ``min_length``; matches below
 it are dropped after matching (they still consume their text).
@@ -60,6 +61,7 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 BASE_KINDS = tuple(r.kind for r in BASE_RULES)
 
+BLOCK = 256  # matches of a text that are walked at a time
 LEDGER_SCHEMA = "blob string, kind string, version int, spans array<struct<start:int,end:int>>"
 
 
@@ -126,23 +128,29 @@ def new_ledger(spark: SparkSession) -> str:
 def _spans(r: Rule) -> str:
     """SQL for the spans of a rule in column t."""
     pattern = "r'" + r.pattern.replace("'", "\\x27") + "'"
+    none = "CAST(array() AS array<struct<start:int,end:int>>)"
     found = f"regexp_extract_all(t, {pattern}, 0)"
-    # starts: a running sum over gap and match lengths, walking the matches once
+    part = f"regexp_extract_all(t, {pattern}, {r.group})" if r.group else "v.found"
+    blocks = f"sequence(0, (size(z) - 1) DIV {BLOCK})"
+    block = f"slice(z, b * {BLOCK} + 1, {BLOCK})"
+    lengths = f"transform({blocks}, b -> aggregate({block}, 0, (a, x) -> a + x.gap + x.len))"
+    begins = (
+        f"aggregate({lengths}, named_struct('at', 0, 'out', CAST(array() AS array<int>)), "
+        "(a, n) -> named_struct('at', a.at + n, 'out', array_append(a.out, a.at)), a -> a.out)"
+    )
     walk = (
-        f"aggregate(zip_with(slice(split(t, {pattern}, -1), 1, size({found})), "
-        f"{_zipped(r, pattern, found)}, (g, m) -> struct(char_length(g) AS gap, char_length(m.whole) AS len, m.part AS part)), "
-        "named_struct('at', 0, 'out', CAST(array() AS array<struct<start:int,end:int>>)), "
+        f"aggregate({block}, named_struct('at', begin, 'out', {none}), "
         "(a, x) -> named_struct('at', a.at + x.gap + x.len, 'out', "
         f"IF(x.part >= {r.min_length}, array_append(a.out, named_struct('start', a.at + x.gap, 'end', a.at + x.gap + x.len)), a.out)), "
         "a -> a.out)"
     )
-    hint = f"{r.hint} AND " if r.hint else ""
-    return (
-        f"CASE WHEN {hint}t RLIKE {pattern} THEN {walk} "
-        "ELSE CAST(array() AS array<struct<start:int,end:int>>) END"
+    spans = f"flatten(zip_with({begins}, {blocks}, (begin, b) -> {walk}))"
+    # v and z are bound by transform over one element, so that lambdas do not make them again
+    z = (
+        "zip_with(slice(v.gaps, 1, size(v.found)), zip_with(v.found, v.parts, (w, p) -> struct(char_length(w) AS len, char_length(p) AS part)), "
+        "(g, m) -> struct(char_length(g) AS gap, m.len AS len, m.part AS part))"
     )
-
-
-def _zipped(r: Rule, pattern: str, found: str) -> str:
-    part = f"regexp_extract_all(t, {pattern}, {r.group})" if r.group else found
-    return f"zip_with({found}, {part}, (w, p) -> struct(w AS whole, char_length(p) AS part))"
+    bound = f"transform(array(named_struct('found', {found}, 'gaps', split(t, {pattern}, -1))), v -> named_struct('found', v.found, 'gaps', v.gaps, 'parts', {part}))"
+    every = f"element_at(transform({bound}, v -> element_at(transform(array({z}), z -> {spans}), 1)), 1)"
+    hint = f"{r.hint} AND " if r.hint else ""
+    return f"CASE WHEN {hint}t RLIKE {pattern} THEN {every} ELSE {none} END"
