@@ -1,8 +1,8 @@
 """URL filter by host-suffix and path-prefix expressions (operator 7), native.
 
 Every URL is expanded into ``suffix`` + ``path prefix`` expressions: each
-suffix of the host's labels with each prefix of the path whose length some rule
-has.  Expressions and rules meet in an equi-join on the first 32 bits of their
+suffix of the host whose number of labels some rule has, with each prefix of the path whose
+length some rule has.  Expressions and rules meet in an equi-join on the first 32 bits of their
 SHA-256; the full digest confirms a match and the longest rule wins (the
 longer expression, then the longer host; ``block`` before ``allow`` for one
 expression with both).
@@ -33,7 +33,7 @@ RULES = [
     ("org", "/fr/", "allow"),
 ]
 DEFAULT_VERDICT = "allow"
-_ADDED = ("host_", "path_", "rule_", "verdict_", "lengths_", "prefixes_", "b_host", "b_prefixes", "found_")
+_ADDED = ("host_", "path_", "rule_", "verdict_", "lengths_", "labels_", "prefixes_", "b_host", "b_prefixes", "found_")
 PREFIX_HEX = 8  # hex digits of the digest that the join key has
 
 _ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -59,16 +59,18 @@ def judge_urls(
     )
     # the path lengths that rules have: at most one entry for each length of a path
     lengths = rules.agg(F.array_sort(F.collect_set(F.length("path"))).alias("l")).scalar()
+    labels = rules.agg(F.array_sort(F.collect_set(F.size(F.split("host", "[.]", -1)))).alias("l")).scalar()
     keyed = keyed.withColumn("lengths_", lengths).withColumn("prefixes_", F.expr(
         "transform(filter(coalesce(lengths_, array()), n -> n <= length(path_)), n -> substring(path_, 1, n))"
     )).drop("lengths_")
     places = keyed.select("host_", "prefixes_").distinct()
-    expressions = places.select(
-        "host_", "prefixes_",
-        F.explode(F.expr(
-            "transform(sequence(1, size(split(host_, '[.]', -1))), "
-            "i -> array_join(slice(split(host_, '[.]', -1), i, 65536), '.'))"
-        )).alias("suffix"),
+    # the host is split once: the array of its labels is bound by transform over one element
+    suffixes = (
+        "element_at(transform(array(split(host_, '[.]', -1)), l -> "
+        "transform(filter(coalesce(labels_, array()), n -> n <= size(l)), n -> array_join(slice(l, size(l) - n + 1, n), '.'))), 1)"
+    )
+    expressions = places.withColumn("labels_", labels).select(
+        "host_", "prefixes_", F.explode(F.expr(suffixes)).alias("suffix"),
     ).select("host_", "prefixes_", "suffix", F.explode("prefixes_").alias("prefix"))
     expressions = _digested(expressions.withColumn("expression", F.concat("suffix", "prefix"))).alias("e")
     keyed_rules = _digested(rules.select(
