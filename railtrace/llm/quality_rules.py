@@ -3,14 +3,15 @@
 Rules on one text (counts of words, symbols, repeated lines and windows) run
 first.  Then lines are normalised (A-Z lowered, white space collapsed) and
 hashed; for each host the documents that contain a line are counted; lines in
-more than ``max_docs`` documents of the host are removed; a document that
+``least`` documents of the host or more, and in over ``per_mille`` of a thousand of its
+documents, are removed, whatever the host's size; a document that
 loses more than ``max_removed`` of its words is depleted and rejected.
 
 One pass over the texts writes the counts and each document's distinct line
 hashes to the shared folder; all later steps read those.  Counts per
 (host, line) are summed within tasks before the shuffle; lines above the limit
 are joined back on (host, line), and only their words are summed per document.
-Rows bound ids from above, so ids are counted only for lines above the limit by rows.
+Rows bound ids from above, so a line's ids are counted only if its rows are above the limit.
 
 Defined cases: a null or empty text has no words and fails the base rules;
 lines without a word are not counted; a null host is a host; a document is a row (repeated rows count
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 
 from railtrace.llm.common import q, written
 
-MAX_DOCS = 100  # documents of one host that may share a line
+PER_MILLE = 5  # of a host's documents that may share a line, whatever their number
+LEAST_DOCS = 4  # documents that share a line before it is removed
 MAX_REMOVED = 0.5  # share of a document's words that removed lines may have
 MIN_WORDS = 50  # fewer fail
 MAX_REPEATED = 50  # percent of words in repeated windows; more fail
@@ -122,20 +124,23 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def apply_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-    max_docs: int = MAX_DOCS, max_removed: float = MAX_REMOVED, ids_once: bool = False,
+    per_mille: int = PER_MILLE, least: int = LEAST_DOCS, max_removed: float = MAX_REMOVED, ids_once: bool = False,
 ) -> DataFrame:
     """Counts and verdicts: the id, counts, ``n_removed_words``, ``base_failed`` and ``kept``."""
     counted = written(text_counts(docs, id_col, text_col, host_col), "line-counts")
-    hot = (
-        counted.select("host", F.explode("line_keys").alias("key"))
-        .groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") > max_docs)
-    )
+    n_ids = (F.countDistinct("id") + F.count_if(F.col("id").isNull())) if ids_once else F.count("*")
+    totals = counted.groupBy(F.col("host").alias("of_host")).agg(n_ids.alias("n_host"))
+
+    def limited(counts: DataFrame) -> DataFrame:
+        common = counts.where(F.col("n") >= least).join(totals, F.col("host").eqNullSafe(F.col("of_host")))
+        return common.where(1000 * F.col("n") > per_mille * F.col("n_host")).select("host", "key")
+
+    hot = limited(counted.select("host", F.explode("line_keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")))
     lines = counted.select(
         "id", "host", "text_key", F.explode(F.arrays_zip("line_keys", "line_words")).alias("line")
     ).select("id", "host", "text_key", F.col("line.line_keys").alias("key"), F.col("line.line_words").alias("words"))
     if ids_once:
-        n_ids = F.countDistinct("id") + F.sum(F.col("id").isNull().cast("long"))
-        hot = _of_lines(lines, hot).groupBy("host", "key").agg(n_ids.alias("n")).where(F.col("n") > max_docs)
+        hot = limited(_of_lines(lines, hot).groupBy("host", "key").agg(n_ids.alias("n")))
     removed = (
         _of_lines(lines, hot)
         .select("id", "host", "text_key", "key", "words").distinct()  # repeated rows remove the same
