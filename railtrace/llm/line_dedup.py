@@ -2,17 +2,18 @@
 
 For each host the share of its pages that contain a line is the number of
 pages with the line over the number of pages of the host.  Lines above
-``max_ratio`` are boilerplate of that host and are dropped from its pages.
+``max_ratio`` and on ``least`` pages or more are boilerplate of that host and are dropped
+from its pages.  The rule is the same for hosts of every size.
 
 Plan: each page gives its distinct line keys (64-bit hashes); counts per
 (host, line) are pre-aggregated before the shuffle; only lines above the ratio
-go on.  Their number is bounded per host by average lines a page over
+go on.  Rows bound pages from above, so a line's ids are counted only if its rows are above it.  Their number is bounded per host by average lines a page over
 ``max_ratio``, whatever the host's size.  The pages that hold one are found by
 an equi-join on (host, line), whose hot keys AQE splits, and gathered per page.
 
 With ``copies_once`` pages of one host with the same set of lines count as one
-page, above and below the line, and ``least`` is the number of such pages that
-must hold a line: a group of copies then never makes its own text boilerplate.
+page, above and below the line, for ``least`` too: a group of copies then never makes its own
+text boilerplate.
 With ``long_ratio`` a line of ``LONG_WORDS`` words or more is a repeated passage
 where it is on more than that share of the pages of a host, and on ``least`` with
 other lines; it stays on the page of the smallest id and is dropped from the others.
@@ -20,8 +21,8 @@ other lines; it stays on the page of the smallest id and is dropped from the oth
 Defined cases: a line is compared without surrounding blanks, tabs and carriage
 returns; blank lines are neither counted nor dropped; a null text stays null
 with 0 lines; an empty text is one blank line; pages with a null host form one
-host; rows of one id are pages of their own when counted and share their drops; a host
-of fewer than ``min_pages`` pages keeps all lines; an empty table gives an empty
+host; rows of one id are one page when counted, rows without an id one each, and
+rows of one id and host share their drops; an empty table gives an empty
 result; other columns pass through unread, but for
 those named like an added one, which is replaced.
 """
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from railtrace.llm.common import q
 
 MAX_RATIO = 0.05
-MIN_PAGES = 20
+LEAST_PAGES = 3  # that hold a boilerplate line
 LONG_WORDS = 50  # words of a line that is a passage
 
 _KEY = "btrim(l, ' \\t\\r')"
@@ -43,27 +44,30 @@ _LONG = f"length(l) >= {2 * LONG_WORDS - 1} AND size(split(l, '[ \\t]+')) >= {LO
 
 
 def boilerplate_lines(
-    pages: DataFrame, text_col: str = "text", host_col: str = "source",
-    max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, least: int = 1, copies_once: bool = False,
+    pages: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+    max_ratio: float = MAX_RATIO, least: int = LEAST_PAGES, copies_once: bool = False,
 ) -> DataFrame:
     """(host, line_key, n_pages, host_pages) of the lines above the ratio."""
     host, keys = F.col(q(host_col)).alias("host"), _line_keys(text_col)
     if copies_once:
         pages = pages.select(host, F.array_sort(keys).alias("keys")).distinct()
         # coalesce: Spark would else filter on the size of the keys, and make them again for it
-        host, keys = F.col("host"), F.coalesce("keys", F.array().cast("array<bigint>"))
+        host, keys, n_pages = F.col("host"), F.coalesce("keys", F.array().cast("array<bigint>")), F.count("*")
+    else:
+        n_pages = F.countDistinct(q(id_col)) + F.count_if(F.col(q(id_col)).isNull())
+    totals = pages.groupBy(host.alias("host_")).agg(n_pages.alias("host_pages"))
+
+    def above(counts: DataFrame) -> DataFrame:
+        common = counts.where(F.col("n_pages") >= least).join(totals, F.col("host").eqNullSafe(F.col("host_")))
+        return common.where(F.col("n_pages") > max_ratio * F.col("host_pages")).select("host", "line_key", "n_pages", "host_pages")
+
     lines = pages.select(host, F.explode(keys).alias("line_key"))
-    # a line above the ratio is on more than max_ratio * min_pages pages: the rest need no host total
-    counts = lines.groupBy("host", "line_key").agg(F.count("*").alias("n_pages")).where(
-        (F.col("n_pages") > max_ratio * min_pages) & (F.col("n_pages") >= least)
-    )
-    totals = (
-        pages.groupBy(host.alias("host_")).agg(F.count("*").alias("host_pages"))
-        .where(F.col("host_pages") >= min_pages)
-    )
-    return counts.join(totals, F.col("host").eqNullSafe(F.col("host_"))).where(
-        F.col("n_pages") > max_ratio * F.col("host_pages")
-    ).select("host", "line_key", "n_pages", "host_pages")
+    by_rows = above(lines.groupBy("host", "line_key").agg(F.count("*").alias("n_pages")))
+    if copies_once:
+        return by_rows
+    held = pages.select(F.col(q(id_col)), F.col(q(host_col)).alias("of_host"), F.explode(_line_keys(text_col)).alias("of_key"))
+    on_lines = held.join(by_rows, (F.col("of_key") == F.col("line_key")) & F.col("of_host").eqNullSafe(F.col("host")))
+    return above(on_lines.groupBy("host", "line_key").agg(n_pages.alias("n_pages")))
 
 
 def repeated_passages(
@@ -85,11 +89,11 @@ def repeated_passages(
 
 def drop_boilerplate(
     pages: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-    max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, least: int = 1, copies_once: bool = False,
+    max_ratio: float = MAX_RATIO, least: int = LEAST_PAGES, copies_once: bool = False,
     long_ratio: float | None = None,
 ) -> DataFrame:
     """The pages with boilerplate lines cut out of the text, plus ``n_lines_`` and ``n_dropped_``."""
-    hot = boilerplate_lines(pages, text_col, host_col, max_ratio, min_pages, least, copies_once).select(
+    hot = boilerplate_lines(pages, id_col, text_col, host_col, max_ratio, least, copies_once).select(
         F.col("host").alias("hot_host"), F.col("line_key").alias("hot_key")
     )
     on_page = pages.select(

@@ -33,8 +33,8 @@ WITH d AS (SELECT doc_id, text, source, string_split(text, chr(10)) AS lines FRO
 l AS (SELECT doc_id, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
 k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
 c AS (SELECT source, key, count(DISTINCT doc_id) AS n FROM k WHERE key <> '' GROUP BY ALL),
-t AS (SELECT source, count(*) AS pages FROM documents GROUP BY ALL),
-hot AS (SELECT c.source, key FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source WHERE pages >= 20 AND n > 0.05 * pages),
+t AS (SELECT source, count(DISTINCT doc_id) + count(*) FILTER (doc_id IS NULL) AS pages FROM documents GROUP BY ALL),
+hot AS (SELECT c.source, key FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source WHERE n >= 3 AND n > 0.05 * pages),
 kept AS (
   SELECT k.doc_id, count(*) FILTER (hot.key IS NOT NULL) AS n_dropped,
          string_agg(line, chr(10) ORDER BY pos) FILTER (hot.key IS NULL) AS text
@@ -118,7 +118,11 @@ l AS (
     FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS line FROM d)) WHERE len(own) > 0
 ), dup AS (SELECT doc_id, sum(n - 1) AS n FROM (SELECT doc_id, line, count(*) AS n FROM l GROUP BY ALL) GROUP BY doc_id),
 k AS (SELECT doc_id, source, len(own) AS n, translate(joined, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
-hot AS (SELECT source, key FROM k GROUP BY ALL HAVING count(DISTINCT doc_id) > 100),
+hosts AS (SELECT source, count(DISTINCT doc_id) AS n FROM documents GROUP BY ALL),
+hot AS (
+  SELECT c.source, key FROM (SELECT source, key, count(DISTINCT doc_id) AS n FROM k GROUP BY ALL) c
+  JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source WHERE c.n >= 4 AND 1000 * c.n > 5 * h.n
+),
 gone AS (SELECT doc_id, sum(n) AS n FROM k JOIN hot ON k.source IS NOT DISTINCT FROM hot.source AND k.key = hot.key GROUP BY doc_id),
 s AS (
   SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,

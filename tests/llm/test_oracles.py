@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{os.path.join(SF, name)}.parquet'")
     return con
 
