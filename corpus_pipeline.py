@@ -58,7 +58,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @apart
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.drop_boilerplate(docs, min_pages=1, least=LEAST_PAGES, copies_once=True, long_ratio=LONG_RATIO)
+    cleaned = line_dedup.drop_boilerplate(docs, least=LEAST_PAGES, copies_once=True, long_ratio=LONG_RATIO)
     return _with_texts(cleaned.where(_not_emptied("n_dropped_ > 0")), docs)
 
 
