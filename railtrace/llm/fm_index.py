@@ -13,9 +13,10 @@ suffix is ordered by its words up to the next 0.  Suffixes that start with a 0
 need no order: no window holds it, so no interval lies among them, and
 positions after a 0 are always sampled, so a walk never enters them.
 
-The benchmark is a stated query set.  It goes to the tasks as arrays in blocks
-of at most ``BLOCK_WORDS`` words, one pass over the documents each; hits of
-several blocks are joined per document.  There is no shuffle with one block.
+The benchmark is a stated query set.  Tasks deal its items to blocks of about
+``BLOCK_WORDS`` words and write each block's vocabulary and windows to the shared folder; the
+tasks that scan read them there, each shard against every block, in one pass over the
+documents, which are not shuffled.  The driver holds the names of the blocks alone.
 
 Defined cases: a null text has no words; an item without words has no window;
 an item shorter than a window is one window; equal items each count; repeated
@@ -26,20 +27,25 @@ but for those named like an added one, which is replaced.
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railtrace.llm.common import map_batches, q
-from railtrace.llm.workers import claim
+from railtrace.llm.common import map_batches, q, shared_path
+from railtrace.llm.token_files import _filesystem
+from railtrace.llm.workers import cache, claim
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20  # words of a shard, but for a longer document
 SAMPLE = 16  # every so many positions one is sampled
-BLOCK_WORDS = 1 << 21  # words of a block of the benchmark: what is sent to a task at once
+BLOCK_WORDS = 1 << 21  # words of a block of the benchmark, about
+HELD_BLOCKS = 2  # that a worker holds at once
 
 # words are runs of 0-9, a-z and all above ASCII; A-Z are lower-cased
 _TABLE = bytes(
@@ -232,24 +238,47 @@ class Windows:
         return out
 
 
-def benchmark_blocks(
-    benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_words: int = BLOCK_WORDS
-) -> Iterator[list[tuple[str, bytes | None]]]:
-    """The benchmark's items in blocks of a bounded number of bytes, read through the driver; ``find_contamination`` holds them all."""
+def write_blocks(
+    benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS
+) -> list[str]:
+    """Files of the benchmark's blocks in the shared folder, made and written by tasks.
+
+    Items are dealt to blocks by hash, as many as their bytes ask for; the driver sees the number of
+    bytes and the files' names."""
+    spark = benchmark.sparkSession
+    folder = shared_path(spark, "benchmark")
     rows = benchmark.select(F.col(q(id_col)).cast("string").alias("i"), F.col(q(text_col)).cast("binary").alias("t"))
-    block, size = [], 0
-    for row in rows.where("i IS NOT NULL AND t IS NOT NULL").toLocalIterator():
-        text = bytes(row.t)
-        if block and size + len(text) > 8 * block_words:
-            yield block
-            block, size = [], 0
-        block.append((row.i, text))
-        size += len(text)
-    if block:
-        yield block
+    rows = rows.where("i IS NOT NULL AND t IS NOT NULL")
+    n = max(1, -(-(rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // (8 * block_words)))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        for block, items in groupby(members, key=lambda r: r[0]):
+            files, base = _filesystem(folder)
+            files.create_dir(base, recursive=True)
+            part = f"{base}/.block-{block:06d}-{TaskContext.get().taskAttemptId()}"
+            with files.open_output_stream(part) as out:
+                out.write(pickle.dumps(Windows([(i, t) for _, i, t in items], window)))
+            files.move(part, f"{base}/block-{block:06d}")  # a task that runs again replaces it
+            yield pa.RecordBatch.from_pydict({"path": pa.array([f"{folder}/block-{block:06d}"])})
+
+    dealt = rows.select(F.pmod(F.xxhash64("i", "t"), F.lit(n)).alias("b"), "i", "t").repartition(n, "b").sortWithinPartitions("b", "i")
+    return sorted(r.path for r in dealt.mapInArrow(build, "path string").collect())
+
 
+_BLOCKS: dict[str, Windows] = {}
+cache(_BLOCKS.clear)
 
-_HITS = "n_words_ long, spans_ array<struct<start:int,end:int>>, items_ array<string>"
+
+def _block(path: str) -> Windows:
+    """A block, read from the shared folder; a worker holds the last ones."""
+    if path not in _BLOCKS:
+        if len(_BLOCKS) >= HELD_BLOCKS:
+            _BLOCKS.clear()
+        files, base = _filesystem(path)
+        with files.open_input_file(base) as file:
+            _BLOCKS[path] = pickle.loads(file.read())
+    return _BLOCKS[path]
 
 
 def find_contamination(
@@ -260,23 +289,14 @@ def find_contamination(
     """The documents' columns plus ``n_words_``, ``spans_`` (merged, in word numbers) and ``items_``.
 
     With ``clean`` the text has the spans cut out, from the first word of a span to its last.
-    A benchmark of several blocks is worked off block by block, on the rows the last block gave.
+    The documents are read once; each shard is searched for every block.
     """
-    out = docs.select(*[F.col(q(c)) for c in docs.columns if c not in ("n_words_", "spans_", "items_")])
-    blocks = list(benchmark_blocks(benchmark, item_col, item_text_col, block_words)) or [[]]
-    for i, block in enumerate(blocks):
-        out = _with_block(out, Windows(block, window), text_col, first=i == 0, last=clean and i == len(blocks) - 1)
-    return out
-
-
-def _with_block(docs: DataFrame, windows: Windows, text_col: str, first: bool, last: bool) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(windows)  # at most BLOCK_WORDS words
-    names = docs.columns
-    text_at = names.index(text_col)
+    passed = docs.select(*[F.col(q(c)) for c in docs.columns if c not in ("n_words_", "spans_", "items_")])
+    paths = write_blocks(benchmark, item_col, item_text_col, window, block_words)
+    text_at = passed.columns.index(text_col)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("fm_index")
-        block = sent.value
         for batch in batches:
             start, size, shard = 0, 0, []
             texts = batch.column(text_at).cast(pa.binary())
@@ -285,28 +305,26 @@ def _with_block(docs: DataFrame, windows: Windows, text_col: str, first: bool, l
                 shard.append(words)
                 size += len(words)
                 if size >= SHARD_WORDS or i == batch.num_rows - 1:
-                    yield _result(batch.slice(start, i + 1 - start), shard, block.hits(shard), first, last, text_at)
+                    yield _result(batch.slice(start, i + 1 - start), shard, _hits(paths, shard), clean, text_at)
                     start, size, shard = i + 1, 0, []
 
-    return map_batches(docs, scan, _HITS if first else "")
-
-
-def _result(batch: pa.RecordBatch, shard, hits, first: bool, last: bool, text_at: int) -> pa.RecordBatch:
-    columns, names = batch.columns, batch.schema.names
-    if not first:
-        old_spans, old_items = columns[-2].to_pylist(), columns[-1].to_pylist()
-        hits = [
-            (_merged(spans + [(x["start"], x["end"]) for x in a]), items | set(b))
-            for (spans, items), a, b in zip(hits, old_spans, old_items)
-        ]
-        columns, names, added = columns[:-3], names[:-3], names[-3:]
-    else:
-        added = ["n_words_", "spans_", "items_"]
-    if last:
-        texts = [
-            cut_spans(t, spans) if spans else t
-            for t, (spans, _) in zip(columns[text_at].to_pylist(), hits)
-        ]
+    return map_batches(passed, scan, "n_words_ long, spans_ array<struct<start:int,end:int>>, items_ array<string>")
+
+
+def _hits(paths: list[str], shard: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set[str]]]:
+    """The shard's hits of all blocks, joined per document."""
+    out: list[tuple[list[tuple[int, int]], set[str]]] = [([], set()) for _ in shard]
+    for path in paths:
+        for d, (spans, items) in enumerate(_block(path).hits(shard)):
+            if spans:
+                out[d] = _merged(out[d][0] + spans), out[d][1] | items
+    return out
+
+
+def _result(batch: pa.RecordBatch, shard, hits, clean: bool, text_at: int) -> pa.RecordBatch:
+    columns = batch.columns
+    if clean:
+        texts = [cut_spans(t, spans) if spans else t for t, (spans, _) in zip(columns[text_at].to_pylist(), hits)]
         columns[text_at] = pa.array(texts, type=columns[text_at].type)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     extra = [
@@ -314,7 +332,7 @@ def _result(batch: pa.RecordBatch, shard, hits, first: bool, last: bool, text_at
         pa.array([[{"start": a, "end": b} for a, b in spans] for spans, _ in hits], span),
         pa.array([sorted(items) for _, items in hits], pa.list_(pa.string())),
     ]
-    return pa.RecordBatch.from_arrays([*columns, *extra], names=[*names, *added])
+    return pa.RecordBatch.from_arrays([*columns, *extra], names=[*batch.schema.names, "n_words_", "spans_", "items_"])
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -99,3 +99,18 @@ def test_shards_do_not_change_hits(monkeypatch, spark):
     assert Windows([("1", b"x")]).hits([]) == []
     assert fm_index.SHARD_WORDS > 0
     assert whole == key(find_contamination(docs.repartition(5), benchmark))
+
+
+def test_blocks_are_made_by_tasks(spark):
+    """Many blocks give the hits of one; the driver gets their names alone."""
+    from railtrace.llm import fm_index
+
+    folder = "/root/testdata/sf0.001"
+    docs, benchmark = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    paths = fm_index.write_blocks(benchmark, block_words=100)
+    assert len(paths) > 5 and all(isinstance(p, str) for p in paths)
+    items = [i for p in paths for w in fm_index._block(p).items for i in w]
+    assert set(items) == {str(r.item_id) for r in benchmark.collect()}
+    assert len(fm_index._BLOCKS) <= fm_index.HELD_BLOCKS
+    rows = lambda n: sorted((r.doc_id, tuple(map(tuple, r.spans_)), tuple(r.items_)) for r in find_contamination(docs, benchmark, block_words=n).collect())
+    assert rows(100) == rows(1 << 21) and any(r[1] for r in rows(100))
