@@ -8,6 +8,7 @@ concern: where to cut lineage.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -63,13 +64,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, object
-    store) and is taken as is.  Only when nothing is configured -- local tests
-    -- a fresh scratch folder is created.
+    store) and is taken as is.  Only where nothing is configured and the master is
+    local (tests) a fresh scratch folder is created; executors of a cluster would not
+    share it, so there the setting is required.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="railtrace-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
