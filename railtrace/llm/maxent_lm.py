@@ -43,7 +43,7 @@ from railtrace.llm.common import batch_bytes, q, written
 
 WORDS, WORD_BYTES = 1 << 18, 64  # the dictionary, at most
 LEAST_COUNT = 2  # of a word of the dictionary
-CLASSES, MEMBERS = 24, 64
+CLASSES, MEMBERS = 16, 64
 BITS = 16  # of the hashed rows of either softmax
 ROUNDS = 2
 RATE = 0.12
