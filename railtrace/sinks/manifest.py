@@ -18,17 +18,33 @@ from pyspark.sql import functions as F
 def dataset_audit(datasets: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """One row per dataset: ``dataset, rows, duplicate_keys``.
 
-    ``duplicate_keys`` counts key values held by more than one row.  One
-    aggregation per dataset (partial counts before the shuffle)."""
-    out = None
+    ``duplicate_keys`` counts key values (nulls are values) held by more than one row.
+    Hash, then confirm: one aggregate over (dataset, 64-bit hash of the key) counts the rows of
+    all datasets, so what is shuffled of a key is its hash; only rows whose hash is on more
+    than one row give their exact keys, and those are counted.  Two keys of one hash are
+    thus told apart, and a sound dataset never shuffles a key."""
+    spark = next(iter(datasets.values()))[0].sparkSession
+    keyed = None
     for name, (df, keys) in datasets.items():
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        row = per_key.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
-            F.count_if(F.col("n") > 1).alias("duplicate_keys"),
-        ).select(F.lit(name).alias("dataset"), "rows", "duplicate_keys")
-        out = row if out is None else out.unionByName(row)
-    return out
+        # length and text of each part, "-" for null: equal texts are equal keys
+        parts = [f"coalesce(concat(length(CAST(`{k}` AS STRING)), ':', CAST(`{k}` AS STRING)), '-')" for k in keys]
+        rows = df.select(F.lit(name).alias("dataset"), _hash(keys).alias("hash"), F.expr(f"concat({', '.join(parts)})").alias("key"))
+        keyed = rows if keyed is None else keyed.unionByName(rows)
+    per_hash = keyed.groupBy("dataset", "hash").agg(F.count(F.lit(1)).alias("n"))
+    rows = per_hash.groupBy("dataset").agg(F.sum("n").alias("rows"))
+    twice = per_hash.where("n > 1").select("dataset", "hash")
+    exact = keyed.join(twice, ["dataset", "hash"], "left_semi").groupBy("dataset", "key").agg(F.count(F.lit(1)).alias("n"))
+    duplicates = exact.groupBy("dataset").agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"))
+    names = spark.createDataFrame([(name,) for name in datasets], "dataset string")
+    return names.join(rows, "dataset", "left").join(duplicates, "dataset", "left").select(
+        "dataset", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
+        F.coalesce("duplicate_keys", F.lit(0)).cast("bigint").alias("duplicate_keys"),
+    )
+
+
+def _hash(keys: Sequence[str]):
+    """The hash of a key that ``dataset_audit`` counts first."""
+    return F.xxhash64(*keys)
 
 
 def output_manifest(
