@@ -231,6 +231,11 @@ def _clean_cte(kind: str) -> tuple[str, str]:
 
 CTES += _extract_ctes("night") + _extract_ctes("day") + _extract_ctes("day", "feeds_fb", "_fb")
 CTES += [_clean_cte("night"), _clean_cte("day")]
+CTES += [("ext_raw", """SELECT route_name, CASE WHEN origin LIKE 'red%' THEN NULL ELSE origin END AS origin,
+    CASE WHEN destination LIKE 'hot%' THEN '  ' ELSE destination END AS destination,
+    CASE WHEN distance_km < 100 THEN NULL ELSE service_type END AS service_type,
+    CASE WHEN origin LIKE 'old%' THEN NULL WHEN origin LIKE 'new%' THEN ' ' ELSE route_name_simple END AS route_name_simple,
+    origin_country, destination_country, distance_km FROM ext_day"""), _clean_cte("raw")]
 CTES += [
     ("combined", f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY origin, destination, route_name
         ORDER BY CASE WHEN type = 'night' THEN 0 ELSE 1 END, distance_km NULLS FIRST, route_name_simple NULLS FIRST,
@@ -348,6 +353,19 @@ FINAL = {
         count(*) FILTER (WHERE origin_country IS NULL) AS missing_origin_country,
         count(*) FILTER (WHERE destination_country IS NULL) AS missing_destination_country
         FROM cl_day""",
+    "quality_raw": """SELECT count(*) AS total,
+        count(*) FILTER (WHERE origin IS NULL) AS null_origin,
+        count(*) FILTER (WHERE destination IS NULL) AS null_destination,
+        count(*) FILTER (WHERE route_name IS NULL) AS null_route_name,
+        count(*) FILTER (WHERE service_type IS NULL) AS null_service_type,
+        count(*) FILTER (WHERE trim(origin) = '') AS blank_origin,
+        count(*) FILTER (WHERE trim(destination) = '') AS blank_destination,
+        count(*) FILTER (WHERE origin_country IS NULL) AS missing_origin_country,
+        count(*) FILTER (WHERE destination_country IS NULL) AS missing_destination_country
+        FROM ext_raw""",
+    "clean_raw": "SELECT * FROM cl_raw",
+    "preview_day": """SELECT * FROM ext_day ORDER BY route_name NULLS FIRST, origin NULLS FIRST, destination NULLS FIRST, service_type NULLS FIRST,
+        route_name_simple NULLS FIRST, origin_country NULLS FIRST, destination_country NULLS FIRST, distance_km NULLS FIRST LIMIT 10""",
     "routes_by_country": """SELECT origin_country, count(*) AS count FROM combined GROUP BY origin_country
         ORDER BY count DESC, origin_country NULLS FIRST""",
     "routes_by_type": "SELECT type, count(*) AS count FROM combined GROUP BY type",

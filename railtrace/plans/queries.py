@@ -229,6 +229,31 @@ def combined_routes(spark, sf):
     return _combined(_gtfs(spark, sf))
 
 
+# rows as they come before cleaning: null and blank names, labels without text
+RAW = [
+    "route_name", "CASE WHEN origin LIKE 'red%' THEN NULL ELSE origin END AS origin",
+    "CASE WHEN destination LIKE 'hot%' THEN '  ' ELSE destination END AS destination",
+    "CASE WHEN distance_km < 100 THEN NULL ELSE service_type END AS service_type",
+    "CASE WHEN origin LIKE 'old%' THEN NULL WHEN origin LIKE 'new%' THEN ' ' ELSE route_name_simple END AS route_name_simple",
+    "origin_country", "destination_country", "distance_km",
+]
+
+
+def quality_raw(spark, sf):
+    """AGG4, AGG5 over rows that have something to count."""
+    return C.quality_report(extract_day(spark, sf).selectExpr(*RAW))
+
+
+def clean_raw(spark, sf):
+    """PRJ8: labels that are null or blank are made from the cleaned names."""
+    return C.clean_routes(extract_day(spark, sf).selectExpr(*RAW), "raw")
+
+
+def preview_day(spark, sf):
+    """TOP4."""
+    return C.preview(extract_day(spark, sf), 10)
+
+
 def quality_report(spark, sf):
     return C.quality_report(clean_day(spark, sf))
 
@@ -316,6 +341,7 @@ QUERIES: dict[str, Query] = {
         "extract_night_scoped", "extract_day_scoped", "endpoint_fallback_scoped",
         "extract_night_files", "extract_day_files", "feed_quarantine", "feed_inventory", "feed_ledger",
         "clean_night", "clean_day", "combined_routes", "quality_report",
+        "quality_raw", "clean_raw", "preview_day",
         "routes_by_country", "routes_by_type", "routes_by_country_type",
         "emission_reference", "emission_summary", "flight_sample", "flight_top5",
         "emission_factors", "headline_saving",
