@@ -5,8 +5,9 @@
 
 ``feeds.csv`` has the columns ``feed_id,path,kind,country`` (``kind`` is
 ``night`` or ``day``; ``country`` may be empty).  Outputs are written as
-Parquet under ``--out`` (a shared folder on a cluster); the manifest and the
-impact summaries are printed.  ``--local N`` starts a local session instead
+Parquet under ``--out`` (a shared folder on a cluster), where the last whole run's
+stay until this one is whole; stages whose input has not changed are not run again.
+The manifest and the impact summaries are printed.  ``--local N`` starts a local session instead
 of using the one spark-submit provides.
 """
 
@@ -53,9 +54,11 @@ def main(argv=None) -> None:
         feed_inventory(spark, registry, args.root, count_rows=True).show(truncate=False)
         return
 
-    from railtrace.plans.pipeline import run_pipeline
+    from railtrace.plans.pipeline import TABLES, run_pipeline
+    from railtrace.sinks.publish import listing_fingerprint
     from railtrace.sources.sheets import flight_sheet, mode_sheet
 
+    files = listing_fingerprint(spark, sorted({f[1] for f in feeds}))  # the feeds' text is read once
     res = run_pipeline(
         spark,
         read_feeds(spark, registry),
@@ -64,11 +67,12 @@ def main(argv=None) -> None:
         flight_sheet(spark, args.flights) if args.flights else None,
         calculation_date=args.date,
         fmt=args.format,
+        known=dict.fromkeys(TABLES, files),
     )
     for feed in res.skipped_feeds:
         print(f"skipped {feed['feed_id']}: {feed['skip_reason']}")
     for step, rows in res.step_rows.items():
-        print(f"{step:28s} {rows:>12,d} rows")
+        print(f"{step:28s} {rows:>12,d} rows{' (as before)' if step in res.reused else ''}")
     res.manifest.show(truncate=False)
     for name in ("impact_totals", "impact_by_country_top10", "impact_by_type", "impact_top10", "headline_saving"):
         if name in res.outputs:

@@ -15,7 +15,8 @@ from decimal import Decimal
 from railtrace.functions.countries import UNKNOWN
 from railtrace.functions.text import ROUTE_ARROW, SIMPLIFY_REMOVED_WORDS, SIMPLIFY_SMALL_WORDS
 from railtrace.plans import driver_views as V
-from railtrace.plans.queries import AUDITED_TABLES, CALCULATION_DATE, FLIGHT_SAMPLE
+from railtrace.plans.pipeline import OUTPUT_KEYS
+from railtrace.plans.queries import AUDITED_TABLES, CALCULATION_DATE, FLIGHT_SAMPLE, LACKING_MODES
 
 
 def q(s: str) -> str:
@@ -423,9 +424,9 @@ FINAL = {
 }
 
 
-def _needed(sql: str, names: list[str]) -> set[str]:
+def _needed(sql: str, lookup: dict[str, str]) -> set[str]:
+    names = list(lookup)
     need, todo = set(), [sql]
-    lookup = dict(CTES)
     while todo:
         text = todo.pop()
         for n in names:
@@ -435,10 +436,11 @@ def _needed(sql: str, names: list[str]) -> set[str]:
     return need
 
 
-def build(final: str) -> str:
-    names = [n for n, _ in CTES]
-    need = _needed(final, names)
-    parts = [f"{n} AS ({body})" for n, body in CTES if n in need]
+def build(final: str, **other: str) -> str:
+    """``final`` with the CTEs that it needs; ``other`` gives a CTE another body."""
+    ctes = dict(CTES) | other
+    need = _needed(final, ctes)
+    parts = [f"{n} AS ({body})" for n, body in ctes.items() if n in need]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final
 
 
@@ -446,5 +448,37 @@ for _name in ("extract_night", "extract_day", "endpoint_fallback"):  # other key
     FINAL[f"{_name}_scoped"] = FINAL[_name]
 FINAL["country_join_night"] = FINAL["country_night"]
 FINAL["country_join_day"] = FINAL["country_day"]
+FINAL["flight_sample_files"] = FINAL["flight_sample"]
+FINAL["first_factors_files"] = """SELECT transport_mode, arg_min_null(gco2_per_pkm, ord) AS gco2_per_pkm, count(*) AS n
+    FROM reference GROUP BY transport_mode"""
+
+# the datasets of a run, their rows and their keys
+OUTPUTS = {
+    "night_routes": FINAL["extract_night"], "day_routes": FINAL["extract_day"],
+    "night_by_country": "SELECT DISTINCT origin_country FROM ext_night", "day_by_country": "SELECT DISTINCT origin_country FROM ext_day",
+    "unresolved_day": FINAL["unresolved_day"], "emissions_reference": FINAL["emission_reference"],
+    "emissions_summary": FINAL["emission_summary"], "headline_saving": FINAL["headline_saving"],
+    "flight_routes_sample": FINAL["flight_sample"], "flight_top5": FINAL["flight_top5"],
+    "night_routes_cleaned": FINAL["clean_night"], "day_routes_cleaned": FINAL["clean_day"],
+    "quality_night": FINAL["quality_report"].replace("cl_day", "cl_night"), "quality_day": FINAL["quality_report"],
+    "all_routes_cleaned": FINAL["combined_routes"], "environmental_impact": FINAL["route_impact"],
+} | {name: FINAL[name] for name in (
+    "routes_by_country", "routes_by_type", "routes_by_country_type", "impact_totals", "impact_by_country",
+    "impact_by_country_top10", "impact_by_type", "impact_top10")}
+FINAL["published_outputs"] = " UNION ALL ".join(
+    f"""SELECT {q(name)} AS dataset, true AS exists, true AS has_bytes, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows,
+        count(*) FILTER (WHERE n > 1) AS duplicate_keys
+        FROM (SELECT count(*) AS n FROM ({sql}) GROUP BY {', '.join(OUTPUT_KEYS[name])})"""
+    for name, sql in OUTPUTS.items()
+)
 
 ORACLE_SQL: dict[str, str] = {name: build(sql) for name, sql in FINAL.items()}
+_cte = dict(CTES)
+ORACLE_SQL["feed_ledger_blank"] = build(FINAL["feed_ledger"], stops=f"""SELECT * REPLACE (
+    CASE WHEN CAST(stop_id AS BIGINT) % 11 = 0 THEN NULL WHEN CAST(stop_id AS BIGINT) % 13 = 0 THEN '  ' ELSE stop_name END AS stop_name)
+    FROM ({_cte['stops']})""")
+_cases = {m: f"SELECT * FROM ({_cte['reference']}) WHERE NOT contains(lower(transport_mode), {q(m)})" for m in LACKING_MODES}
+_cases["numbers"] = f"SELECT * REPLACE (CAST(NULL AS DOUBLE) AS gco2_per_pkm) FROM ({_cte['reference']})"
+ORACLE_SQL["factor_defaults"] = " UNION ALL ".join(
+    f"SELECT *, {q(name)} AS without FROM ({build(FINAL['emission_factors'], reference=body)})" for name, body in _cases.items()
+)

@@ -8,7 +8,9 @@ SQL.  Keys here and in ``oracle.ORACLE_SQL`` are identical.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +24,13 @@ from railtrace.operators import extract as X
 from railtrace.operators import impact as I
 from railtrace.plans import driver_views as V
 from railtrace.plans import feed_views as FV
+from railtrace.plans import sheet_views as SV
+from railtrace.plans.pipeline import run_pipeline
 from railtrace.schemas import GTFS_COLUMNS
+from railtrace.session import ensure_checkpoint_dir
 from railtrace.sinks.manifest import dataset_audit
 from railtrace.sources import feed_files as FF
+from railtrace.sources import sheets as S
 
 # Fixed test parameters.
 CALCULATION_DATE = dt.date(2019, 12, 31)
@@ -213,6 +219,18 @@ def feed_ledger(spark, sf):
     return X.feed_ledger(t, "night", V.DRIVER_STATION_MAP).unionByName(X.feed_ledger(t, "day", V.DRIVER_STATION_MAP))
 
 
+# stop names that FLT1 drops, null or blank, by the stop's key
+BLANK_NAME = "CASE WHEN stop_id % 11 = 0 THEN NULL WHEN stop_id % 13 = 0 THEN '  ' ELSE stop_name END"
+
+
+def feed_ledger_blank(spark, sf):
+    """FLT1, AGG7: the ledger where some stops have no name."""
+    t = V.gtfs_scoped(spark, sf)
+    n = t.feed_count
+    t = replace(t, stops=t.stops.withColumn("stop_name", F.expr(BLANK_NAME))).known_feed_count(n)
+    return X.feed_ledger(t, "night", V.DRIVER_STATION_MAP).unionByName(X.feed_ledger(t, "day", V.DRIVER_STATION_MAP))
+
+
 def unresolved_day(spark, sf):
     return X.unresolved_countries(extract_day(spark, sf))
 
@@ -298,6 +316,34 @@ def emission_factors(spark, sf):
     return E.emission_factors(_reference(spark, sf))
 
 
+# sheets without one of the modes, or without a number
+LACKING_MODES = ["night train", "plane", "car"]
+
+
+def factor_defaults(spark, sf):
+    """LKP1: a missing mode takes its default; a mode whose factor is no number stays null."""
+    sheet = V.mode_sheet(spark, sf)
+    cases = {m: sheet.where(f"NOT contains(lower(c0), '{m}')") for m in LACKING_MODES}
+    cases["numbers"] = sheet.withColumn("c1", F.lit("n/a"))
+    out = None
+    for name, rows in cases.items():
+        one = E.emission_factors(E.emission_reference(rows)).withColumn("without", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def first_factors_files(spark, sf):
+    """SRC11: the first factor of each mode, of a sheet whose order is that of its files."""
+    reference = E.emission_reference(S.mode_sheet(spark, SV.write_mode_sheet(spark, sf)))
+    return reference.groupBy("transport_mode").agg(
+        E.first_match("gco2_per_pkm", "true").v.alias("gco2_per_pkm"), F.count("*").alias("n"))
+
+
+def flight_sample_files(spark, sf):
+    """SRC12, TOP3: the first flights of a sheet of several files."""
+    return E.flight_routes(S.flight_sheet(spark, SV.write_flight_sheet(spark, sf)), FLIGHT_SAMPLE).drop("ord")
+
+
 def headline_saving(spark, sf):
     return E.headline_saving(_reference(spark, sf))
 
@@ -331,6 +377,16 @@ def output_manifest(spark, sf):
     return dataset_audit(tables).select("dataset", "rows", "duplicate_keys")
 
 
+def published_outputs(spark, sf):
+    """SNK1-SNK4, OPS16, OPS17: the manifest of all that a run writes, reads back and publishes."""
+    run = run_pipeline(
+        spark, _gtfs(spark, sf), f"{ensure_checkpoint_dir(spark).rstrip('/')}/outputs-{uuid.uuid4().hex}",
+        V.mode_sheet(spark, sf), V.flight_sheet(spark, sf), V.DRIVER_STATION_MAP, V.DRIVER_STATION_MAP,
+        calculation_date=CALCULATION_DATE, flight_sample=FLIGHT_SAMPLE,
+    )
+    return run.manifest.select("dataset", "exists", (F.col("bytes") > 0).alias("has_bytes"), "rows", "duplicate_keys")
+
+
 QUERIES: dict[str, Query] = {
     name: globals()[name]
     for name in [
@@ -339,13 +395,13 @@ QUERIES: dict[str, Query] = {
         "country_night", "country_day", "country_join_night", "country_join_day", "dedupe_pairs_feed",
         "extract_night", "extract_day", "unresolved_day",
         "extract_night_scoped", "extract_day_scoped", "endpoint_fallback_scoped",
-        "extract_night_files", "extract_day_files", "feed_quarantine", "feed_inventory", "feed_ledger",
+        "extract_night_files", "extract_day_files", "feed_quarantine", "feed_inventory", "feed_ledger", "feed_ledger_blank",
         "clean_night", "clean_day", "combined_routes", "quality_report",
         "quality_raw", "clean_raw", "preview_day",
         "routes_by_country", "routes_by_type", "routes_by_country_type",
         "emission_reference", "emission_summary", "flight_sample", "flight_top5",
-        "emission_factors", "headline_saving",
+        "emission_factors", "factor_defaults", "first_factors_files", "flight_sample_files", "headline_saving",
         "route_impact", "impact_totals", "impact_by_country", "impact_by_country_top10", "impact_by_type", "impact_top10",
-        "output_manifest",
+        "output_manifest", "published_outputs",
     ]
 }

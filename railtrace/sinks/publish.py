@@ -64,8 +64,14 @@ def fingerprints(datasets: Mapping[str, DataFrame]) -> dict[str, str]:
 
 
 def listing_fingerprint(spark: SparkSession, paths: Sequence[str], pattern: str = "*.txt") -> str:
-    """The fingerprint of the files below ``paths``: their names, sizes and times, without reading them."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(list(paths))
+    """The fingerprint of the files below ``paths``: their names, sizes and times, without reading them.
+    A path that does not exist counts for nothing."""
+    conf = spark._jsc.hadoopConfiguration()
+    folders = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    paths = [p for p, folder in zip(paths, folders) if folder.getFileSystem(conf).exists(folder)]
+    if not paths:
+        return _digest([])
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(paths)
     return fingerprints({"files": listed.select("path", "length", "modificationTime")})["files"]
 
 

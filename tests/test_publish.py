@@ -29,7 +29,9 @@ def test_listing_fingerprint_follows_the_files(spark, tmp_path):
     first = listing_fingerprint(spark, [str(tmp_path)])
     assert listing_fingerprint(spark, [str(tmp_path)]) == first
     (tmp_path / "b.txt").write_text("x")
-    assert listing_fingerprint(spark, [str(tmp_path)]) != first
+    both = listing_fingerprint(spark, [str(tmp_path)])
+    assert both != first and listing_fingerprint(spark, [str(tmp_path), str(tmp_path / "gone")]) == both
+    listing_fingerprint(spark, [str(tmp_path / "gone")])
 
 
 def stages(spark, root, n, fail=None, again=()):
