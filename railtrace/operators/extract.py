@@ -49,23 +49,25 @@ def trip_endpoints(stop_times: DataFrame, scope=("feed_id",)) -> DataFrame:
     )
 
 
-def _feeds_of_kind(tables: GtfsTables, kind: str) -> DataFrame:
+def _feeds_of_kind(tables: GtfsTables, kind: str | None) -> DataFrame:
     feeds = tables.feeds
     cols = set(feeds.columns)
     has_st = "coalesce(has_stop_times, true)" if "has_stop_times" in cols else "true"
     has_req = "coalesce(has_required, false)" if "has_required" in cols else "true"
-    out = feeds.filter(f"kind = '{kind}' AND {has_req}").selectExpr(
-        "feed_id", "country AS feed_country", "ord AS feed_ord", f"{has_st} AS has_stop_times",
+    # night feeds need all four files
+    of_kind = {"night": f"kind = 'night' AND {has_st}", "day": "kind = 'day'"}
+    wanted = " OR ".join(f"({of_kind[k]})" for k in ([kind] if kind else of_kind))
+    out = feeds.filter(f"({wanted}) AND {has_req}").selectExpr(
+        "feed_id", "country AS feed_country", "ord AS feed_ord", f"{has_st} AS has_stop_times", *([] if kind else ["kind"]),
     )
-    if kind == "night":  # night feeds need all four files
-        out = out.filter("has_stop_times")
     # one row per feed folder; broadcast after its row count is checked (a
     # registry built from Python rows has no size statistics for the planner)
     return F.broadcast(out) if tables.feed_count <= MAX_BROADCAST_ROWS else out
 
 
-def trip_stop_ids(tables: GtfsTables, kind: str) -> DataFrame:
-    """Trips of ``kind`` with their origin and destination stop ids.
+def trip_stop_ids(tables: GtfsTables, kind: str | None) -> DataFrame:
+    """Trips of ``kind`` with their origin and destination stop ids; of both kinds, with a
+    column ``kind``, where it is None.
 
     Feeds with ``stop_times`` use the endpoint aggregate; day feeds without it
     fall back to ``trips.start_stop_id / end_stop_id`` (JON6; SURVEY D1: here
@@ -89,11 +91,11 @@ def trip_stop_ids(tables: GtfsTables, kind: str) -> DataFrame:
     t = t.join(trip_endpoints(stop_times, scope), keys, "left")
     if kind == "night":
         first, last = F.col("first_stop_id"), F.col("last_stop_id")
-    else:
+    else:  # night feeds have stop_times
         first = F.when(F.col("has_stop_times"), F.col("first_stop_id")).otherwise(F.col("start_stop_id"))
         last = F.when(F.col("has_stop_times"), F.col("last_stop_id")).otherwise(F.col("end_stop_id"))
     return t.select(
-        *dict.fromkeys(["feed_id", *keys]), "feed_country", "feed_ord", "route_id",
+        *dict.fromkeys(["feed_id", *keys]), *([] if kind else ["kind"]), "feed_country", "feed_ord", "route_id",
         first.alias("first_stop_id"), last.alias("last_stop_id"),
     ).filter("first_stop_id IS NOT NULL AND last_stop_id IS NOT NULL")
 
@@ -139,37 +141,46 @@ def attach_stations(endpoints: DataFrame, tables: GtfsTables) -> DataFrame:
     return df.withColumn("route_name", route_name("route_short_name", "origin_name", "destination_name"))
 
 
+KINDS = ("night", "day")
+
 # Total order for DED1: decides which row represents an undirected pair.
 FEED_PAIR_ORDER = ["origin", "destination", "route_name", "distance_km", "origin_name", "destination_name"]
 
 
-def feed_routes(tables: GtfsTables, kind: str, station_map=None) -> DataFrame:
+def feed_routes(tables: GtfsTables, kind: str | None, station_map=None) -> DataFrame:
     """OPS1/OPS2 per feed: one row per undirected station pair within a feed.
 
-    Columns: feed_id, feed_ord and the eight route columns.
+    Columns: feed_id, feed_ord and the eight route columns.  ``kind`` None gives the routes of
+    both kinds from one chain of joins; ``station_map`` then holds for both, if given.
     """
-    station_map = default_station_map(kind) if station_map is None else station_map
     patterns = trip_stop_ids(tables, kind).drop("trip_id").distinct()
     df = attach_stations(patterns, tables)
     df = df.withColumn(
         "distance_km", haversine_km("origin_lat", "origin_lon", "dest_lat", "dest_lon")
     ).filter(F.col("distance_km").isNotNull())  # SCL3, FLT2 (distance 0 is kept)
-    df = dedupe_pairs(df, "origin", "destination", ["feed_id"], FEED_PAIR_ORDER)
-    country = country_rule(kind)
+    df = dedupe_pairs(df, "origin", "destination", ["feed_id"] if kind else ["feed_id", "kind"], FEED_PAIR_ORDER)
+
+    def country(station: str) -> Column:
+        by_kind = {
+            k: country_rule(k)(station, "feed_country", default_station_map(k) if station_map is None else station_map)
+            for k in ([kind] if kind else KINDS)
+        }
+        return by_kind[kind] if kind else F.when(F.col("kind") == "night", by_kind["night"]).otherwise(by_kind["day"])
+
     # PRJ10 final projection; PRJ3 service_type; PRJ7 display name (SCL2);
     # SCL4/SCL5 countries
     return df.select(
         "feed_id", "feed_ord",
         "route_name", "origin", "destination",
-        F.lit(kind).alias("service_type"),
+        (F.lit(kind) if kind else F.col("kind")).alias("service_type"),
         route_label(simplify_station("origin"), simplify_station("destination")).alias("route_name_simple"),
-        country("origin", "feed_country", station_map).alias("origin_country"),
-        country("destination", "feed_country", station_map).alias("destination_country"),
+        country("origin").alias("origin_country"),
+        country("destination").alias("destination_country"),
         "distance_km",
     )
 
 
-def with_drop_rule(tables: GtfsTables, kind: str) -> DataFrame:
+def with_drop_rule(tables: GtfsTables, kind: str | None) -> DataFrame:
     """Route patterns with ``rule``, the first filter that drops them (FLT1: a station without
     a usable name; FLT2: no distance; null: neither).  ``feed_routes`` keeps the rows without one."""
     scope = list(tables.scope)
@@ -185,37 +196,35 @@ def with_drop_rule(tables: GtfsTables, kind: str) -> DataFrame:
     ))
 
 
-def feed_ledger(tables: GtfsTables, kind: str, station_map=None) -> DataFrame:
+def feed_ledger(tables: GtfsTables, kind: str | None = None, station_map=None) -> DataFrame:
     """AGG7 per feed: patterns, what FLT1, FLT2, DED1 and DED2 drop of them, and what is kept.
 
     One aggregate over (feed, rule, undirected pair) counts the filters' and DED1's drops and gives each
-    pair's representative, which DED2 then chooses among; counts are partial before the shuffle, so a
-    hot pair is one row per task.  The numbers of a feed add up: patterns = dropped + kept.
+    pair's representative; counts are partial before the shuffle, so a hot pair is one row per task.
+    DED2 keeps a directed route of the first feed that has it, and a feed has it once, so the least
+    (ord, feed) over a route says which row is kept; that window sees a row per feed and route, and two
+    per feed of what the filters drop.  Countries come after these in DED2's order, so ``station_map``
+    changes no count.  The numbers of a feed add up: patterns = dropped + kept.
     """
-    station_map = default_station_map(kind) if station_map is None else station_map
-    country = country_rule(kind)
     order = ", ".join(FEED_PAIR_ORDER)
     pair = "CASE WHEN rule IS NULL THEN {}(origin, destination) END"
-    groups = with_drop_rule(tables, kind).groupBy(
-        "feed_id", "feed_ord", "feed_country", "rule", F.expr(pair.format("least")).alias("lo"), F.expr(pair.format("greatest")).alias("hi")
+    rows = with_drop_rule(tables, kind)
+    if kind:
+        rows = rows.withColumn("kind", F.lit(kind))
+    groups = rows.groupBy(
+        "feed_id", "feed_ord", "kind", "rule", F.expr(pair.format("least")).alias("lo"), F.expr(pair.format("greatest")).alias("hi")
     ).agg(F.count("*").alias("n"), F.min(F.expr(f"struct({order})")).alias("first"))
-    groups = groups.select("*", "first.*")
-    winners = groups.where("rule IS NULL").select(
-        "feed_id", "feed_ord", "route_name", "origin", "destination", "distance_km",
-        route_label(simplify_station("origin"), simplify_station("destination")).alias("route_name_simple"),
-        country("origin", "feed_country", station_map).alias("origin_country"),
-        country("destination", "feed_country", station_map).alias("destination_country"),
-    )
-    kept = dedupe_directed(winners, ["origin", "destination", "route_name"], ACROSS_FEEDS_ORDER).selectExpr("feed_id", "0L AS patterns", "0L AS flt1", "0L AS flt2", "0L AS ded1", "1L AS kept")
-    counted = groups.selectExpr(
-        "feed_id", "n AS patterns", "CASE WHEN rule = 'FLT1' THEN n ELSE 0L END AS flt1", "CASE WHEN rule = 'FLT2' THEN n ELSE 0L END AS flt2",
-        "CASE WHEN rule IS NULL THEN n - 1 ELSE 0L END AS ded1", "0L AS kept",
+    feed = "struct(feed_ord, feed_id)"
+    route = "PARTITION BY kind, rule, first.origin, first.destination, first.route_name"
+    first_feed = groups.withColumn("kept", F.expr(f"rule IS NULL AND {feed} = min({feed}) OVER ({route})"))
+    sums = first_feed.groupBy("feed_id", "kind").agg(
+        F.sum("n").alias("patterns"), F.sum(F.expr("CASE WHEN rule = 'FLT1' THEN n END")).alias("flt1"),
+        F.sum(F.expr("CASE WHEN rule = 'FLT2' THEN n END")).alias("flt2"),
+        F.sum(F.expr("CASE WHEN rule IS NULL THEN n - 1 END")).alias("ded1"), F.count_if("kept").alias("kept"),
     )
-    names = ["patterns", "flt1", "flt2", "ded1", "kept"]
-    sums = counted.unionByName(kept).groupBy("feed_id").agg(*[F.sum(c).alias(c) for c in names])
-    feeds = tables.feeds.where(F.col("kind") == kind).select("feed_id", "kind")
-    return feeds.join(sums, "feed_id", "left").select(
-        "feed_id", "kind", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in names],
+    feeds = tables.feeds.where(F.col("kind").isin(*([kind] if kind else KINDS))).select("feed_id", "kind")
+    return feeds.join(sums, ["feed_id", "kind"], "left").select(
+        "feed_id", "kind", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("patterns", "flt1", "flt2", "ded1", "kept")],
     ).withColumn("ded2", F.expr("patterns - flt1 - flt2 - ded1 - kept"))
 
 
@@ -223,14 +232,17 @@ def feed_ledger(tables: GtfsTables, kind: str, station_map=None) -> DataFrame:
 ACROSS_FEEDS_ORDER = ["feed_ord", "feed_id", "distance_km", "route_name_simple", "origin_country", "destination_country"]
 
 
-def combine_feeds(per_feed: DataFrame) -> DataFrame:
+def combine_feeds(per_feed: DataFrame, within=()) -> DataFrame:
     """OPS3 (SET1 + DED2): one row per directed (origin, destination, route_name)."""
-    return dedupe_directed(per_feed, ["origin", "destination", "route_name"], ACROSS_FEEDS_ORDER).select(*ROUTE_COLUMNS)
+    return dedupe_directed(per_feed, [*within, "origin", "destination", "route_name"], ACROSS_FEEDS_ORDER).select(*ROUTE_COLUMNS)
+
 
+def extract_routes(tables: GtfsTables, kind: str | None = "night", station_map=None) -> DataFrame:
+    """OPS1 (night) / OPS2 (day) followed by OPS3: the extracted route table.
 
-def extract_routes(tables: GtfsTables, kind: str = "night", station_map=None) -> DataFrame:
-    """OPS1 (night) / OPS2 (day) followed by OPS3: the extracted route table."""
-    return combine_feeds(feed_routes(tables, kind, station_map))
+    ``kind`` None gives both tables as one, told apart by ``service_type``: the rows are those
+    of the two, but every table is read, joined and shuffled once."""
+    return combine_feeds(feed_routes(tables, kind, station_map), () if kind else ("service_type",))
 
 
 def unresolved_countries(routes: DataFrame) -> DataFrame:

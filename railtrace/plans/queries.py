@@ -123,8 +123,7 @@ def _stations_join(spark, sf, kind):
 
 
 def country_join_night(spark, sf):
-    """JON7 as a broadcast theta join over the map table (same result as
-    ``country_night``)."""
+    """JON7 as an equi-join with the map table (same result as ``country_night``)."""
     return _stations_join(spark, sf, "night")
 
 
@@ -136,7 +135,7 @@ def dedupe_pairs_feed(spark, sf):
     return X.feed_routes(_gtfs(spark, sf), "night", V.DRIVER_STATION_MAP)
 
 
-# One GtfsTables per query: night and day share its normalized stops.
+# One GtfsTables per query; queries over both kinds extract them in one chain.
 
 def _extract(t, kind):
     return X.extract_routes(t, kind, V.DRIVER_STATION_MAP)
@@ -151,7 +150,7 @@ def _clean_day(t):
 
 
 def _combined(t):
-    return C.combine_types(_clean_night(t), _clean_day(t))
+    return C.clean_and_combine(_extract(t, None))
 
 
 def extract_night(spark, sf):
@@ -216,8 +215,7 @@ def feed_inventory(spark, sf):
 
 def feed_ledger(spark, sf):
     """AGG7 per feed: what every rule of the extraction leaves of a feed's route patterns."""
-    t = V.gtfs_scoped(spark, sf)
-    return X.feed_ledger(t, "night", V.DRIVER_STATION_MAP).unionByName(X.feed_ledger(t, "day", V.DRIVER_STATION_MAP))
+    return X.feed_ledger(V.gtfs_scoped(spark, sf))
 
 
 # stop names that FLT1 drops, null or blank, by the stop's key
@@ -229,7 +227,7 @@ def feed_ledger_blank(spark, sf):
     t = V.gtfs_scoped(spark, sf)
     n = t.feed_count
     t = replace(t, stops=t.stops.withColumn("stop_name", F.expr(BLANK_NAME))).known_feed_count(n)
-    return X.feed_ledger(t, "night", V.DRIVER_STATION_MAP).unionByName(X.feed_ledger(t, "day", V.DRIVER_STATION_MAP))
+    return X.feed_ledger(t)
 
 
 def unresolved_day(spark, sf):
