@@ -45,3 +45,19 @@ def test_registry_order(spark, tables):
 
     reversed_feeds = tables.feeds.withColumn("ord", F.lit(100) - F.col("ord"))
     assert result(tables.with_feeds(reversed_feeds)) == base
+
+
+def test_both_kinds_in_one_chain_are_the_two_tables(spark, tables):
+    base = result(tables)
+    both = X.extract_routes(tables, None)
+    for kind in ("night", "day"):
+        alone = X.extract_routes(tables, kind)
+        assert sorted(map(tuple, both.where(f"service_type = '{kind}'").select(*COLS).collect())) == sorted(map(tuple, alone.select(*COLS).collect()))
+    assert sorted(tuple(r) for r in C.clean_and_combine(both).select(*COLS, "type").collect()) == base
+    assert {r[-1] for r in base} == {"night", "day"}
+
+
+def test_one_ledger_of_both_kinds(spark, tables):
+    rows = sorted(tuple(r) for r in X.feed_ledger(tables).collect())
+    alone = [tuple(r) for kind in ("night", "day") for r in X.feed_ledger(tables, kind).collect()]
+    assert rows == sorted(alone) and len(rows) > 4

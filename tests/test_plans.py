@@ -43,3 +43,12 @@ def test_registry_is_the_broadcast_side(spark):
 
     p = plan(E.queries()["extract_night"](spark, SF))
     assert re.search(r"BroadcastHashJoin \[feed_id#\d+\], \[feed_id#\d+\], Inner, BuildRight", p)
+
+
+def test_both_kinds_share_one_chain(spark):
+    """Night and day routes come from one read, join and aggregate of the trips."""
+    import re
+
+    for name in ("combined_routes", "feed_ledger"):
+        p = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"Aggregate \[(?:feed_id#\d+, )?trip_id#\d+", p)) == 1
