@@ -151,8 +151,10 @@ def feed_routes(tables: GtfsTables, kind: str | None, station_map=None) -> DataF
     """OPS1/OPS2 per feed: one row per undirected station pair within a feed.
 
     Columns: feed_id, feed_ord and the eight route columns.  ``kind`` None gives the routes of
-    both kinds from one chain of joins; ``station_map`` then holds for both, if given.
+    both kinds from one chain of joins; ``station_map`` is then one map for both, or a dict of
+    kind and map.  A map that is None is the kind's default.
     """
+    maps = station_map if isinstance(station_map, dict) else dict.fromkeys(KINDS, station_map)
     patterns = trip_stop_ids(tables, kind).drop("trip_id").distinct()
     df = attach_stations(patterns, tables)
     df = df.withColumn(
@@ -162,7 +164,7 @@ def feed_routes(tables: GtfsTables, kind: str | None, station_map=None) -> DataF
 
     def country(station: str) -> Column:
         by_kind = {
-            k: country_rule(k)(station, "feed_country", default_station_map(k) if station_map is None else station_map)
+            k: country_rule(k)(station, "feed_country", default_station_map(k) if maps[k] is None else maps[k])
             for k in ([kind] if kind else KINDS)
         }
         return by_kind[kind] if kind else F.when(F.col("kind") == "night", by_kind["night"]).otherwise(by_kind["day"])

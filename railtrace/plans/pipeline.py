@@ -4,6 +4,9 @@ Order as in the reference: extract night and day routes, build the emission
 reference and summary (and the optional flight sample), clean and combine
 routes, then compute the environmental impact and its summaries.
 
+Night and day routes are extracted by one chain of joins (``extracted_routes``, an
+intermediate dataset beside the outputs) and told apart when it is read back.
+
 Each stage is written and read back before the next stage
 uses it.  That cuts lineage: the extraction is computed once although six
 later datasets depend on it, and a stage that loses an executor recomputes
@@ -104,8 +107,11 @@ def run_pipeline(
         return run.stage(name, build, [reads] if isinstance(reads, str) else reads, given, partition_by)
 
     # 1. extraction (OPS1-OPS3)
-    night = stage("night_routes", lambda: X.extract_routes(tables, "night", night_map), feeds, [list(tables.scope), repr(night_map)])
-    day = stage("day_routes", lambda: X.extract_routes(tables, "day", day_map), feeds, [list(tables.scope), repr(day_map)])
+    # both kinds in one chain, written by kind; the two outputs are its folders' rows
+    extracted = stage("extracted_routes", lambda: X.extract_routes(tables, None, {"night": night_map, "day": day_map}),
+                      feeds, [list(tables.scope), repr(night_map), repr(day_map)], partition_by=["service_type"])
+    night = stage("night_routes", lambda: extracted.where("service_type = 'night'"), "extracted_routes")
+    day = stage("day_routes", lambda: extracted.where("service_type = 'day'"), "extracted_routes")
     stage("night_by_country", lambda: X.routes_by_origin_country(night), "night_routes")
     stage("day_by_country", lambda: X.routes_by_origin_country(day), "day_routes")
     stage("unresolved_day", lambda: X.unresolved_countries(day), "day_routes")
