@@ -146,9 +146,9 @@ def _sorted_suffixes(text: np.ndarray, bits: int) -> np.ndarray:
     """The positions of symbols other than 0, by their words up to the next 0, then by position.
 
     Several symbols make one integer key; suffixes that go on beyond it are
-    ordered by doubling.  Only those whose run is longer than what is compared
-    so far take part in a round; equal suffixes end at the same distance, so a
-    stable sort leaves them by position.
+    ordered by doubling.  Only those whose run is at least as long as what is compared
+    so far take part in a round, so that one that ends there comes before those that go on;
+    equal suffixes end at the same distance, so a stable sort leaves them by position.
     """
     at = np.flatnonzero(text)
     if not len(at):
@@ -167,7 +167,7 @@ def _sorted_suffixes(text: np.ndarray, bits: int) -> np.ndarray:
     rank[order] = _group_starts(key[order])
     rank_at = np.zeros(len(text) + 1, dtype=np.int64)
     while True:
-        open_ = np.flatnonzero(run > done)
+        open_ = np.flatnonzero(run >= done)
         if not len(open_):
             return at[np.argsort(rank, kind="stable")]
         rank_at[at] = rank + 1  # 0 for an end
@@ -195,10 +195,10 @@ class Symbols(dict):
 class Windows:
     """A block of the benchmark: its vocabulary, distinct windows and the items that have each."""
 
-    def __init__(self, items: list[tuple[str, bytes | None]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes | None]], window: int = WINDOW):
         self.window = window
         self.symbols = Symbols()
-        owners: dict[tuple[int, ...], set[str]] = {}
+        owners: dict[tuple[int, ...], set[str | None]] = {}
         for item, text in items:
             codes = [self.symbols.setdefault(w, len(self.symbols) + 1) for w in words_of(text)]
             for i in range(max(1, len(codes) - window + 1) if codes else 0):
@@ -208,7 +208,7 @@ class Windows:
         self.patterns = np.zeros((len(owners), window), dtype=np.int64)
         for i, w in enumerate(owners):
             self.patterns[i, window - len(w):] = w
-        self.items = [sorted(s) for s in owners.values()]
+        self.items = [_by_name(s) for s in owners.values()]
 
     def hits(self, shard: list[list[bytes]]):
         """For each document: merged spans of word numbers, and the items that occur."""
@@ -239,7 +239,8 @@ class Windows:
 
 
 def write_blocks(
-    benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS
+    benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
+    unnamed: bool = False,
 ) -> list[str]:
     """Files of the benchmark's blocks in the shared folder, made and written by tasks.
 
@@ -248,7 +249,7 @@ def write_blocks(
     spark = benchmark.sparkSession
     folder = shared_path(spark, "benchmark")
     rows = benchmark.select(F.col(q(id_col)).cast("string").alias("i"), F.col(q(text_col)).cast("binary").alias("t"))
-    rows = rows.where("i IS NOT NULL AND t IS NOT NULL")
+    rows = rows.where("t IS NOT NULL" if unnamed else "i IS NOT NULL AND t IS NOT NULL")
     n = max(1, -(-(rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // (8 * block_words)))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,15 +285,16 @@ def _block(path: str) -> Windows:
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-    clean: bool = False, block_words: int = BLOCK_WORDS,
+    clean: bool = False, block_words: int = BLOCK_WORDS, unnamed: bool = False,
 ) -> DataFrame:
     """The documents' columns plus ``n_words_``, ``spans_`` (merged, in word numbers) and ``items_``.
 
     With ``clean`` the text has the spans cut out, from the first word of a span to its last.
-    The documents are read once; each shard is searched for every block.
+    The documents are read once; each shard is searched for every block.  Items without an id are left
+    out; with ``unnamed`` their windows count too, all as one item that is null in ``items_``.
     """
     passed = docs.select(*[F.col(q(c)) for c in docs.columns if c not in ("n_words_", "spans_", "items_")])
-    paths = write_blocks(benchmark, item_col, item_text_col, window, block_words)
+    paths = write_blocks(benchmark, item_col, item_text_col, window, block_words, unnamed)
     text_at = passed.columns.index(text_col)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,11 +332,15 @@ def _result(batch: pa.RecordBatch, shard, hits, clean: bool, text_at: int) -> pa
     extra = [
         pa.array([len(d) for d in shard], pa.int64()),
         pa.array([[{"start": a, "end": b} for a, b in spans] for spans, _ in hits], span),
-        pa.array([sorted(items) for _, items in hits], pa.list_(pa.string())),
+        pa.array([_by_name(items) for _, items in hits], pa.list_(pa.string())),
     ]
     return pa.RecordBatch.from_arrays([*columns, *extra], names=[*batch.schema.names, "n_words_", "spans_", "items_"])
 
 
+def _by_name(items: set[str | None]) -> list[str | None]:
+    return sorted(items, key=lambda i: (i is not None, i or ""))
+
+
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):

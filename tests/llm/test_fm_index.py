@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -114,3 +115,31 @@ def test_blocks_are_made_by_tasks(spark):
     assert len(fm_index._BLOCKS) <= fm_index.HELD_BLOCKS
     rows = lambda n: sorted((r.doc_id, tuple(map(tuple, r.spans_)), tuple(r.items_)) for r in find_contamination(docs, benchmark, block_words=n).collect())
     assert rows(100) == rows(1 << 21) and any(r[1] for r in rows(100))
+
+
+def test_runs_as_long_as_one_key():
+    """A suffix that ends where the first key ends comes before those that go on; spans stay in their document."""
+    rng = random.Random(1)
+    for bits in (2, 5, 8, 12, 16, 20, 31):
+        for _ in range(60):
+            text = np.array([rng.randint(1, 2) if rng.random() < 0.9 else 0 for _ in range(rng.randint(1, 60))] + [0])
+            run = lambda i: text[i:i + int(np.argmin(text[i:]))].tolist()
+            expected = sorted(np.flatnonzero(text).tolist(), key=lambda i: (run(i), i))
+            assert fm_index._sorted_suffixes(text, bits).tolist() == expected
+    block = [f"w{i}" for i in range(300)]  # 9 bits: a key holds 6 words
+    items = [("1", " ".join(block).encode()), ("2", " ".join(block[20:26]).encode())]
+    texts = [" ".join(block[20:26]) + " x " + " ".join(block[15:40]), " ".join(block[20:26]), "y " + " ".join(block[20:32])] * 3
+    for text, (spans, found) in zip(texts, Windows(items).hits([words_of(t.encode()) for t in texts])):
+        _, hit, names = brute_force(text, [(k, t.decode()) for k, t in items])
+        assert {p for a, b in spans for p in range(a, b)} == hit and sorted(found) == names
+
+
+def test_query_counts_items_without_id(spark, tmp_path):
+    """op8's contract: words inside any window are hit, also one of an item whose id is null."""
+    from railtrace.llm.queries import QUERIES
+
+    spark.createDataFrame([(1, "one two three"), (2, "two x"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, "two"), ("7", "three"), (None, "x"), ("8", None)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    got = sorted(tuple(r) for r in QUERIES["op8_fm_decontamination"](spark, str(tmp_path)).collect())
+    assert got == [(1, 3, 2, 2, sha("7"), True), (2, 2, 2, 1, sha(""), True), (3, 0, 0, 0, sha(""), False)]
