@@ -12,7 +12,8 @@ Plan, in the order Spark runs it (SURVEY 3.2 and 4):
    later step depends only on these, so repeated departures collapse here.
 4. routes and the two stop roles are joined as dimensions.  String work
    (normalization) happens on the stops dimension, not per trip.  Spark picks
-   broadcast or sort-merge from their measured size (AQE).
+   broadcast or sort-merge from the size of global tables; tables of feeds are
+   joined by shuffle (``_shuffled``).
 5. expressions (route name, Haversine), then DED1 with a total order, then
    country resolution and display names on the surviving rows only.
 """
@@ -49,6 +50,15 @@ def trip_endpoints(stop_times: DataFrame, scope=("feed_id",)) -> DataFrame:
     )
 
 
+def _shuffled(table: DataFrame, scope) -> DataFrame:
+    """A table to be joined by shuffle if its ids are those of feeds.
+
+    Such tables come from tasks that read files, or from copies of a shared table per feed.  The
+    planner guesses their size from what they are made of, far too low, and a table that it
+    takes for small would go through the driver whole."""
+    return table.hint("merge") if scope else table
+
+
 def _feeds_of_kind(tables: GtfsTables, kind: str | None) -> DataFrame:
     feeds = tables.feeds
     cols = set(feeds.columns)
@@ -88,7 +98,7 @@ def trip_stop_ids(tables: GtfsTables, kind: str | None) -> DataFrame:
         # the filter prunes whole folders)
         stop_times = stop_times.join(feeds.select("feed_id"), "feed_id", "left_semi")
     # JON4/JON5: one join brings both endpoints (they come from one aggregate)
-    t = t.join(trip_endpoints(stop_times, scope), keys, "left")
+    t = t.join(_shuffled(trip_endpoints(stop_times, scope), scope), keys, "left")
     if kind == "night":
         first, last = F.col("first_stop_id"), F.col("last_stop_id")
     else:  # night feeds have stop_times
@@ -110,11 +120,11 @@ def stop_role(tables: GtfsTables, role: str) -> DataFrame:
     name = "origin_name" if role == "origin" else "destination_name"
     norm = "origin" if role == "origin" else "destination"
     key = "first_stop_id" if role == "origin" else "last_stop_id"
-    return tables.stop_names.selectExpr(
+    return _shuffled(tables.stop_names.selectExpr(
         *scope,
         f"stop_id AS {key}", f"stop_name AS {name}", f"stop_lat AS {pre}_lat",
         f"stop_lon AS {pre}_lon", f"norm_name AS {norm}",
-    )
+    ), scope)
 
 
 def route_name(short_name, origin_name, destination_name) -> Column:
@@ -133,7 +143,7 @@ def route_name(short_name, origin_name, destination_name) -> Column:
 def attach_stations(endpoints: DataFrame, tables: GtfsTables) -> DataFrame:
     """JON1-JON5 + FLT1 + PRJ6: route short name and both stations."""
     scope = list(tables.scope)
-    routes = tables.routes.select(*scope, "route_id", "route_short_name")
+    routes = _shuffled(tables.routes.select(*scope, "route_id", "route_short_name"), scope)
     df = endpoints.join(routes, [*scope, "route_id"], "left")  # JON1
     # JON2 / JON3; inner joins: FLT1 would drop the unmatched rows anyway
     df = df.join(stop_role(tables, "origin"), [*scope, "first_stop_id"])
@@ -187,7 +197,7 @@ def with_drop_rule(tables: GtfsTables, kind: str | None) -> DataFrame:
     a usable name; FLT2: no distance; null: neither).  ``feed_routes`` keeps the rows without one."""
     scope = list(tables.scope)
     patterns = trip_stop_ids(tables, kind).drop("trip_id").distinct()
-    routes = tables.routes.select(*scope, "route_id", "route_short_name")
+    routes = _shuffled(tables.routes.select(*scope, "route_id", "route_short_name"), scope)
     df = patterns.join(routes, [*scope, "route_id"], "left")
     df = df.join(stop_role(tables, "origin"), [*scope, "first_stop_id"], "left")
     df = df.join(stop_role(tables, "destination"), [*scope, "last_stop_id"], "left")

@@ -1,6 +1,7 @@
 """Feeds read from files by tasks: splits, quarantine, gate and inventory."""
 
 import csv
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,3 +145,15 @@ def test_ledger_adds_up_and_ends_where_the_extraction_does(spark, tmp_path):
 def test_ledger_of_the_views_has_drops(spark):
     rows = X.feed_ledger(V.gtfs(spark, SF), "day", V.DRIVER_STATION_MAP).collect()
     assert sum(r.flt2 for r in rows) > 0 and sum(r.ded1 for r in rows) > 0
+
+
+@pytest.mark.parametrize("kind", ["night", "day", None])
+def test_tables_of_feeds_do_not_pass_through_the_driver(spark, tmp_path, kind):
+    """The planner cannot guess their size before they run, so no join with them is a broadcast."""
+    registry = G.feed_registry(spark, write_feeds(str(tmp_path)))
+    for tables in (FF.read_feed_files(spark, registry, str(tmp_path)).tables, G.read_feeds(spark, registry)):
+        for df in (X.extract_routes(tables, kind), X.feed_ledger(tables, kind)):
+            df.collect()  # final adaptive plan
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            keys = re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan)
+            assert keys and not [k for k in keys if re.search("trip_id|route_id|stop_id", k)]
