@@ -36,7 +36,7 @@ from railtrace.session import ensure_checkpoint_dir
 from railtrace.sources.gtfs import MAX_BROADCAST_ROWS, GtfsTables, _file_uri, qualified
 
 SPLIT_BYTES = 64 << 20
-CHUNK = 8 << 20  # bytes that a task parses at once
+CHUNK = 1 << 20  # bytes that a task parses at once, unless a line is longer; its rows hold many times as much
 HEADER_BYTES = 1 << 20  # a first line is sought in so many
 TOO_FEW, TOO_MANY, OPEN_QUOTE = "too few fields", "too many fields", "open quote"
 
@@ -168,7 +168,7 @@ def _splits(headers: DataFrame, table: str, split_bytes: int) -> DataFrame:
 
 
 def _lines(path: str, first: int, past: int, begins: int) -> Iterator[tuple[int, list[bytes]]]:
-    """(offset, lines) of the lines whose first byte is in [first, past), some megabytes at a time."""
+    """(offset, lines) of the lines whose first byte is in [first, past), a ``CHUNK`` at a time."""
     with _open(path) as file:
         at = first
         if first > begins:  # the line that runs into the split belongs to the one before

@@ -2,6 +2,7 @@
 
 import csv
 import re
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +158,21 @@ def test_tables_of_feeds_do_not_pass_through_the_driver(spark, tmp_path, kind):
             plan = df._jdf.queryExecution().executedPlan().toString()
             keys = re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan)
             assert keys and not [k for k in keys if re.search("trip_id|route_id|stop_id", k)]
+
+
+def test_memory_of_a_task_does_not_grow_with_the_file(tmp_path):
+    """Lines are parsed some at a time: a task holds a small part of a file of many megabytes."""
+    file = tmp_path / "stop_times.txt"
+    with open(file, "wb") as out:
+        out.write(b"trip_id,stop_id,stop_sequence\n")
+        for i in range(600_000):
+            out.write(b"%d,%d,%d\n" % (i // 9, i * 7919 % 9973, i % 9))
+    size, begins = file.stat().st_size, 30
+    tracemalloc.start()
+    try:
+        n = sum(len(good) for offset, lines in FF._lines(str(file), begins, size, begins)
+                for good, bad in [FF._judged(str(file), offset, lines, 3)])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 600_000 and peak < 2 * size
