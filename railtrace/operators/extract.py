@@ -14,8 +14,9 @@ Plan, in the order Spark runs it (SURVEY 3.2 and 4):
    (normalization) happens on the stops dimension, not per trip.  Spark picks
    broadcast or sort-merge from the size of global tables; tables of feeds are
    joined by shuffle (``_shuffled``).
-5. expressions (route name, Haversine), then DED1 with a total order, then
-   country resolution and display names on the surviving rows only.
+5. expressions (route name, Haversine), the least distance of rows that are
+   alike but for it, then DED1 with a total order, then country resolution and
+   display names on the surviving rows only.
 """
 
 from __future__ import annotations
@@ -167,9 +168,13 @@ def feed_routes(tables: GtfsTables, kind: str | None, station_map=None) -> DataF
     maps = station_map if isinstance(station_map, dict) else dict.fromkeys(KINDS, station_map)
     patterns = trip_stop_ids(tables, kind).drop("trip_id").distinct()
     df = attach_stations(patterns, tables)
-    df = df.withColumn(
-        "distance_km", haversine_km("origin_lat", "origin_lon", "dest_lat", "dest_lon")
-    ).filter(F.col("distance_km").isNotNull())  # SCL3, FLT2 (distance 0 is kept)
+    # SCL3, FLT2 (distance 0 is kept).  Of rows that differ by distance alone the least comes first in
+    # FEED_PAIR_ORDER, so DED1 needs no other.  This aggregate is hashed and partial before the shuffle,
+    # where DED1 sorts; FLT2 follows it, as a filter on the distance would compute it a second time.
+    alike = ["feed_id", "feed_ord", "feed_country", *([] if kind else ["kind"]), *[c for c in FEED_PAIR_ORDER if c != "distance_km"]]
+    df = df.groupBy(*alike).agg(
+        F.min(haversine_km("origin_lat", "origin_lon", "dest_lat", "dest_lon")).alias("distance_km")
+    ).filter(F.col("distance_km").isNotNull())
     df = dedupe_pairs(df, "origin", "destination", ["feed_id"] if kind else ["feed_id", "kind"], FEED_PAIR_ORDER)
 
     def country(station: str) -> Column:

@@ -189,7 +189,7 @@ def mode_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         f" WHEN p_size = 5 THEN '' WHEN p_size = 6 THEN '1e3' ELSE {price} END"
     )
     rf = "CASE WHEN p_size = 7 THEN '1.0d' ELSE CAST(p_retailprice * 3 AS STRING) END"
-    return read_table(spark, sf_dir, "part").selectExpr(
+    return spread(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice", "p_brand")).selectExpr(
         "p_partkey AS ord", f"{label} AS c0", f"{factor} AS c1", f"{rf} AS c2", "p_brand AS c3",
     )
 

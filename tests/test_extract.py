@@ -87,3 +87,25 @@ def test_routes_by_country(tables):
     t, _, _ = tables
     got = [tuple(r) for r in X.routes_by_origin_country(X.extract_routes(t, "night")).collect()]
     assert got == [("CH", 3), ("DE", 2), ("AT", 1), ("FR", 1)]
+
+
+def test_rows_alike_but_for_distance(spark):
+    """Stops of one name at several places, one without coordinates: the least distance stays; a pair
+    whose every row lacks a distance goes."""
+    from railtrace.sources.gtfs import GtfsTables
+
+    stops = [("1", "Graz", 47.07, 15.41), ("2", "Graz", 47.5, 15.0), ("3", "Graz", None, 15.0), ("4", "Wien", 48.18, 16.37),
+             ("5", "Brig", None, 7.98)]
+    ends = [("1", "4"), ("2", "4"), ("3", "4"), ("4", "2"), ("4", "5"), ("1", "4")]
+    tables = GtfsTables(
+        stops=spark.createDataFrame(stops, "stop_id string, stop_name string, stop_lat double, stop_lon double"),
+        trips=spark.createDataFrame([("f", f"T{i}", "R") for i in range(len(ends))], "feed_id string, trip_id string, route_id string"),
+        routes=spark.createDataFrame([("R", "EN")], "route_id string, route_short_name string"),
+        stop_times=spark.createDataFrame(
+            [(f"T{i}", s, n) for i, pair in enumerate(ends) for n, s in enumerate(pair)], "trip_id string, stop_id string, stop_sequence int"),
+        feeds=spark.createDataFrame([("f", "night", None, 0)], "feed_id string, kind string, country string, ord int"), scope=(),
+    )
+    for kind in ("night", None):
+        got = X.feed_routes(tables, kind).collect()
+        assert [(r.origin, r.destination, r.route_name, r.distance_km) for r in got] == [
+            ("graz", "wien", "EN", min(km(47.07, 15.41, 48.18, 16.37), km(47.5, 15.0, 48.18, 16.37)))]

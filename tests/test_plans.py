@@ -52,3 +52,25 @@ def test_both_kinds_share_one_chain(spark):
     for name in ("combined_routes", "feed_ledger"):
         p = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
         assert len(re.findall(r"Aggregate \[(?:feed_id#\d+, )?trip_id#\d+", p)) == 1
+
+
+def test_distance_is_computed_once_in_a_hashed_aggregate(spark):
+    """The pairs' distance is not evaluated again by a filter, and DED1 sorts what a partial aggregate left."""
+    p = E.queries()["extract_night"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    lines = [line for line in p.splitlines() if "ASIN(" in line]
+    assert lines and all("HashAggregate" in line for line in lines)
+    assert any("partial_min" in line for line in lines)
+
+
+def test_flight_numbers_are_parsed_in_the_sample(spark):
+    q = E.queries()["flight_sample"](spark, SF)._jdf.queryExecution()
+    lines = q.optimizedPlan().toString().splitlines()
+    parsed = [i for i, line in enumerate(lines) if "RLIKE(" in line]
+    assert parsed and max(parsed) < next(i for i, line in enumerate(lines) if "Sort [" in line)
+    assert "TakeOrderedAndProject" in q.executedPlan().toString()
+
+
+def test_mode_sheet_is_dealt_to_all_cores(spark):
+    from railtrace.plans import driver_views as V
+
+    assert V.mode_sheet(spark, SF).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
