@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railtrace.llm.common import written
+from railtrace.llm.common import discard, written
 
 MAX_ROUNDS = 60  # a few suffice: the number grows with the logarithm of the longest path
 
@@ -13,7 +13,7 @@ MAX_ROUNDS = 60  # a few suffice: the number grows with the logarithm of the lon
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in ``edges`` (u, v: long): the smallest node it reaches.
 
-    Each round writes its edges to the shared folder.  Minima are aggregated
+    Each round writes its edges to the shared folder and deletes the last round's.  Minima are aggregated
     before the shuffle and joined back, so a node with very many edges is not
     gathered anywhere; AQE splits its rows in the join.
     """
@@ -28,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        old, stars = stars, written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        discard(old)
         last, mark = mark, _mark(stars)
         if mark == last:
             break

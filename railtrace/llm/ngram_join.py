@@ -8,20 +8,23 @@ documents link when their Jaccard similarity reaches a percentage.
    give the global order: rare shingles first, then by hash.  The order decides
    cost alone; links are complete under any.
 2. A second pass writes each document's set size, set fingerprint and first
-   shingles.  Of its first ``n - ceil(t n) + l`` two similar sets share at least
+   shingles, these in slices by hash.  Of its first ``n - ceil(t n) + l`` two similar sets share at least
    ``l`` (a set that had fewer in common with the other would differ in more
    shingles than the similarity allows), for ``l`` from ``1`` up; ``l`` grows with
    the size.  Equal sets are one set from here on, known by the smallest id; a
    task sends its equal sets once.
-3. Rows (shingle, size, set) are partitioned by shingle; those of one set alone
+3. Rows (shingle, size, set) are partitioned by shingle, one slice after the other; those of one set alone
    end here.  A set that shares fewer than ``l`` of its rows (for the smallest size it
    can link to) with any other has no links; what passages alone share falls
-   away.  The rest are sorted by size within a shingle; each set is tied to the
+   away.  Of a shingle in few sets all pairs are counted, and a pair that cannot have ``l``
+   of them even with its frequent shingles falls away: chance would else tie ever more
+   sets as the corpus grows.  The number of pairs is bounded.  Of frequent shingles the sets that could
+   share ``l`` of those are sorted by size; each set is tied to the
    first of its shingle, or to the one before it, if the sizes allow a link.
-   No pairs within a group are made: ties are fewer than the rows.  Their
-   components hold every possible link.
+   The ties' components hold every possible link.
 4. Each component is dealt into units of two chunks of about ``CHUNK`` sets and
-   ``CHUNK_SHINGLES`` shingles at most, by hash, so that every pair of its sets meets in one unit.  A unit stores one
+   ``CHUNK_SHINGLES`` shingles at most, by hash, so that every pair of its sets meets in one unit.  Units
+   are done in rounds, whose texts are about as many as the corpus has.  A unit stores one
    chunk's globally ordered sets in a prefix tree and takes the other chunk's sets
    through it: sets that share a path share the overlap counted so far, and a
    subtree is left when the overlap and the longest remainder cannot reach
@@ -30,6 +33,8 @@ documents link when their Jaccard similarity reaches a percentage.
    and the number of linked documents, no pairs.
 5. Components over the units' classes give the result.
 
+Disk: a job's shuffle files go as it ends, and tables of steps as they are done with.
+
 Defined cases: words are runs without white space, A-Z lowered; a text with
 fewer words than a shingle is one shingle of all its words; a text without
 words, or null, is empty and links with nothing; a null id has a null
@@ -47,7 +52,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railtrace.llm.common import batch_bytes, q, written
+from railtrace.llm.common import batch_bytes, discard, q, written
 from railtrace.llm.components import components
 from railtrace.llm.workers import cache, claim
 
@@ -62,6 +67,10 @@ CHUNK_SHINGLES = 1 << 21  # and shingles
 MAX_WORD_HASHES = 150_000
 BATCH_BYTES = 8 << 20  # of texts that a task takes at once
 TABLE_BYTES = 8 << 20  # of a unit's table of shingles by sets
+SLICE_BITS = 2  # the last of a shingle name its slice; the slices are shuffled one after the other
+RARE = 32  # sets of a shingle whose pairs are counted
+PAIR_SLICES = 8  # in which the most pairs are shuffled; few pairs need one
+MARKS = 1 << 26  # bits of the filter of candidates, broadcast
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX = [np.uint64(xxhash.xxh64_intdigest(f"shingle {i}") | 1) for i in range(64)]
@@ -162,15 +171,13 @@ def first_shingles(found: np.ndarray, known: np.ndarray, counts: np.ndarray, per
 
 
 def _sets(docs: DataFrame, frequent, size: int, percent: int) -> DataFrame:
-    """(id, n, s, least, sent) of each document; a task gives equal sets' shingles once.
-
-    ``least`` is how many of them a set with links shares.
-    """
+    """(id, n, s, sent_0, ...) of each document; a task gives equal sets' shingles once, by slice."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("ngram_join")
         known, counts = sent.value
+        none = np.zeros(0, dtype=np.uint64)
         seen: set[int] = set()
         for batch in batches:
             n, s, sent_ = [], [], []
@@ -180,44 +187,116 @@ def _sets(docs: DataFrame, frequent, size: int, percent: int) -> DataFrame:
                 n.append(len(found))
                 s.append(mark)
                 if key is None or not len(found) or mark in seen:
-                    sent_.append(None)
+                    sent_.append(none)
                     continue
                 if len(seen) > 1 << 20:
                     seen.clear()
                 seen.add(mark)
-                sent_.append(first_shingles(found, known, counts, percent).view(np.int64))
-            smallest = -(-percent * np.array(n, dtype=np.int64) // 100)
+                sent_.append(first_shingles(found, known, counts, percent))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int32()), pa.array(s, pa.int64()),
-                 pa.array(must_share(smallest, percent), pa.int32()), pa.array(sent_, pa.list_(pa.int64()))],
-                names=["id", "n", "s", "least", "sent"],
+                [batch.column(0), pa.array(n, pa.int32()), pa.array(s, pa.int64()), *_sliced(sent_)],
+                names=["id", "n", "s", *_SLICES],
             )
 
-    return docs.mapInArrow(measure, "id long, n int, s long, least int, sent array<long>")
+    return docs.mapInArrow(measure, "id long, n int, s long, " + ", ".join(f"{c} array<long>" for c in _SLICES))
+
 
+_SLICES = [f"sent_{i}" for i in range(1 << SLICE_BITS)]
 
-def _shared_rows(sets: DataFrame) -> DataFrame:
-    """(shingle, n, s, least): the rows whose shingle another set sends too."""
-    rows = sets.where("sent IS NOT NULL").select(F.explode("sent").alias("shingle"), "n", "s", "least")
-    return _shared(rows)
+
+def _sliced(sent: list[np.ndarray]) -> list[pa.Array]:
+    """The shingles of each slice, as lists."""
+    every = np.concatenate([np.zeros(0, dtype=np.uint64), *sent])
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in sent], dtype=np.int64)])
+    of = every & np.uint64(len(_SLICES) - 1)  # the first bits are uneven, as low hashes are sent
+    out = []
+    for i in range(len(_SLICES)):
+        own = of == np.uint64(i)
+        cuts = np.concatenate([[0], np.cumsum(own)])[ends]
+        out.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(every[own].view(np.int64))))
+    return out
 
 
 def _shared(rows: DataFrame) -> DataFrame:
+    """The rows (shingle, n, s) whose shingle another set sends too."""
     # a set that several tasks send stands together: its outer row has the other set beside it
     order = Window.partitionBy("shingle").orderBy("n", "s")
     beside = rows.withColumns({"before": F.lag(F.struct("n", "s")).over(order), "after": F.lead(F.struct("n", "s")).over(order)})
     own = F.struct("n", "s")
-    return beside.where((F.col("before") != own) | (F.col("after") != own)).select("shingle", "n", "s", "least").distinct()
+    return beside.where((F.col("before") != own) | (F.col("after") != own)).select("shingle", "n", "s").distinct()
+
+
+def must_share_sql(n: str, percent: int) -> str:
+    """``must_share`` of an SQL expression."""
+    spare = f"(({n} * {percent} + 99) div 100 - 1)"  # beyond the prefix
+    return f"1 + least({spare}, greatest(2, {EXTRA} * ({n} - {spare}) div 100))"
 
 
-def _able(rows: DataFrame) -> DataFrame:
+def _needed(percent: int):
+    """How many of its first shingles a set with links shares: those of the smallest set that it can link to."""
+    return F.expr(must_share_sql(f"((CAST(n AS BIGINT) * {percent} + 99) div 100)", percent))
+
+
+def _able(rows: DataFrame, percent: int) -> DataFrame:
     """The shared rows of sets that share enough of them to have a link."""
-    able = rows.groupBy("n", "s").agg(F.count("*").alias("shares"), F.first("least").alias("needs"))
-    able = able.where("shares >= needs").select(F.col("n").alias("able_n"), F.col("s").alias("able_s"))
-    return rows.join(able, (F.col("n") == F.col("able_n")) & (F.col("s") == F.col("able_s")), "left_semi")
+    shares = F.count("*").over(Window.partitionBy("n", "s"))
+    return rows.withColumn("shares", shares).where(F.col("shares") >= _needed(percent)).drop("shares")
+
+
+def _shared_rows(sets: DataFrame, percent: int) -> DataFrame:
+    """(shingle, n, s): the shared rows of sets that can have a link.  Each step is a job, so no two keep shuffle files."""
+    parts = [_shared(sets.select(F.explode(c).alias("shingle"), "n", "s")) for c in _SLICES]
+    rows = written(parts[0], "shared-shingles", *parts[1:])
+    # the second time for what is left after sets fell away
+    for step in (lambda x: _able(x, percent), _shared, lambda x: _able(x, percent)):
+        old, rows = rows, written(step(rows), "shared-shingles")
+        discard(old)
+    return rows
+
+
+def _ties(rows: DataFrame, percent: int, most_pairs: int) -> DataFrame:
+    """Distinct ties (an, a, bn, b) that connect all sets that can link.
 
+    Pairs of sets that share rare shingles are counted: those that cannot share enough, with the
+    frequent shingles of both, have no link.  Sets that could share enough frequent ones are tied in stars.
+    A shingle is rare if it is in few sets, ``RARE`` at most; in fewer, if there were more than ``most_pairs`` pairs.
+    """
+    grouped = written(
+        rows.withColumn("in_sets", F.count("*").over(Window.partitionBy("shingle"))).where("in_sets > 1"), "shingle-groups"
+    )
+    pairs, rare = 0, 1
+    for in_sets, n in sorted(grouped.where(F.col("in_sets") <= RARE).groupBy("in_sets").count().collect()):
+        if pairs + n * (in_sets - 1) // 2 > most_pairs:
+            break
+        pairs, rare = pairs + n * (in_sets - 1) // 2, in_sets
+    sets = grouped.where(F.col("in_sets") <= rare).groupBy("shingle").agg(F.sort_array(F.collect_list(F.struct("n", "s"))).alias("sets"))
+    sets = written(sets.select("sets"), "shingle-sets")
+    slices = max(1, -(-pairs // max(1, most_pairs // PAIR_SLICES)))
+
+    def pairs_of(i: int) -> DataFrame:
+        first = sets.select("sets", F.posexplode("sets").alias("at", "first")).where(F.pmod(F.xxhash64("first"), F.lit(slices)) == i)
+        return (
+            first.select("first", F.explode(F.slice("sets", F.col("at") + 2, RARE)).alias("other"))
+            .select(F.col("first.n").alias("an"), F.col("first.s").alias("a"), F.col("other.n").alias("bn"), F.col("other.s").alias("b"))
+            .where(f"100 * CAST(an AS BIGINT) >= {percent} * CAST(bn AS BIGINT)")
+            .groupBy("an", "a", "bn", "b").agg(F.count("*").alias("shared"))
+        )
 
-def _ties(rows: DataFrame, percent: int) -> DataFrame:
+    counted = written(pairs_of(0), "counted-pairs", *[pairs_of(i) for i in range(1, slices)])
+    discard(sets)
+    frequent = written(grouped.where(F.col("in_sets") > rare).groupBy("n", "s").agg(F.count("*").alias("frequent")), "frequent-shares")
+    of = lambda n, s, c: frequent.select(F.col("n").alias(n), F.col("s").alias(s), F.col("frequent").alias(c))
+    enough = f"shared + least(coalesce(of_a, 0), coalesce(of_b, 0)) >= {must_share_sql('CAST(an AS BIGINT)', percent)}"
+    likely = counted.join(of("an", "a", "of_a"), ["an", "a"], "left").join(of("bn", "b", "of_b"), ["bn", "b"], "left").where(enough)
+    able = frequent.where(F.col("frequent") >= _needed(percent)).select(F.col("n").alias("able_n"), F.col("s").alias("able_s"))
+    left = grouped.where(F.col("in_sets") > rare).join(able, (F.col("n") == F.col("able_n")) & (F.col("s") == F.col("able_s")), "left_semi")
+    ties = written(likely.select("an", "a", "bn", "b"), "ties", _stars(left, percent))
+    for done in (grouped, counted, frequent):
+        discard(done)
+    return ties
+
+
+def _stars(rows: DataFrame, percent: int) -> DataFrame:
     """Distinct ties (an, a, bn, b) between sets that share a shingle and could link by size."""
     same = Window.partitionBy("shingle").orderBy("n", "s")
     seen = rows.select(
@@ -241,22 +320,25 @@ def similar_documents(
     texts = docs.select(F.col(q(id_col)).cast("long").alias("id"), F.col(q(text_col)).cast("binary").alias("text"))
     spark = docs.sparkSession
     with batch_bytes(spark, BATCH_BYTES):
-        sets = written(_sets(texts, frequent_shingles(texts.select("text"), words), words, percent), "sets")
+        sending = written(_sets(texts, frequent_shingles(texts.select("text"), words), words, percent), "sets")
+    sets = written(sending.select("id", "n", "s"), "set-marks")
     reps = written(
         sets.where("n > 0 AND id IS NOT NULL").groupBy("n", "s").agg(F.min("id").alias("rep"), F.count("*").alias("copies")),
         "representatives",
     )
-    shared = written(_shared_rows(sets), "shared-shingles")
-    shared = written(_able(_shared(_able(shared))), "shared-shingles")  # what is left after sets fell away
-    ties = _ties(shared, percent)
+    shared = _shared_rows(sending, percent)
+    discard(sending)
+    shingles_of_all = sets.agg(F.sum("n")).first()[0] or 0
+    tied = _ties(shared, percent, shingles_of_all)
+    discard(shared)
     ties = (
-        ties.join(reps.select(F.col("n").alias("an"), F.col("s").alias("a"), F.col("rep").alias("u")), ["an", "a"])
+        tied.join(reps.select(F.col("n").alias("an"), F.col("s").alias("a"), F.col("rep").alias("u")), ["an", "a"])
         .join(reps.select(F.col("n").alias("bn"), F.col("s").alias("b"), F.col("rep").alias("v")), ["bn", "b"])
         .select("u", "v")
     )
     candidates = components(ties)
-    with batch_bytes(spark, BATCH_BYTES):  # near copies may be long texts
-        joined = written(_join_units(texts, reps, candidates, words, percent), "unit-classes")
+    discard(tied)
+    joined = _join_units(texts, reps, candidates, shingles_of_all, words, percent)
     classes = components(joined.select(F.col("node").alias("u"), F.col("class").alias("v")))
     degrees = joined.groupBy("node").agg(F.sum("links").alias("links"))
     result = (
@@ -276,48 +358,74 @@ def similar_documents(
     )
 
 
-def _join_units(texts: DataFrame, reps: DataFrame, candidates: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, class, links) from every unit: a class is the smallest node of a unit's links."""
+def _marked(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of ``nodes``, and a few others, before they are shuffled: a filter of ``MARKS`` bits, whatever their number."""
+    mark = lambda c: F.pmod(F.xxhash64(c), F.lit(MARKS)) + 1
+    marks = (
+        nodes.select(mark("node").alias("mark")).groupBy(F.expr("bitmap_bucket_number(mark)").alias("bucket"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(mark))").alias("marks"))
+    )
+    marked = texts.withColumn("mark", mark("id")).join(F.broadcast(marks), F.expr("bitmap_bucket_number(mark)") == F.col("bucket"))
+    byte = "CAST(conv(hex(substring(marks, CAST(bitmap_bit_position(mark) div 8 + 1 AS INT), 1)), 16, 10) AS INT)"
+    return marked.where(f"shiftright({byte}, CAST(bitmap_bit_position(mark) % 8 AS INT)) % 2 = 1").select(*texts.columns)
+
+
+def _join_units(texts: DataFrame, reps: DataFrame, candidates: DataFrame, most: int, words: int, percent: int) -> DataFrame:
+    """(node, class, links) from every unit: a class is the smallest node of a unit's links.
+
+    Texts that go to several units are dealt in rounds of about ``most`` shingles, those of all documents.
+    """
+    spark = texts.sparkSession
     candidates = candidates.join(reps.withColumnRenamed("rep", "node"), "node")
     sizes = candidates.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("k")
     )
-    dealt = (
-        candidates.join(sizes, "component")
-        .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        .select(
-            "component", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
-            "chunk", "node", "n", "s", "copies",
-        )
+    chunks = written(
+        candidates.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+        .select("component", "k", "chunk", "node", "n", "s", "copies"),
+        "chunks",
     )
-    units = (
-        texts.join(dealt, texts["id"] == dealt["node"]).drop("id")
-        .select("component", "low", "high", "chunk", "node", "n", "s", "copies", "text")
-        .repartition("component", "low", "high")
-        .sortWithinPartitions("component", "low", "high", "chunk", "node")
+    dealt = chunks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
+        "component", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+        "chunk", "node", "n", "s", "copies",
     )
+    unit = ["component", "low", "high"]
+    rounds = max(1, -(-(chunks.agg(F.sum(F.col("k").cast("long") * F.col("n"))).first()[0] or 0) // max(1, most)))
+    near = _marked(texts, chunks)
+
+    def units(i: int) -> DataFrame:
+        own = dealt.where(F.pmod(F.xxhash64(*unit, F.lit(1)), F.lit(rounds)) == i)
+        return (
+            near.join(own, near["id"] == own["node"]).drop("id")
+            .select(*unit, "chunk", "node", "n", "s", "copies", "text")
+            .repartition(*unit)
+            .sortWithinPartitions(*unit, "chunk", "node")
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("ngram_join")
-        unit, rows = None, []
+        of, rows = None, []
         for batch in batches:
             columns = [batch.column(i) for i in range(9)]
             keys = list(zip(*(c.to_pylist() for c in columns[:8])))
             for i, (component, low, high, chunk, node, n, s, copies) in enumerate(keys):
-                if (component, low, high) != unit:
+                if (component, low, high) != of:
                     if rows:
-                        yield _unit(rows, unit, percent)
-                    unit, rows = (component, low, high), []
+                        yield _unit(rows, of, percent)
+                    of, rows = (component, low, high), []
                 if rows and rows[-1][1] == node:
                     continue  # a repeated row
                 found = shingles(columns[8][i].as_py(), words)
                 if len(found) == n and fingerprint(found) == s:  # else another text of the same id
                     rows.append((chunk, node, copies, found))
         if rows:
-            yield _unit(rows, unit, percent)
+            yield _unit(rows, of, percent)
 
-    return units.mapInArrow(run, "node long, class long, links long")
+    classes = [units(i).mapInArrow(run, "node long, class long, links long") for i in range(rounds)]
+    with batch_bytes(spark, BATCH_BYTES):  # near copies may be long texts
+        joined = written(classes[0], "unit-classes", *classes[1:])
+    discard(chunks)
+    return joined
 
 
 def _unit(rows, unit, percent: int) -> pa.RecordBatch:

@@ -1,5 +1,6 @@
 import itertools
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -115,3 +116,65 @@ def test_components_of_a_path(spark, n):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101), (101, 100), (7, 7)], "u long, v long")
     found = {r.node: r.component for r in components(edges).collect()}
     assert found == {i: 0 for i in range(n + 1) if n} | {100: 100, 101: 100}
+
+
+def families(n, members, common):
+    """Texts of n families of near copies; one passage of a few words is in texts of neighbouring families."""
+    rng = np.random.default_rng(8)
+    word = lambda: f"w{rng.integers(1, 10**9)}"
+    rows, passage = [], [word() for _ in range(common)]
+    for i in range(n):
+        text, last, passage = [word() for _ in range(80)], passage, [word() for _ in range(common)]
+        for j in range(members):
+            own = list(text)
+            own[rng.integers(0, 80)] = word()
+            rows.append((100 * i + j, " ".join(own[:30] + last + own[30:] + passage)))
+    return rows
+
+
+def test_chance_ties_no_families(spark, monkeypatch):
+    """Families that share a shingle or two are components of their own before any texts meet."""
+    tied, found = [], ngram_join.components
+    monkeypatch.setattr(ngram_join, "components", lambda edges: tied.append(found(edges)) or tied[-1])
+    rows = families(12, 3, 6)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found_rows(ngram_join.similar_documents(df)) == brute_force(rows)
+    assert {r.node // 100 for r in tied[0].collect()} == set(range(12))
+    assert all(r.node // 100 == r.component // 100 for r in tied[0].collect())
+
+
+@pytest.mark.parametrize("rare, marks", [(1, 8), (2, 1 << 26), (4, 1 << 15)])
+def test_frequent_shingles_and_rounds(spark, monkeypatch, rare, marks):
+    """Families larger than the pairs that are counted, units in several rounds, a filter that lets other texts by."""
+    for name, value in (("RARE", rare), ("MARKS", marks), ("CHUNK", 3)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rows = families(4, 7, 12) + [(1000 + i, f"alone {i} of " + " ".join(f"x{i}y{j}" for j in range(20))) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found_rows(ngram_join.similar_documents(df)) == brute_force(rows)
+
+
+def test_must_share_in_sql(spark):
+    for percent in (50, 80, 100):
+        sql = ngram_join.must_share_sql("id", percent)
+        found = spark.range(1, 3000).selectExpr("id", f"{sql} AS m").collect()
+        assert [r.m for r in found] == ngram_join.must_share(np.array([r.id for r in found]), percent).tolist()
+
+
+def test_files_go_when_they_are_done_with(spark, tmp_path, monkeypatch):
+    """Neither shuffle files nor the tables of steps wait for the driver's garbage collection."""
+    def shuffles():
+        return {b.toString() for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+            spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()) if b.isShuffle()}
+
+    monkeypatch.setattr("railtrace.llm.common.ensure_checkpoint_dir", lambda _: str(tmp_path))
+    before = shuffles()
+    df = spark.createDataFrame(families(4, 7, 12), "doc_id long, text string").repartition(3)
+    ngram_join.similar_documents(df)
+    labels = [re.sub("llm-|-[0-9a-f]{32}", "", p.name) for p in tmp_path.iterdir()]
+    assert sorted(labels) == ["representatives", "set-marks", "stars", "stars", "unit-classes"]
+    for _ in range(100):
+        # what the driver's few aggregates of a row or so leave is no matter
+        if len(left := {b.split("_")[1] for b in shuffles() - before}) <= 12:
+            break
+        time.sleep(0.1)
+    assert len(left) <= 12
